@@ -288,19 +288,19 @@ def edits_head(spark, sf_dir):
 
 @query
 def topic_throughput(spark, sf_dir):
-    raw = fixtures.raw_topic(spark, sf_dir)
-    processed = pipelines.filter_job(raw)
-    return metrics.topic_throughput(raw.select("topic", "timestamp").unionByName(processed.select("topic", "timestamp")))
+    raw = fixtures.raw_places(spark, sf_dir).select("topic", "timestamp")
+    processed = pipelines.filter_job(fixtures.raw_topic(spark, sf_dir)).select("topic", "timestamp")
+    return metrics.topic_throughput(raw.unionByName(processed))
 
 
 @query
 def topic_freshness(spark, sf_dir):
-    return metrics.topic_freshness(fixtures.raw_topic(spark, sf_dir), _instant(NOW))
+    return metrics.topic_freshness(fixtures.raw_places(spark, sf_dir), _instant(NOW))
 
 
 @query
 def consumer_lag(spark, sf_dir):
-    raw = fixtures.raw_topic(spark, sf_dir)
+    raw = fixtures.raw_places(spark, sf_dir)
     consumed = raw.filter((F.col("timestamp") < _instant(CONSUMED_UNTIL)) & (F.col("partition") != 3))
     return metrics.consumer_lag(raw, metrics.positions(consumed))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.keyed import deletes, upserts
-from millrace.schemas import ALLOWED_DOMAINS, INPUT_TOPIC, PROCESSED_TOPIC, SEQ
+from millrace.schemas import ALLOWED_DOMAINS, COORDINATES, INPUT_TOPIC, PROCESSED_TOPIC, SEQ
 from millrace.sources.topics import as_topic
 
 PARTITIONS = 4
@@ -58,18 +58,26 @@ def raw_json(event_id: Column) -> Column:
     return F.when(F.col("event_id") % 97 == 0, F.substring(whole, 1, 20)).otherwise(whole)
 
 
+def _made_once(df: DataFrame) -> DataFrame:
+    """Values of a topic are there, not computed: keep filters on `value` from repeating its making."""
+    others = [name for name in df.columns if name != "value"]
+    return df.select(*others, F.explode(F.array("value")).alias("value"))
+
+
 def raw_topic(spark: SparkSession, sf_dir: str, event_id: Column | None = None) -> DataFrame:
     """The `input` topic."""
     event_id = F.col("event_id").cast("string") if event_id is None else event_id
-    events = source_events(spark, sf_dir)
-    records = events.select(
-        F.lit(None).cast("binary").alias("key"),
-        raw_json(event_id).alias("value"),
-        "partition",
-        "offset",
-        "timestamp",
-    )
-    return as_topic(records, INPUT_TOPIC)
+    records = source_events(spark, sf_dir).withColumn("value", raw_json(event_id))
+    return as_topic(_made_once(_records(records)), INPUT_TOPIC)
+
+
+def raw_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The `input` topic without its values."""
+    return source_events(spark, sf_dir).select(F.lit(INPUT_TOPIC).alias("topic"), *COORDINATES)
+
+
+def _records(events: DataFrame) -> DataFrame:
+    return events.select(F.lit(None).cast("binary").alias("key"), "value", *COORDINATES)
 
 
 def uneven_processed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,10 +95,8 @@ def uneven_processed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     value = F.when(n % 97 == 0, F.substring(whole, 1, 20)).when(n % 101 == 5, "[]").otherwise(whole)
-    records = source_events(spark, sf_dir).select(
-        F.lit(None).cast("binary").alias("key"), value.alias("value"), "partition", "offset", "timestamp"
-    )
-    return as_topic(records, PROCESSED_TOPIC)
+    records = source_events(spark, sf_dir).withColumn("value", value)
+    return as_topic(_made_once(_records(records)), PROCESSED_TOPIC)
 
 
 def _seq(after: str = "0 seconds") -> Column:

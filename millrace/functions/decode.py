@@ -77,12 +77,17 @@ def may_mention(value: Column, words: Sequence[str]) -> Column:
     """
     if not all(_stands_as_is(word) for word in words):
         return F.lit(True)
-    seen = value.contains("\\u00")
-    for word in words:
+    seen = F.lit(False)
+    for word in (*words, "\\u00"):
         seen = seen | value.contains(word)
     return seen
 
 
+def may_hold_false(value: Column) -> Column:
+    """False only where no JSON value in the text is `false`. There is one way to write it."""
+    return value.contains("false")
+
+
 def _stands_as_is(word: str) -> bool:
     try:
         float(word)  # a JSON number may be decoded to other digits than it is written with

@@ -16,6 +16,7 @@ from millrace.functions.decode import (
     decode_raw,
     encode_processed,
     flatten_legacy,
+    may_hold_false,
     may_mention,
     record_key,
     text,
@@ -32,11 +33,18 @@ from millrace.sources.topics import as_topic, source_seq
 def filter_edits(
     raw_topic: DataFrame, allowed: Sequence[str] | DataFrame = ALLOWED_DOMAINS, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Raw topic -> human edits on allowed domains, four fields, `created_at` still text."""
-    if not isinstance(allowed, DataFrame):
-        raw_topic = raw_topic.filter(may_mention(text(), allowed))
-    decoded = decode_raw(raw_topic, keep)
-    return select_edits(filter_human(filter_domain(decoded, allowed)), keep)
+    """Raw topic -> human edits on allowed domains, four fields, `created_at` still text.
+
+    Records whose text shows that they cannot pass are not parsed at all.
+    """
+    raw_topic = raw_topic.filter(may_hold_false(text()))
+    if isinstance(allowed, DataFrame):
+        decoded = decode_raw(raw_topic, list(dict.fromkeys((*keep, *COORDINATES))))
+        on_list = filter_domain(decoded, allowed, spread=F.xxhash64(*COORDINATES))
+    else:
+        decoded = decode_raw(raw_topic.filter(may_mention(text(), allowed)), keep)
+        on_list = filter_domain(decoded, allowed)
+    return select_edits(filter_human(on_list), keep)
 
 
 def filter_job(
