@@ -1,0 +1,28 @@
+"""Every registered query against its SQL check."""
+
+import pytest
+
+import __spark_entry__ as contract
+from compare import difference, tables
+
+QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return tables(sf_dir)
+
+
+def test_every_query_has_a_check():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, sf_dir, con, name):
+    assert difference(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
+
+
+def test_entry(spark):
+    df = contract.entry(spark)
+    assert df.columns == ["user_id", "domain", "created_at", "page_title"]
+    assert df.count() > 0

@@ -1,0 +1,57 @@
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions.scalars import canonical_uuid, parse_instant
+
+INSTANTS = [
+    ("2026-05-01T10:00:00Z", "2026-05-01 10:00:00.000000"),
+    ("2026-05-01T10:00:00.000Z", "2026-05-01 10:00:00.000000"),
+    ("2026-05-01T10:00:00.123456Z", "2026-05-01 10:00:00.123000"),
+    ("2026-05-01T10:00:00.123999Z", "2026-05-01 10:00:00.123000"),
+    ("2026-05-01T10:00:00+02:00", "2026-05-01 08:00:00.000000"),
+    ("2026-05-01 10:00:00", "2026-05-01 10:00:00.000000"),
+    (" 2026-5-1 ", "2026-05-01 00:00:00.000000"),
+    ("2026-05-01", "2026-05-01 00:00:00.000000"),
+    ("2026", None),
+    ("2026-05", None),
+    ("12:30:00", None),
+    ("T12:30:00-05:00", None),
+    ("2026-13-01T00:00:00Z", None),
+    ("bad", None),
+    ("", None),
+    (None, None),
+]
+
+
+def test_instants(spark):
+    df = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(INSTANTS)], "i int, v string")
+    shown = F.date_format(parse_instant(F.col("v")), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    assert [r[0] for r in df.orderBy("i").select(shown).collect()] == [e for _, e in INSTANTS]
+
+
+def python_uuid(value):
+    try:
+        return str(uuid.UUID(value))
+    except (ValueError, AttributeError, TypeError):
+        return None
+
+
+UUIDS = [
+    "550e8400-e29b-41d4-a716-446655440000", "550E8400E29B41D4A716446655440000", "{550e8400-e29b-41d4-a716-446655440000}",
+    "urn:uuid:550e8400-e29b-41d4-a716-446655440000", "5-50e8400e29b41d4a71644665544000-0", "{{550e8400e29b41d4a716446655440000",
+    "550e8400e29b41d4a71644665544000", "550e8400e29b41d4a7164466554400000", "g50e8400e29b41d4a716446655440000", "not-a-uuid", "", None,
+    "uuid:550e8400e29b41d4a716446655440000", "550e8400{e29b41d4a716446655440000", "-{550e8400e29b41d4a716446655440000}-",
+]
+
+
+def test_uuids_as_in_python(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(UUIDS)], "i int, v string")
+    got = [r[0] for r in df.orderBy("i").select(canonical_uuid(F.col("v"))).collect()]
+    assert got == [python_uuid(v) for v in UUIDS]
+
+
+@pytest.mark.parametrize("value", ["0x0e8400e29b41d4a716446655440000aa", "550e8400_e29b41d4a71644665544000", " 550e8400e29b41d4a71644665544000"])
+def test_uuids_stricter_than_python(spark, value):
+    assert spark.createDataFrame([(value,)], "v string").select(canonical_uuid(F.col("v"))).first()[0] is None
