@@ -270,6 +270,14 @@ def lookup_title(spark, sf_dir):
     return keyed.lookup_title(_stored(spark, _full_log(spark, sf_dir)).read_log(), LOOKUP_TITLE)
 
 
+@query
+def lookup_title_compacted(spark, sf_dir):
+    table = _stored(spark, _merged_log(spark, sf_dir))
+    table.compact()
+    table.write_batch(fixtures.tombstones(spark, sf_dir), "cleaner", 0)
+    return table.with_title(LOOKUP_TITLE)
+
+
 @query
 def domain_timeline(spark, sf_dir):
     return keyed.domain_timeline(keyed.current_rows(_full_log(spark, sf_dir)), TIMELINE_DOMAIN)
@@ -422,14 +430,14 @@ def stream_rejects(spark, sf_dir):
 
 @query
 def stream_counts(spark, sf_dir):
-    counts = runners.read_counts(spark, _uneven_writer_run(spark, sf_dir)[1])
-    return counts.agg(*[F.sum(name).alias(name) for name in counts.columns])
+    ledger = runners.read_ledger(spark, _uneven_writer_run(spark, sf_dir)[1])
+    return ledger.agg(*[F.sum(name).alias(name) for name in ("n_read", *edits.PROCESSED_OUTCOMES)])
 
 
 @query
 def stream_lag(spark, sf_dir):
     source, side = _uneven_writer_run(spark, sf_dir, CONSUMED_UNTIL)
-    return metrics.consumer_lag(read_topic(spark, source), runners.read_positions(spark, side))
+    return metrics.consumer_lag(read_topic(spark, source), runners.read_ledger(spark, side))
 
 
 @query

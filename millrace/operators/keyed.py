@@ -145,6 +145,11 @@ def lookup_user(log: DataFrame, user_id: str) -> DataFrame:
     return current_rows(log.filter(key_predicate(user_id=user_id)))
 
 
+def set_title(page_title: str) -> Column:
+    """Log rows that write the given title."""
+    return (F.col("page_title") == page_title) & (F.col("op") == UPSERT)
+
+
 def lookup_title(log: DataFrame, page_title: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows whose current title is the given one.
 
@@ -153,7 +158,7 @@ def lookup_title(log: DataFrame, page_title: str, broadcast_rows: int = BROADCAS
     broadcast, just their writes are merged; else all writes are, and no join on a possibly very
     uneven key takes place.
     """
-    had_it = log.filter((F.col("page_title") == page_title) & (F.col("op") == UPSERT)).select(*KEY).distinct()
+    had_it = log.filter(set_title(page_title)).select(*KEY).distinct()
     if fits_broadcast(had_it, broadcast_rows):
         log = log.join(F.broadcast(had_it), list(KEY), "left_semi")
     return current_rows(log).filter(F.col("page_title") == page_title)

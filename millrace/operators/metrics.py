@@ -58,7 +58,8 @@ def positions(consumed: DataFrame) -> DataFrame:
 def consumer_lag(topic: DataFrame, committed: DataFrame) -> DataFrame:
     """Records per partition that a reader at `committed` has still to read.
 
-    A partition without a position counts from its first record. Both sides of the join are
+    `committed` may hold several positions of a partition; the furthest counts. A partition without
+    one counts from its first record. Both sides of the join are
     aggregated to one row per partition first.
     """
     ends = topic.groupBy("topic", "partition").agg(
@@ -96,6 +97,11 @@ def counters(outcomes: Sequence[str]) -> list[Column]:
     ]
 
 
+def ledger(classified: DataFrame, outcomes: Sequence[str]) -> DataFrame:
+    """Next offset and counts per outcome, for every partition in a batch of classified records."""
+    return classified.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"), *counters(outcomes))
+
+
 def stage_counts(raw: DataFrame, processed: DataFrame, allowed: Sequence[str] = ALLOWED_DOMAINS) -> DataFrame:
     """What each stage read, kept, filtered out and rejected: one row per stage and outcome.
 

@@ -184,6 +184,7 @@ SELECT "partition", "offset", user_id, domain, day AS created_at, page_title FRO
   AND user_id = '{LOOKUP["user_id"]}'""",
     "lookup_user": _FULL + f"SELECT * FROM cur WHERE user_id = '{LOOKUP_USER}'",
     "lookup_title": _FULL + f"SELECT * FROM cur WHERE page_title = '{LOOKUP_TITLE}'",
+    "lookup_title_compacted": _FULL + f"SELECT * FROM cur WHERE page_title = '{LOOKUP_TITLE}'",
     "domain_timeline": _FULL + f"SELECT * FROM cur WHERE domain = '{TIMELINE_DOMAIN}'",
     "edits_head": _FULL
     + f"""SELECT *, row_number() OVER (ORDER BY domain, created_at DESC, user_id) AS position FROM cur

@@ -7,10 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side of at most this many short rows (keys, domains, partition names) is broadcast; a larger
-# one is shuffled.
+# A side of a join is broadcast when it has been counted to be no larger than this.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -34,11 +35,19 @@ def workspace(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"millrace-{name}-")
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count `df`, no further than the bound, to learn whether it may be broadcast."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Measure `df`, no further than the bounds, to learn whether it may be broadcast.
+
+    For flat rows: text counts with its length, every other column with 16 bytes.
+    """
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType == T.StringType()]
+    width = F.lit(16 * len(df.columns))
+    for length in texts:
+        width = width + length
+    n, total = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return n <= rows and total <= size
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` marked for broadcast when its counted size allows it, else `df` as it is."""
-    return F.broadcast(df) if fits_broadcast(df, rows) else df
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """`df` marked for broadcast when its measured size allows it, else `df` as it is."""
+    return F.broadcast(df) if fits_broadcast(df) else df

@@ -17,13 +17,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.keyed import live_rows, merge_states, newest_first, to_states
-from millrace.schemas import EDIT_LOG, KEY_STATE
-from millrace.session import BROADCAST_ROWS, fits_broadcast
+from millrace.operators.keyed import live_rows, merge_states, newest_first, set_title, to_states
+from millrace.schemas import EDIT_LOG, KEY, KEY_STATE
+from millrace.session import BROADCAST_ROWS, broadcast_if_small, fits_broadcast
 from millrace.sources import files
 
 _ON_DISK_LEVELS = ("writer", "batch_id")
@@ -37,6 +37,15 @@ _DIRECTORY = ["domain", "d"]
 _SPREAD = 64
 
 
+def _with_blooms(writer: DataFrameWriter, *columns: str) -> DataFrameWriter:
+    """Bloom filters, for lookups by columns the files are not sorted by, sized to what is written.
+    For the base only: batches are soon part of it."""
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for column in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer
+
+
 @dataclass(frozen=True)
 class Batch:
     writer: str
@@ -110,7 +119,7 @@ class EditsTable:
 
     def _read_manifest(self, generation: int) -> DataFrame:
         manifest = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/generation={generation}")
-        return F.broadcast(manifest) if fits_broadcast(manifest) else manifest
+        return broadcast_if_small(manifest)
 
     def current(self, where: Column | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
         """Current rows, optionally of the keys that meet `where` (see `key_predicate`).
@@ -118,53 +127,87 @@ class EditsTable:
         Directories with no write since the last compaction are read as they are; only the others
         go through the merge and its shuffle.
         """
-        quiet, busy = self._split(where, broadcast_rows)
-        rows = live_rows(merge_states(busy))
+        recent, base = self._parts(where)
+        if base is None:
+            return live_rows(merge_states(to_states(recent)))
+        quiet, busy = self._quiet_and_busy(recent, base, broadcast_rows)
+        rows = live_rows(merge_states(to_states(recent).unionByName(busy)))
         return rows if quiet is None else live_rows(quiet).unionByName(rows)
 
-    def _split(self, where: Column | None, broadcast_rows: int) -> tuple[DataFrame | None, DataFrame]:
-        """(states of directories without recent writes, states to merge)."""
-        where = F.lit(True) if where is None else where
+    def with_title(self, page_title: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+        """Rows whose current title is the given one.
+
+        Merges only keys that ever had the title, if these are few enough to broadcast.
+        """
+        recent, base = self._parts(None)
+        had_it = recent.filter(set_title(page_title)).select(*KEY)
+        if base is not None:
+            # a key that in the base has another title can have this one only by a recent write
+            held = base.filter(F.col("page_title.value") == page_title)
+            had_it = had_it.unionByName(held.select(*KEY))
+        had_it = had_it.distinct()
+        if not fits_broadcast(had_it, broadcast_rows):
+            return self.current().filter(F.col("page_title") == page_title)
+        states = to_states(recent.join(F.broadcast(had_it), list(KEY), "left_semi"))
+        if base is not None:
+            held = base.join(F.broadcast(had_it), list(KEY), "left_semi")
+            states = states.unionByName(held.select(*KEY_STATE.names))
+        return live_rows(merge_states(states)).filter(F.col("page_title") == page_title)
+
+    def _parts(self, where: Column | None) -> tuple[DataFrame, DataFrame | None]:
+        """(log rows the base does not contain, states of the base)."""
         generation = self.generation()
-        recent = self._read_batches(self.committed() - self.absorbed(generation)).filter(where)
-        if generation is None:
-            return None, to_states(recent)
-        base = self._read_base(self._read_manifest(generation)).filter(where)
+        recent = self._read_batches(self.committed() - self.absorbed(generation))
+        base = None if generation is None else self._read_base(self._read_manifest(generation))
+        if where is not None:
+            recent, base = recent.filter(where), None if base is None else base.filter(where)
+        return recent, base
+
+    def _quiet_and_busy(
+        self, recent: DataFrame, base: DataFrame, broadcast_rows: int
+    ) -> tuple[DataFrame | None, DataFrame]:
+        """Base states in directories without and with recent writes; all of them as the latter if
+        there are too many such directories to broadcast."""
         touched = recent.select(*_DIRECTORY).distinct()
         if not fits_broadcast(touched, broadcast_rows):
-            return None, to_states(recent).unionByName(base.select(*KEY_STATE.names))
+            return None, base.select(*KEY_STATE.names)
         touched = F.broadcast(touched)
         quiet = base.join(touched, _DIRECTORY, "left_anti").select(*KEY_STATE.names)
         busy = base.join(touched, _DIRECTORY, "left_semi").select(*KEY_STATE.names)
-        return quiet, to_states(recent).unionByName(busy)
+        return quiet, busy
 
     # --- upkeep ---------------------------------------------------------------------------
 
-    def compact(self) -> int:
+    def compact(self, full: bool = False) -> int:
         """Merge recent batches into the base, as a new generation; returns its number.
 
-        Rewrites only the directories those batches touch. Deletes and per-cell `seq` are kept, so a
-        late older write still loses. One compaction or truncate at a time per table; writers and
-        readers may go on meanwhile.
+        Rewrites only the directories those batches touch, or all of them if `full`, after which
+        older generations are no longer needed. Deletes and per-cell `seq` are kept, so a late older
+        write still loses. One compaction or truncate at a time per table; writers and readers may go
+        on meanwhile.
         """
         previous = self.generation()
         committed = self.committed()
-        done = self.absorbed(previous)
-        fresh = committed - done
-        if previous is not None and not fresh:
+        fresh = committed - self.absorbed(previous)
+        if previous is not None and not fresh and not full:
             return previous
         number = 0 if previous is None else previous + 1
         recent = self._read_batches(fresh)
-        touched = recent.select(*_DIRECTORY).distinct()
-        touched = F.broadcast(touched) if fits_broadcast(touched) else touched
         states = to_states(recent)
-        manifest = touched.withColumn("generation", F.lit(number).cast("bigint"))
+        touched = recent.select(*_DIRECTORY).distinct()
+        kept = None
         if previous is not None:
             old = self._read_manifest(previous)
-            busy = self._read_base(old.join(touched, _DIRECTORY, "left_semi"))
-            states = states.unionByName(busy.select(*KEY_STATE.names))
-            manifest = manifest.unionByName(old.join(touched, _DIRECTORY, "left_anti"))
-        self._write_generation(number, states, manifest, committed)
+            if full:
+                busy = old
+                touched = touched.unionByName(old.select(*_DIRECTORY)).distinct()
+            else:
+                touched = broadcast_if_small(touched)
+                busy = old.join(touched, _DIRECTORY, "left_semi")
+                kept = old.join(touched, _DIRECTORY, "left_anti")
+            states = states.unionByName(self._read_base(broadcast_if_small(busy)).select(*KEY_STATE.names))
+        manifest = touched.withColumn("generation", F.lit(number).cast("bigint"))
+        self._write_generation(number, states, manifest if kept is None else manifest.unionByName(kept), committed)
         return number
 
     def truncate(self) -> int:
@@ -176,19 +219,29 @@ class EditsTable:
         return number
 
     def _write_generation(self, number: int, states: DataFrame, manifest: DataFrame, covered: set[Batch]) -> None:
+        at = f"generation={number}"
         merged = merge_states(states).withColumn("d", F.to_date("created_at"))
         merged = self._by_directory(merged, F.xxhash64("created_at", "user_id"))
         merged = merged.sortWithinPartitions(*_DIRECTORY, *newest_first())
-        at = f"generation={number}"
-        merged.write.mode("overwrite").partitionBy(*_DIRECTORY).parquet(f"{self.root}/base/{at}")
+        writer = merged.write.mode("overwrite").partitionBy(*_DIRECTORY)
+        _with_blooms(writer, "user_id", "page_title.value").parquet(f"{self.root}/base/{at}")
         names = self.spark.createDataFrame([(b.writer, b.batch_id) for b in covered], _ABSORBED)
         names.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/absorbed/{at}")
         manifest.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/manifest/{at}")
 
     def vacuum(self) -> int:
-        """Remove batch directories the base contains; returns how many. For when no reader that
-        began before the last compaction is still running."""
-        gone = self.absorbed(self.generation()) & self.committed()
+        """Remove batches the base contains and generations it no longer needs; returns how many
+        batches went. For when no reader that began before the last compaction is still running."""
+        newest = self.generation()
+        if newest is None:
+            return 0
+        gone = self.absorbed(newest) & self.committed()
         for batch in gone:
             files.delete(self.spark, f"{self.root}/log/writer={batch.writer}/batch_id={batch.batch_id}")
+        needed = {row.generation for row in self._read_manifest(newest).select("generation").distinct().collect()}
+        for kind, keep in (("base", needed | {newest}), ("absorbed", {newest}), ("manifest", {newest})):
+            for path in files.glob(self.spark, f"{self.root}/{kind}/generation=*"):
+                number = int(path.rsplit("=", 1)[1])
+                if number < newest and number not in keep:
+                    files.delete(self.spark, path)
         return len(gone)

@@ -24,7 +24,7 @@ from millrace.operators.edits import (
     rejects,
     select_edits,
 )
-from millrace.operators.metrics import POSITION_SCHEMA, counters, positions, topic_throughput
+from millrace.operators.metrics import POSITION_SCHEMA, counters, ledger, topic_throughput
 from millrace.plans.pipelines import filter_job, writer_job
 from millrace.schemas import ALLOWED_DOMAINS, COORDINATES, REJECT
 from millrace.sources import files
@@ -95,8 +95,8 @@ def edits_stream(
     """Processed topic -> edits table.
 
     With a `side` folder every micro-batch also leaves there the records it could not use
-    (`rejects/`), its counts per outcome (`counts/`) and the position it read up to (`positions/`),
-    each under `writer=<name>/batch_id=<n>` and replaced whole when a batch is run again.
+    (`rejects/`) and, per topic partition, the position it read up to and its counts per outcome
+    (`ledger/`), each under `writer=<name>/batch_id=<n>` and replaced whole when a batch is run again.
     """
     processed = stream_topic(spark, source, starting, max_per_trigger, with_headers=source.servers is not None)
 
@@ -104,38 +104,35 @@ def edits_stream(
         if side is None:
             table.write_batch(writer_job(batch), writer, batch_id)
             return
-        batch = batch.persist()  # the topic is read once for all outputs of the micro-batch
+        # A micro-batch of bounded size is kept for the three outputs; else it is read for each.
+        batch = batch.persist() if max_per_trigger is not None else batch
         try:
             table.write_batch(writer_job(batch), writer, batch_id)
             _write_side(batch, side.rstrip("/"), f"writer={writer}/batch_id={batch_id}")
         finally:
-            batch.unpersist()
+            if max_per_trigger is not None:
+                batch.unpersist()
 
     return processed.writeStream.foreachBatch(write).outputMode("append")
 
 
 def _write_side(batch: DataFrame, side: str, at: str) -> None:
-    positions(batch).write.mode("overwrite").parquet(f"{side}/positions/{at}")
     classified = classify_processed(batch)
-    classified.agg(*counters(PROCESSED_OUTCOMES)).write.mode("overwrite").parquet(f"{side}/counts/{at}")
     rejects(classified).write.mode("overwrite").parquet(f"{side}/rejects/{at}")
+    ledger(classified, PROCESSED_OUTCOMES).write.mode("overwrite").parquet(f"{side}/ledger/{at}")
 
 
-def read_positions(spark: SparkSession, side: str) -> DataFrame:
-    """Positions left by all finished micro-batches."""
-    return _read_side(spark, side, "positions", POSITION_SCHEMA)
+def read_ledger(spark: SparkSession, side: str) -> DataFrame:
+    """Positions and counts left by all finished micro-batches, one row for each and partition."""
+    counts = ", ".join(f"{name} BIGINT" for name in ("n_read", *PROCESSED_OUTCOMES))
+    return _read_side(spark, side, "ledger", f"{POSITION_SCHEMA}, {counts}")
 
 
 def read_rejects(spark: SparkSession, side: str) -> DataFrame:
+    """Records that finished micro-batches could not use."""
     return _read_side(spark, side, "rejects", REJECT)
 
 
-def read_counts(spark: SparkSession, side: str) -> DataFrame:
-    """Counts per outcome, one row per finished micro-batch."""
-    schema = ", ".join(f"{name} BIGINT" for name in ("n_read", *PROCESSED_OUTCOMES))
-    return _read_side(spark, side, "counts", schema)
-
-
 def _read_side(spark: SparkSession, side: str, kind: str, schema: T.StructType | str) -> DataFrame:
     marks = files.glob(spark, f"{side.rstrip('/')}/{kind}/writer=*/batch_id=*/_SUCCESS")
     if not marks:

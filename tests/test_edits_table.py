@@ -3,7 +3,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import plan
 from millrace.operators import keyed
@@ -86,6 +85,10 @@ def test_compaction_changes_nothing(spark, table):
     assert collected(table.current(broadcast_rows=0)) == replay(writes)
     assert table.vacuum() == 5 and table.committed() == {Batch("w", 5)}
     assert collected(table.current()) == replay(writes)
+    assert table.compact(full=True) == 4
+    assert collected(table.current()) == replay(writes)
+    assert table.vacuum() == 1 and os.listdir(f"{table.root}/base") == ["generation=4"]
+    assert collected(table.current()) == replay(writes)
 
 
 def test_compaction_rewrites_only_what_was_written_to(spark, table):
@@ -100,7 +103,7 @@ def test_compaction_rewrites_only_what_was_written_to(spark, table):
 def test_a_compacted_table_is_read_without_a_shuffle(spark, table):
     table.write_batch(log_rows(spark, random_writes(100, 15)), "w", 0)
     table.compact()
-    quiet, busy = table._split(None, 1000)
+    quiet, busy = table._quiet_and_busy(*table._parts(None), 1000)
     assert "hashpartitioning(domain" not in plan(keyed.live_rows(quiet)).split("BroadcastExchange")[0]
     assert busy.count() == 0 and quiet.count() > 0
 
@@ -145,8 +148,22 @@ def test_key_predicates_go_below_the_merge(spark, table):
 
 
 def test_titles_after_compaction(spark, table):
+    writes = random_writes(1200, 19)
+    random.Random(2).shuffle(writes)
+    for i in range(3):
+        table.write_batch(log_rows(spark, writes[i * 400 : (i + 1) * 400]), "w", i, arrange=True)
+        if i != 2:
+            table.compact()
+        for title in ("t4", "t7", "none"):
+            expected = [r for r in replay(writes[: (i + 1) * 400]) if r[3] == title]
+            for broadcast_rows in (10_000, 0):
+                assert collected(table.with_title(title, broadcast_rows)) == expected
+
+
+def test_an_overwritten_title_is_not_found(spark, table):
     table.write_batch(log_rows(spark, [(KEY, "up", (START, 0, 1), "old", None)]), "w", 0)
     table.compact()
+    assert table.with_title("old").count() == 1
     table.write_batch(log_rows(spark, [(KEY, "up", (START, 0, 2), "new", None)]), "w", 1)
-    assert table.current().filter(F.col("page_title") == "old").count() == 0
-    assert table.current().filter(F.col("page_title") == "new").count() == 1
+    assert table.with_title("old").count() == 0
+    assert table.with_title("new").count() == 1

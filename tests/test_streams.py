@@ -81,26 +81,28 @@ def test_drop_and_pass(spark, place):
     assert [table.current().filter(F.col("user_id") == u).count() for u in ("bot", "uk", "wd")] == [0, 0, 1]
 
 
-def test_side_outputs(spark, place):
+@pytest.mark.parametrize("max_per_trigger", [None, 10])
+def test_side_outputs(spark, place, max_per_trigger):
     table = EditsTable(spark, place.table)
     good = '{"user_id":"u","domain":"d","created_at":"2026-05-01T10:00:00Z","page_title":"p"}'
     append_topic(topic(spark, [good, "bad", '{"user_id":"u"}'], "processed"), place.processed)
-    run(runners.edits_stream(spark, place.processed, table, side=place.side), runners.WRITER_QUERY, place)
+    stream = runners.edits_stream(spark, place.processed, table, max_per_trigger=max_per_trigger, side=place.side)
+    run(stream, runners.WRITER_QUERY, place)
     append_topic(topic(spark, [good, good, good, "{", good], "processed").withColumn("offset", F.col("offset") + 2), place.processed)
     assert sorted((r.partition, r.lag) for r in metrics.consumer_lag(
-        read_topic(spark, place.processed), runners.read_positions(spark, place.side)).collect()) == [(0, 3), (1, 3)]
+        read_topic(spark, place.processed), runners.read_ledger(spark, place.side)).collect()) == [(0, 3), (1, 3)]
     run(runners.edits_stream(spark, place.processed, table, side=place.side), runners.WRITER_QUERY, place)
     rejects = runners.read_rejects(spark, place.side)
     assert sorted((r.raw, r.reason) for r in rejects.collect()) == [("bad", "bad_json"), ("{", "bad_json"), ('{"user_id":"u"}', "incomplete")]
-    counts = sorted((r.n_read, r.bad_json, r.incomplete, r.passed) for r in runners.read_counts(spark, place.side).collect())
-    assert counts == [(3, 1, 1, 1), (5, 1, 0, 4)]
-    lag = metrics.consumer_lag(read_topic(spark, place.processed), runners.read_positions(spark, place.side))
+    counts = runners.read_ledger(spark, place.side).select("partition", "n_read", "bad_json", "incomplete", "passed")
+    assert sorted(map(tuple, counts.collect())) == [(0, 2, 0, 1, 1), (0, 3, 0, 0, 3), (1, 1, 1, 0, 0), (1, 2, 1, 0, 1)]
+    lag = metrics.consumer_lag(read_topic(spark, place.processed), runners.read_ledger(spark, place.side))
     assert {r.lag for r in lag.collect()} == {0}
 
 
 def test_no_side_outputs_yet(spark, place):
-    assert runners.read_positions(spark, place.side).count() == 0
-    assert runners.read_counts(spark, place.side).columns[0] == "n_read"
+    assert runners.read_ledger(spark, place.side).count() == 0
+    assert runners.read_rejects(spark, place.side).count() == 0
 
 
 def test_observed_counts(spark, place):
@@ -147,7 +149,7 @@ def test_a_batch_that_failed_half_way_is_run_again(spark, place, monkeypatch):
     run(runners.edits_stream(spark, place.processed, table, side=place.side), runners.WRITER_QUERY, place)
     assert table.read_log().count() == written > 0
     assert table.committed() == {Batch("edits", 0)}
-    assert runners.read_counts(spark, place.side).first().n_read == written
+    assert runners.read_ledger(spark, place.side).agg(F.sum("n_read")).first()[0] == written
 
 
 def test_late_records_are_counted_while_their_window_is_open(spark, place, tmp_path):
