@@ -20,11 +20,11 @@ from millrace.functions.decode import decode_processed, decode_raw, flatten_lega
 from millrace.functions.scalars import canonical_uuid
 from millrace.operators import edits, feed, filters, keyed, metrics
 from millrace.plans import pipelines
-from millrace.schemas import ALLOWED_DOMAINS, INPUT_TOPIC, PROCESSED_EVENT, PROCESSED_TOPIC, TOPIC_RECORD, require
+from millrace.schemas import ALLOWED_DOMAINS, INPUT_TOPIC, LEGACY_EVENT, PROCESSED_EVENT, PROCESSED_TOPIC, TOPIC_RECORD, require
 from millrace.session import configure, workspace
 from millrace.sources import feed_files
 from millrace.sources.edits_table import EditsTable
-from millrace.sources.topics import Topic, append_topic, number_records, offsets_between, read_topic
+from millrace.sources.topics import Topic, append_topic, from_offsets, read_topic
 from millrace.streaming import runners
 from millrace.streaming.progress import observed_totals
 
@@ -41,7 +41,7 @@ HEAD_ROWS = 10
 TRUNCATED_AT = dt.datetime(2024, 1, 15, 12)
 CONSUMED_UNTIL = dt.datetime(2024, 1, 20)
 NOW = dt.datetime(2024, 2, 1)
-OFFSET_RANGES = {0: (10, 60), 2: (0, 200)}
+STARTING_OFFSETS = {0: 10, 1: 0, 2: 7, 3: 20}
 PLACE = ("partition", "offset")
 
 
@@ -98,8 +98,8 @@ def topic_scan(spark, sf_dir):
 
 
 @query
-def topic_range(spark, sf_dir):
-    records = offsets_between(fixtures.raw_topic(spark, sf_dir), OFFSET_RANGES)
+def topic_from_offsets(spark, sf_dir):
+    records = from_offsets(fixtures.raw_topic(spark, sf_dir), STARTING_OFFSETS)
     return records.select("topic", *PLACE, "timestamp", text().alias("value"))
 
 
@@ -321,10 +321,14 @@ def stage_counts(spark, sf_dir):
 # --- feed and older forms -----------------------------------------------------------------
 
 
-def _landed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_feed(spark: SparkSession, sf_dir: str) -> str:
     folder = f"{workspace(spark, 'feed')}/frames"
     feed_files.write_frames(fixtures.feed_frames(spark, sf_dir), folder)
-    return feed_files.read_frames(spark, folder)
+    return folder
+
+
+def _landed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed_files.read_frames(spark, _landed_feed(spark, sf_dir))
 
 
 @query
@@ -397,12 +401,23 @@ def replay_idempotent(spark, sf_dir):
     return table.current().select(*PROCESSED_EVENT.names)
 
 
+@query
+def stream_legacy(spark, sf_dir):
+    """The older single job as a stream, from the earliest record."""
+    records = fixtures.raw_topic(spark, sf_dir, fixtures.mixed_uuid(F.col("event_id")))
+    source = _land(spark, records, INPUT_TOPIC, parts=2)
+    out = f"{workspace(spark, 'legacy')}/rows"
+    _run(runners.legacy_stream(spark, source, out), "legacy", workspace(spark, "checkpoints"))
+    return spark.read.schema(T.StructType([*LEGACY_EVENT[:3], T.StructField("dt", T.TimestampType())])).parquet(out)
+
+
 @query
 def full_pipeline(spark, sf_dir):
-    """Feed files to edits table. Titles depend on arrival order, so the keys are returned."""
+    """Feed files to edits table, three streams in a row. Titles depend on the order in which feed
+    files are read, so the keys are returned."""
     source = Topic(INPUT_TOPIC, path=f"{workspace(spark, 'topic')}/{INPUT_TOPIC}")
-    append_topic(number_records(pipelines.publish_feed(_landed_frames(spark, sf_dir)), source), source)
     checkpoints = workspace(spark, "checkpoints")
+    _run(runners.feed_stream(spark, _landed_feed(spark, sf_dir), source), runners.FEED_QUERY, checkpoints)
     target = _filter_to_folder(spark, source, checkpoints)
     table = EditsTable(spark, workspace(spark, "edits"))
     _run(runners.edits_stream(spark, target, table), runners.WRITER_QUERY, checkpoints)

@@ -13,6 +13,7 @@ from millrace.schemas import ALLOWED_DOMAINS, COORDINATES, INPUT_TOPIC, PROCESSE
 from millrace.sources.topics import as_topic
 
 PARTITIONS = 4
+LITTLE = 5.0
 DOMAIN_OF = {
     "click": "en.wikipedia.org",
     "view": "www.wikidata.org",
@@ -24,7 +25,7 @@ DOMAIN_OF = {
 
 def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` with the fields every fixture is made of."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "props")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", "props")
     k = F.get_json_object("props", "$.k").cast("int")
     domain = F.coalesce(*[F.when(F.col("event_type") == kind, name) for kind, name in DOMAIN_OF.items()])
     at = F.col("ts").cast("timestamp")
@@ -35,6 +36,7 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_trunc("day", at).alias("day"),
         (F.col("event_id") % PARTITIONS).cast("int").alias("partition"),
         F.floor(F.col("event_id") / PARTITIONS).cast("bigint").alias("offset"),
+        F.col("value").alias("amount"),
         domain.alias("domain"),
         F.concat(F.lit("user_"), F.col("user_id")).alias("user_text"),
         F.when(k % 10 != 0, k % 4 == 0).alias("is_bot"),
@@ -106,10 +108,10 @@ def _seq(after: str = "0 seconds") -> Column:
 
 
 def flag_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second writer: half a day after every third event it sets the flag where it is known, and
-    a title of its own for every other one of these."""
-    events = source_events(spark, sf_dir).filter(F.col("event_id") % 3 == 0)
-    rows = events.filter(F.col("domain").isin(*ALLOWED_DOMAINS)).select(
+    """A second writer: half a day after every event on an allowed domain it sets the flag where it
+    is known, and a title of its own for every other one of them."""
+    events = source_events(spark, sf_dir).filter(F.col("domain").isin(*ALLOWED_DOMAINS))
+    rows = events.select(
         "domain",
         F.col("day").alias("created_at"),
         F.col("user_text").alias("user_id"),
@@ -121,8 +123,8 @@ def flag_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deletes at the very place of every 13th event."""
-    events = source_events(spark, sf_dir).filter(F.col("event_id") % 13 == 0)
+    """Deletes at the very place of every event of little value."""
+    events = source_events(spark, sf_dir).filter(F.col("amount") < LITTLE)
     keys = events.select(
         "domain", F.col("day").alias("created_at"), F.col("user_text").alias("user_id"), _seq().alias("seq")
     )

@@ -14,14 +14,14 @@ from millrace.catalogue import (
     LOOKUP_TITLE,
     LOOKUP_USER,
     NOW,
-    OFFSET_RANGES,
+    STARTING_OFFSETS,
     TIMELINE_DOMAIN,
     TRUNCATED_AT,
 )
 
 _E = """
 e AS (
-  SELECT event_id, ts, k, date_trunc('day', ts)::TIMESTAMP AS day,
+  SELECT event_id, ts, k, value AS amount, date_trunc('day', ts)::TIMESTAMP AS day,
          (event_id % 4)::INTEGER AS "partition", (event_id // 4)::BIGINT AS "offset",
          CASE event_type WHEN 'click' THEN 'en.wikipedia.org' WHEN 'view' THEN 'www.wikidata.org'
               WHEN 'purchase' THEN 'commons.wikimedia.org' WHEN 'signup' THEN 'de.wikipedia.org'
@@ -82,7 +82,7 @@ _FLAGS = """
   SELECT domain, day, user_text, CASE WHEN event_id % 2 = 1 THEN 'Flag_' || k END, is_bot,
          ts + INTERVAL 12 HOUR, "partition", "offset"
   FROM e
-  WHERE event_id % 3 = 0 AND domain IN ('en.wikipedia.org', 'www.wikidata.org', 'commons.wikimedia.org')
+  WHERE domain IN ('en.wikipedia.org', 'www.wikidata.org', 'commons.wikimedia.org')
 """
 
 
@@ -92,7 +92,7 @@ def _merged(flags: bool, deletes: bool, since: str | None = None) -> str:
     deleted = """
 , gone AS (
   SELECT domain, day AS created_at, user_text AS user_id, ts AS written, "partition", "offset"
-  FROM e WHERE event_id % 13 = 0
+  FROM e WHERE amount < 5.0
 ), kept AS (
   SELECT w.* FROM writes w WHERE NOT EXISTS (
     SELECT 1 FROM gone g WHERE g.domain = w.domain AND g.created_at = w.created_at AND g.user_id = w.user_id
@@ -119,19 +119,21 @@ SELECT domain, created_at, user_id, {cell}, row_number() OVER (
 _EDITS = _merged(False, False) + "SELECT user_id, domain, created_at, page_title FROM cur"
 _FULL = _merged(True, True)
 _FILTERED = f'WITH {_E}, {_PASS} SELECT user_text AS user_id, domain, dt AS created_at, title AS page_title FROM passed'
+_LEGACY = f"""WITH {_E}, h AS (SELECT *, md5(event_id::VARCHAR) AS x FROM e)
+SELECT x[1:8] || '-' || x[9:12] || '-' || x[13:16] || '-' || x[17:20] || '-' || x[21:32] AS id,
+       title AS page_title, user_text, day AS dt
+FROM h WHERE NOT cut AND event_id % 5 <> 4"""
 _FULL_ROWS = _FULL + "SELECT * FROM cur"
-_RANGES = " OR ".join(
-    f'("partition" = {p} AND "offset" >= {first} AND "offset" < {end})' for p, (first, end) in OFFSET_RANGES.items()
-)
+_FROM = " OR ".join(f'("partition" = {p} AND "offset" >= {first})' for p, first in STARTING_OFFSETS.items())
 
 ORACLES: dict[str, str] = {
     "topic_scan": f"""WITH {_E}
 SELECT 'input' AS topic, "partition", count(*) AS n_records, min("offset") AS first_offset, max("offset") AS last_offset
 FROM e GROUP BY "partition" """,
-    "topic_range": f"""WITH {_E}
+    "topic_from_offsets": f"""WITH {_E}
 SELECT 'input' AS topic, "partition", "offset", ts AS "timestamp",
        CASE WHEN cut THEN ({_RAW_JSON})[1:20] ELSE {_RAW_JSON} END AS value
-FROM e WHERE {_RANGES}""",
+FROM e WHERE {_FROM}""",
     "decode_raw_events": f"""WITH {_E}
 SELECT "partition", "offset", CASE WHEN NOT cut THEN event_id::VARCHAR END AS meta_id,
        CASE WHEN NOT cut THEN dt END AS meta_dt, CASE WHEN NOT cut THEN domain END AS meta_domain,
@@ -230,10 +232,8 @@ FROM d""",
 SELECT "partition", "offset", CASE WHEN NOT cut THEN event_id::VARCHAR END AS id, CASE WHEN NOT cut THEN title END AS page_title,
        CASE WHEN NOT cut THEN user_text END AS user_text, CASE WHEN NOT cut THEN dt END AS dt
 FROM e""",
-    "legacy_normalize": f"""WITH {_E}, h AS (SELECT *, md5(event_id::VARCHAR) AS x FROM e)
-SELECT x[1:8] || '-' || x[9:12] || '-' || x[13:16] || '-' || x[17:20] || '-' || x[21:32] AS id,
-       title AS page_title, user_text, day AS dt
-FROM h WHERE NOT cut AND event_id % 5 <> 4""",
+    "legacy_normalize": _LEGACY,
+    "stream_legacy": _LEGACY,
     "stream_filter": _FILTERED,
     "stream_edits": _EDITS,
     "replay_idempotent": _EDITS,

@@ -75,7 +75,7 @@ class EditsTable:
         rows.write.mode("overwrite").partitionBy(*_DIRECTORY).parquet(path)
 
     def _by_directory(self, rows: DataFrame, spread: Column) -> DataFrame:
-        if self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
             # splits a directory that is too large for one task, by size, and joins small ones
             return rows.hint("rebalance", *[F.col(c) for c in _DIRECTORY])
         return rows.repartition(*_DIRECTORY, F.pmod(spread, F.lit(_SPREAD)))

@@ -13,6 +13,11 @@ def read_frames(spark: SparkSession, path: str, newline: str = "\n") -> DataFram
     return spark.read.option("lineSep", newline * 2).text(path)
 
 
+def stream_frames(spark: SparkSession, path: str, newline: str = "\n") -> DataFrame:
+    """The same, as files land in the folder."""
+    return spark.readStream.option("lineSep", newline * 2).text(path)
+
+
 def write_frames(frames: DataFrame, path: str, newline: str = "\n") -> None:
     """Write column `value` as frames."""
     frames.select("value").write.option("lineSep", newline * 2).text(path)

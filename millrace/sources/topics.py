@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.schemas import COORDINATES, PROCESSED_TOPIC, SEQ, TOPIC_RECORD
+from millrace.sources import files
 
 _HEADER_PREFIX = "source."
 
@@ -74,13 +75,17 @@ def stream_topic(
     return reader.option("startingOffsets", start).load()
 
 
-def offsets_between(records: DataFrame, ranges: Mapping[int, tuple[int, int]]) -> DataFrame:
-    """Records of the named partitions with `first <= offset < end`. Reaches the file scan."""
+def from_offsets(
+    records: DataFrame, start: Mapping[int, int], end: Mapping[int, int] | None = None
+) -> DataFrame:
+    """Records of the named partitions from their `start` offset on and before their `end`, if they
+    have one. Reaches the file scan."""
     wanted = F.lit(False)
-    for partition, (first, end) in ranges.items():
-        wanted = wanted | (
-            (F.col("partition") == partition) & (F.col("offset") >= first) & (F.col("offset") < end)
-        )
+    for partition, first in start.items():
+        here = (F.col("partition") == partition) & (F.col("offset") >= first)
+        if end is not None and partition in end:
+            here = here & (F.col("offset") < end[partition])
+        wanted = wanted | here
     return records.filter(wanted)
 
 
@@ -93,6 +98,22 @@ def append_topic(records: DataFrame, topic: Topic) -> None:
         writer.option("topic", topic.name).save()
 
 
+def publish_values(values: DataFrame, topic: Topic) -> None:
+    """Append values that have no place yet, as new records without a key."""
+    if topic.path is not None:
+        append_topic(number_records(values, topic, first_offset=next_offset(values.sparkSession, topic)), topic)
+    else:
+        writer = values.select("value").write.format("kafka").options(**_broker_options(topic))
+        writer.option("topic", topic.name).save()
+
+
+def next_offset(spark: SparkSession, topic: Topic) -> int:
+    """One past the last offset in a folder. Reads that one column."""
+    if not files.glob(spark, f"{topic.path}/*.parquet"):
+        return 0
+    return spark.read.schema(TOPIC_RECORD).parquet(topic.path).agg(F.max("offset")).first()[0] + 1
+
+
 def topic_writer(records: DataFrame, topic: Topic) -> DataStreamWriter:
     """A stream writer that appends; the caller adds checkpoint, trigger and start."""
     if topic.path is not None:

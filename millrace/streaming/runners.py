@@ -25,12 +25,14 @@ from millrace.operators.edits import (
     select_edits,
 )
 from millrace.operators.metrics import POSITION_SCHEMA, counters, ledger, topic_throughput
-from millrace.plans.pipelines import filter_job, writer_job
+from millrace.plans.pipelines import filter_job, legacy_rows, publish_feed, writer_job
 from millrace.schemas import ALLOWED_DOMAINS, COORDINATES, REJECT
 from millrace.sources import files
 from millrace.sources.edits_table import EditsTable
-from millrace.sources.topics import Topic, as_topic, stream_topic, topic_writer
+from millrace.sources.feed_files import stream_frames
+from millrace.sources.topics import Topic, as_topic, publish_values, stream_topic, topic_writer
 
+FEED_QUERY = "feed"
 FILTER_QUERY = "filter"
 WRITER_QUERY = "edits"
 
@@ -116,6 +118,22 @@ def edits_stream(
     return processed.writeStream.foreachBatch(write).outputMode("append")
 
 
+def feed_stream(spark: SparkSession, path: str, target: Topic, newline: str = "\n") -> DataStreamWriter:
+    """Feed files, as they land in a folder -> raw topic."""
+    values = publish_feed(stream_frames(spark, path, newline))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        publish_values(batch, target)
+
+    return values.writeStream.foreachBatch(write).outputMode("append")
+
+
+def legacy_stream(spark: SparkSession, source: Topic, path: str) -> DataStreamWriter:
+    """Raw topic -> rows of the older single job, appended to a folder."""
+    rows = legacy_rows(stream_topic(spark, source, "earliest"))
+    return rows.writeStream.format("parquet").option("path", path).outputMode("append")
+
+
 def _write_side(batch: DataFrame, side: str, at: str) -> None:
     classified = classify_processed(batch)
     rejects(classified).write.mode("overwrite").parquet(f"{side}/rejects/{at}")

@@ -10,8 +10,10 @@ from millrace.sources.topics import (
     Topic,
     append_topic,
     coordinate_headers,
+    from_offsets,
+    next_offset,
     number_records,
-    offsets_between,
+    publish_values,
     read_topic,
     source_seq,
     stream_topic,
@@ -46,9 +48,9 @@ def test_required_columns(spark):
 
 def test_offset_ranges(spark):
     records = topic(spark, [str(i) for i in range(20)], partitions=3)
-    got = offsets_between(records, {0: (2, 4), 2: (0, 1)}).select("partition", "offset").collect()
-    assert sorted(map(tuple, got)) == [(0, 2), (0, 3), (2, 0)]
-    assert offsets_between(records, {}).count() == 0
+    got = from_offsets(records, {0: 2, 1: 5, 2: 0}, {0: 4, 2: 1}).select("partition", "offset").collect()
+    assert sorted(map(tuple, got)) == [(0, 2), (0, 3), (1, 5), (1, 6), (2, 0)]
+    assert from_offsets(records, {}).count() == 0
 
 
 def test_source_coordinates_survive_a_broker(spark):
@@ -87,6 +89,17 @@ def test_numbered_records(spark):
     assert {r[0] for r in got.select("partition").distinct().collect()} == {0, 1, 2}
 
 
+def test_published_values_are_numbered_on(spark, tmp_path):
+    t = Topic("input", path=str(tmp_path / "input"))
+    values = spark.range(0, 50, 1, 3).select(F.col("id").cast("string").cast("binary").alias("value"))
+    assert next_offset(spark, t) == 0
+    publish_values(values, t)
+    publish_values(values, t)
+    got = read_topic(spark, t)
+    assert got.count() == got.select("offset").distinct().count() == 100
+    assert next_offset(spark, t) == got.agg(F.max("offset")).first()[0] + 1
+
+
 def test_a_broker_is_asked_for_only_with_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_topic(spark, Topic("input", servers="nowhere:9092")).count()
