@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from millrace.schemas import CELLS, DELETE, EDIT_LOG, EDIT_ROW, KEY, KEY_STATE, SEQ, UPSERT, require
 from millrace.session import BROADCAST_ROWS, fits_broadcast
 
+# The key as the merge groups by it. Rows are sorted on it, by the first column's leading bytes for
+# as long as these differ, so the column with the most values comes first.
+_GROUPING = ("created_at", "user_id", "domain")
 _STATE_PARTS = [name for name in KEY_STATE.names if name not in KEY]
 
 
@@ -76,7 +79,8 @@ def merge_states(states: DataFrame) -> DataFrame:
     third of all writes sends one row per task through the shuffle. The shuffle is on the whole key.
     Among cells of equal `seq` the greater value wins, which keeps the result determined.
     """
-    return states.groupBy(*KEY).agg(*[F.max(part).alias(part) for part in _STATE_PARTS])
+    merged = states.groupBy(*_GROUPING).agg(*[F.max(part).alias(part) for part in _STATE_PARTS])
+    return merged.select(*KEY_STATE.names)
 
 
 def live_rows(states: DataFrame) -> DataFrame:
@@ -104,7 +108,7 @@ def current_rows(log: DataFrame, truncated_at: dt.datetime | None = None) -> Dat
 def latest_rows(log: DataFrame) -> DataFrame:
     """Last whole row per key, for logs of complete upserts only: less state than `current_rows`."""
     newest = F.max(F.struct("seq", *CELLS)).alias("_row")
-    return log.groupBy(*KEY).agg(newest).select(
+    return log.groupBy(*_GROUPING).agg(newest).select(
         "user_id", "domain", "_row.page_title", "created_at", "_row.user_is_bot"
     )
 

@@ -21,7 +21,11 @@ _HEADER_PREFIX = "source."
 
 @dataclass(frozen=True)
 class Topic:
-    """A topic by name, at a broker (`servers`) or in a folder (`path`)."""
+    """A topic by name, at a broker (`servers`) or in a folder (`path`).
+
+    A folder has one kind of writer: either one stream, whose file log then says what is in it, or
+    batches (`append_topic`, `publish_values`). `options` go to the broker's reader and writer.
+    """
 
     name: str
     path: str | None = None

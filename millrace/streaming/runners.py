@@ -93,8 +93,10 @@ def edits_stream(
     starting: str = "earliest",
     max_per_trigger: int | None = None,
     side: str | None = None,
+    arrange: bool = False,
 ) -> DataStreamWriter:
-    """Processed topic -> edits table.
+    """Processed topic -> edits table. `arrange`, for catching up on much at once, is explained at
+    `EditsTable.write_batch`.
 
     With a `side` folder every micro-batch also leaves there the records it could not use
     (`rejects/`) and, per topic partition, the position it read up to and its counts per outcome
@@ -104,12 +106,12 @@ def edits_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if side is None:
-            table.write_batch(writer_job(batch), writer, batch_id)
+            table.write_batch(writer_job(batch), writer, batch_id, arrange)
             return
         # A micro-batch of bounded size is kept for the three outputs; else it is read for each.
         batch = batch.persist() if max_per_trigger is not None else batch
         try:
-            table.write_batch(writer_job(batch), writer, batch_id)
+            table.write_batch(writer_job(batch), writer, batch_id, arrange)
             _write_side(batch, side.rstrip("/"), f"writer={writer}/batch_id={batch_id}")
         finally:
             if max_per_trigger is not None:

@@ -1,0 +1,49 @@
+import pytest
+
+from helpers import event, topic
+from millrace import jobs
+from millrace.sources.topics import Topic, append_topic
+
+
+def test_the_whole_way(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.delenv("KAFKA_BROKER", raising=False)
+    at = {name: str(tmp_path / name) for name in ("feed", "input", "processed", "edits", "checkpoints", "side")}
+    (tmp_path / "feed").mkdir()
+    import json
+
+    lines = [event(user="u1", title="A"), event(user="u2", title="B", bot=True), event(user="u3", domain="www.wikidata.org", title="A")]
+    (tmp_path / "feed" / "f.txt").write_text("".join(f"data: {json.dumps(x)}\n\n" for x in lines))
+
+    def run(*argv):
+        return jobs.main([*argv], spark)
+
+    common = ("--checkpoints", at["checkpoints"], "--until-caught-up")
+    run("publish", "--feed", at["feed"], "--output", at["input"], *common)
+    run("filter", "--input", at["input"], "--output", at["processed"], "--observe", *common)
+    run("writer", "--input", at["processed"], "--table", at["edits"], "--side", at["side"], *common)
+    assert run("count", "--table", at["edits"]).first().n_rows == 2
+    assert run("check", "--table", at["edits"]).first().n_repeated_keys == 0
+    assert run("find", "--table", at["edits"], "--user", "u3").first().domain == "www.wikidata.org"
+    assert run("find", "--table", at["edits"], "--title", "A", "--domain", "en.wikipedia.org").first().user_id == "u1"
+    assert run("compact", "--table", at["edits"]) == 0
+    assert run("compact", "--table", at["edits"], "--full") == 1
+    assert run("vacuum", "--table", at["edits"]) == 1
+    assert run("find", "--table", at["edits"], "--title", "A").count() == 2
+    assert run("truncate", "--table", at["edits"]) == 2
+    assert run("count", "--table", at["edits"]).first().n_rows == 0
+
+
+def test_other_domains(spark, tmp_path, monkeypatch):
+    monkeypatch.delenv("KAFKA_BROKER", raising=False)
+    append_topic(topic(spark, [event(domain="x"), event()]), Topic("input", path=str(tmp_path / "input")))
+    jobs.main(
+        ["filter", "--input", str(tmp_path / "input"), "--output", str(tmp_path / "out"), "--domains", "x",
+         "--checkpoints", str(tmp_path / "c"), "--until-caught-up"], spark,
+    )
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_a_broker_is_asked_for_by_its_address(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv("KAFKA_BROKER", "nowhere:9092")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        jobs.main(["filter", "--checkpoints", str(tmp_path / "c"), "--until-caught-up"], spark)
