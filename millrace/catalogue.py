@@ -412,7 +412,7 @@ def stream_legacy(spark, sf_dir):
 
 
 @query
-def full_pipeline(spark, sf_dir):
+def feed_to_table(spark, sf_dir):
     """Feed files to edits table, three streams in a row. Titles depend on the order in which feed
     files are read, so the keys are returned."""
     source = Topic(INPUT_TOPIC, path=f"{workspace(spark, 'topic')}/{INPUT_TOPIC}")

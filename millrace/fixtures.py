@@ -101,7 +101,7 @@ def uneven_processed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_topic(_made_once(_records(records)), PROCESSED_TOPIC)
 
 
-def _seq(after: str = "0 seconds") -> Column:
+def _seq(after: str) -> Column:
     return F.struct(
         (F.col("timestamp") + F.expr(f"INTERVAL {after}")).alias("timestamp"), F.col("partition"), F.col("offset")
     ).cast(SEQ)
@@ -123,10 +123,10 @@ def flag_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deletes at the very place of every event of little value."""
+    """Deletes for every event of little value, at the very place of the second writer's write for it."""
     events = source_events(spark, sf_dir).filter(F.col("amount") < LITTLE)
     keys = events.select(
-        "domain", F.col("day").alias("created_at"), F.col("user_text").alias("user_id"), _seq().alias("seq")
+        "domain", F.col("day").alias("created_at"), F.col("user_text").alias("user_id"), _seq("12 hours").alias("seq")
     )
     return deletes(keys, F.col("seq"), "cleaner", 0)
 

@@ -91,7 +91,7 @@ def _merged(flags: bool, deletes: bool, since: str | None = None) -> str:
     later = f"WHERE written > TIMESTAMP '{since}'" if since else ""
     deleted = """
 , gone AS (
-  SELECT domain, day AS created_at, user_text AS user_id, ts AS written, "partition", "offset"
+  SELECT domain, day AS created_at, user_text AS user_id, ts + INTERVAL 12 HOUR AS written, "partition", "offset"
   FROM e WHERE amount < 5.0
 ), kept AS (
   SELECT w.* FROM writes w WHERE NOT EXISTS (
@@ -237,7 +237,7 @@ FROM e""",
     "stream_filter": _FILTERED,
     "stream_edits": _EDITS,
     "replay_idempotent": _EDITS,
-    "full_pipeline": f"""WITH {_E}, {_PASS}
+    "feed_to_table": f"""WITH {_E}, {_PASS}
 SELECT DISTINCT domain, day AS created_at, user_text AS user_id FROM passed WHERE event_id % 11 <> 0""",
     "stream_rejects": f"""WITH {_E}, {_UNEVEN}
 SELECT 'processed' AS topic, "partition", "offset", ts AS "timestamp", raw, outcome AS reason

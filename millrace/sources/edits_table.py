@@ -54,6 +54,8 @@ class Batch:
 
 class EditsTable:
     def __init__(self, spark: SparkSession, root: str) -> None:
+        if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+            raise ValueError("days of the table are UTC days: the session's time zone must be UTC (see session.configure)")
         self.spark = spark
         self.root = root.rstrip("/")
 

@@ -27,6 +27,27 @@ def test_empty_table(table):
     assert table.current().count() == 0 and table.generation() is None and table.committed() == set()
 
 
+def test_a_batch_without_rows(spark, table):
+    table.write_batch(log_rows(spark, []), "w", 0)
+    assert table.current().count() == 0 and table.committed() == {Batch("w", 0)}
+    table.write_batch(log_rows(spark, []), "w", 1, arrange=True)
+    assert table.compact() == 0 and table.current().count() == 0
+    writes = random_writes(20, 10)
+    table.write_batch(log_rows(spark, writes), "w", 2)
+    assert collected(table.current()) == replay(writes)
+    table.compact()
+    assert collected(table.current()) == replay(writes)
+
+
+def test_days_are_utc_days(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            EditsTable(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("arrange", [False, True])
 @pytest.mark.parametrize("adaptive", ["true", "false"])
 def test_batches_of_several_writers(spark, table, arrange, adaptive):

@@ -71,6 +71,23 @@ def test_resumes_where_it_stopped(spark, place):
     assert texts(table.current()) == texts(keyed.current_rows(writer_job(filter_job(whole))))
 
 
+@pytest.mark.parametrize("fits", [True, False])
+def test_allow_list_as_a_table(spark, place, monkeypatch, fits):
+    monkeypatch.setattr("millrace.operators.filters.fits_broadcast", lambda df, rows: fits)
+    append_topic(topic(spark, events(60)), place.input)
+    allowed = spark.createDataFrame([("www.wikidata.org",), ("x",)], "name string")
+    run(runners.filter_stream(spark, place.input, place.processed, allowed), runners.FILTER_QUERY, place)
+    got = texts(decode_processed(read_topic(spark, place.processed)))
+    assert got == texts(filter_edits(topic(spark, events(60)), ["www.wikidata.org", "x"]))
+
+
+def test_catching_up(spark, place):
+    append_topic(filter_job(topic(spark, events(60))), place.processed)
+    table = EditsTable(spark, place.table)
+    run(runners.edits_stream(spark, place.processed, table, arrange=True), runners.WRITER_QUERY, place)
+    assert texts(table.current()) == texts(keyed.current_rows(writer_job(read_topic(spark, place.processed))))
+
+
 def test_drop_and_pass(spark, place):
     values = [
         event(user="bot", bot=True), event(user="uk", domain="uk.wikipedia.org"), event(user="wd", domain="www.wikidata.org"),
