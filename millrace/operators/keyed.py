@@ -162,9 +162,10 @@ def lookup_title(log: DataFrame, page_title: str, broadcast_rows: int = BROADCAS
     broadcast, just their writes are merged; else all writes are, and no join on a possibly very
     uneven key takes place.
     """
-    had_it = log.filter(set_title(page_title)).select(*KEY).distinct()
+    key = [*KEY, "d"]  # the day as well, to prune directories
+    had_it = log.filter(set_title(page_title)).select(*key).distinct()
     if fits_broadcast(had_it, broadcast_rows):
-        log = log.join(F.broadcast(had_it), list(KEY), "left_semi")
+        log = log.join(F.broadcast(had_it), key, "left_semi")
     return current_rows(log).filter(F.col("page_title") == page_title)
 
 

@@ -15,14 +15,15 @@ Directories go by domain and day. A domain alone would be a handful of ever-grow
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.keyed import live_rows, merge_states, newest_first, set_title, to_states
-from millrace.schemas import EDIT_LOG, KEY, KEY_STATE
+from millrace.schemas import EDIT_LOG, EDIT_ROW, KEY, KEY_STATE
 from millrace.session import BROADCAST_ROWS, broadcast_if_small, fits_broadcast
 from millrace.sources import files
 
@@ -37,6 +38,11 @@ _DIRECTORY = ["domain", "d"]
 _SPREAD = 64
 
 
+def _name() -> Column:
+    """A directory of the base in one text."""
+    return F.concat_ws("/", "generation", "domain", "d")
+
+
 def _with_blooms(writer: DataFrameWriter, *columns: str) -> DataFrameWriter:
     """Bloom filters, for lookups by columns the files are not sorted by, sized to what is written.
     For the base only: batches are soon part of it."""
@@ -114,14 +120,18 @@ class EditsTable:
         return self._read_batches(self.committed())
 
     def _read_base(self, manifest: DataFrame) -> DataFrame:
-        """States of the base: for each directory the generation that the manifest names."""
-        base = self.spark.read.schema(_BASE).parquet(f"{self.root}/base")
-        # on directory levels only, so that other generations are not opened at all
-        return base.join(manifest, [*_DIRECTORY, "generation"], "left_semi").drop("generation")
+        """States in the directories that the manifest names.
+
+        The join is on a key made of directory levels alone, and the manifest's side carries a
+        filter: that is what has the optimizer turn it into a partition filter, so that no other
+        directory is opened.
+        """
+        wanted = manifest.filter(F.col("generation") >= 0).select(_name().alias("directory"))
+        base = self.spark.read.schema(_BASE).parquet(f"{self.root}/base").withColumn("directory", _name())
+        return base.join(broadcast_if_small(wanted), "directory", "left_semi").drop("directory", "generation")
 
     def _read_manifest(self, generation: int) -> DataFrame:
-        manifest = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/generation={generation}")
-        return broadcast_if_small(manifest)
+        return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/generation={generation}")
 
     def current(self, where: Column | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
         """Current rows, optionally of the keys that meet `where` (see `key_predicate`).
@@ -129,54 +139,67 @@ class EditsTable:
         Directories with no write since the last compaction are read as they are; only the others
         go through the merge and its shuffle.
         """
-        recent, base = self._parts(where)
-        if base is None:
+        recent, manifest = self._parts()
+        if where is not None:
+            recent = recent.filter(where)
+        if manifest is None:
             return live_rows(merge_states(to_states(recent)))
-        quiet, busy = self._quiet_and_busy(recent, base, broadcast_rows)
-        rows = live_rows(merge_states(to_states(recent).unionByName(busy)))
-        return rows if quiet is None else live_rows(quiet).unionByName(rows)
+
+        def states(part: DataFrame) -> DataFrame:
+            base = self._read_base(part)
+            return (base if where is None else base.filter(where)).select(*KEY_STATE.names)
+
+        names = self._touched(recent, broadcast_rows)
+        if names is None:
+            return live_rows(merge_states(to_states(recent).unionByName(states(manifest))))
+        if not names:
+            return live_rows(states(manifest))
+        touched = self._broadcast_names(names)
+        busy = states(manifest.join(touched, _DIRECTORY, "left_semi"))
+        quiet = states(manifest.join(touched, _DIRECTORY, "left_anti"))
+        return live_rows(quiet).unionByName(live_rows(merge_states(to_states(recent).unionByName(busy))))
 
     def with_title(self, page_title: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
         """Rows whose current title is the given one.
 
         Merges only keys that ever had the title, if these are few enough to broadcast.
         """
-        recent, base = self._parts(None)
-        had_it = recent.filter(set_title(page_title)).select(*KEY)
+        recent, manifest = self._parts()
+        base = None if manifest is None else self._read_base(manifest)
+        key = [*KEY, "d"]
+        had_it = recent.filter(set_title(page_title)).select(*key)
         if base is not None:
             # a key that in the base has another title can have this one only by a recent write
-            held = base.filter(F.col("page_title.value") == page_title)
-            had_it = had_it.unionByName(held.select(*KEY))
+            had_it = had_it.unionByName(base.filter(F.col("page_title.value") == page_title).select(*key))
         had_it = had_it.distinct()
         if not fits_broadcast(had_it, broadcast_rows):
             return self.current().filter(F.col("page_title") == page_title)
-        states = to_states(recent.join(F.broadcast(had_it), list(KEY), "left_semi"))
-        if base is not None:
-            held = base.join(F.broadcast(had_it), list(KEY), "left_semi")
-            states = states.unionByName(held.select(*KEY_STATE.names))
+        found = had_it.collect()  # of measured size; fetched so that it is searched for once
+        if not found:
+            return self.spark.createDataFrame([], EDIT_ROW)
+        keys = F.broadcast(self.spark.createDataFrame(found, had_it.schema))
+        states = to_states(recent.join(keys, key, "left_semi"))
+        if manifest is not None:
+            directories = self._broadcast_names(sorted({(row.domain, row.d) for row in found}))
+            held = self._read_base(manifest.join(directories, _DIRECTORY, "left_semi"))
+            states = states.unionByName(held.join(keys, key, "left_semi").select(*KEY_STATE.names))
         return live_rows(merge_states(states)).filter(F.col("page_title") == page_title)
 
-    def _parts(self, where: Column | None) -> tuple[DataFrame, DataFrame | None]:
-        """(log rows the base does not contain, states of the base)."""
+    def _parts(self) -> tuple[DataFrame, DataFrame | None]:
+        """(log rows the base does not contain, manifest of the base if there is one)."""
         generation = self.generation()
         recent = self._read_batches(self.committed() - self.absorbed(generation))
-        base = None if generation is None else self._read_base(self._read_manifest(generation))
-        if where is not None:
-            recent, base = recent.filter(where), None if base is None else base.filter(where)
-        return recent, base
-
-    def _quiet_and_busy(
-        self, recent: DataFrame, base: DataFrame, broadcast_rows: int
-    ) -> tuple[DataFrame | None, DataFrame]:
-        """Base states in directories without and with recent writes; all of them as the latter if
-        there are too many such directories to broadcast."""
-        touched = recent.select(*_DIRECTORY).distinct()
-        if not fits_broadcast(touched, broadcast_rows):
-            return None, base.select(*KEY_STATE.names)
-        touched = F.broadcast(touched)
-        quiet = base.join(touched, _DIRECTORY, "left_anti").select(*KEY_STATE.names)
-        busy = base.join(touched, _DIRECTORY, "left_semi").select(*KEY_STATE.names)
-        return quiet, busy
+        return recent, None if generation is None else self._read_manifest(generation)
+
+    def _touched(self, recent: DataFrame, most: int = BROADCAST_ROWS) -> list[Row] | None:
+        """Names of the directories with recent writes; None if there are more than `most`."""
+        names = recent.select(*_DIRECTORY).distinct().limit(most + 1).collect()
+        return names if len(names) <= most else None
+
+    def _broadcast_names(self, names: Sequence[tuple]) -> DataFrame:
+        # Rows, not the query that found them: a side of a join that itself scans partitioned files
+        # would keep the other side's partition filter from being made.
+        return F.broadcast(self.spark.createDataFrame(names, "domain STRING, d DATE"))
 
     # --- upkeep ---------------------------------------------------------------------------
 
@@ -196,7 +219,8 @@ class EditsTable:
         number = 0 if previous is None else previous + 1
         recent = self._read_batches(fresh)
         states = to_states(recent)
-        touched = recent.select(*_DIRECTORY).distinct()
+        names = self._touched(recent)
+        touched = recent.select(*_DIRECTORY).distinct() if names is None else self._broadcast_names(names)
         kept = None
         if previous is not None:
             old = self._read_manifest(previous)
@@ -204,10 +228,9 @@ class EditsTable:
                 busy = old
                 touched = touched.unionByName(old.select(*_DIRECTORY)).distinct()
             else:
-                touched = broadcast_if_small(touched)
                 busy = old.join(touched, _DIRECTORY, "left_semi")
                 kept = old.join(touched, _DIRECTORY, "left_anti")
-            states = states.unionByName(self._read_base(broadcast_if_small(busy)).select(*KEY_STATE.names))
+            states = states.unionByName(self._read_base(busy).select(*KEY_STATE.names))
         manifest = touched.withColumn("generation", F.lit(number).cast("bigint"))
         self._write_generation(number, states, manifest if kept is None else manifest.unionByName(kept), committed)
         return number
