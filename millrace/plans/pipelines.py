@@ -10,10 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.decode import (
+    decode,
     decode_processed,
-    decode_raw,
     encode_processed,
     flatten_legacy,
     may_hold_false,
@@ -26,10 +27,15 @@ from millrace.operators.edits import clean_edits, select_edits
 from millrace.operators.feed import feed_messages, publishable
 from millrace.operators.filters import filter_domain, filter_human
 from millrace.operators.keyed import upserts
-from millrace.schemas import ALLOWED_DOMAINS, COORDINATES, PROCESSED_TOPIC
+from millrace.schemas import ALLOWED_DOMAINS, COORDINATES, PROCESSED_TOPIC, RAW_EVENT
 from millrace.sources.topics import as_topic, source_seq
 
 
+# What of a raw event the filter job looks at: all but `meta.id`.
+_META = T.StructType([field for field in RAW_EVENT["meta"].dataType if field.name != "id"])
+_LOOKED_AT = T.StructType([T.StructField("meta", _META), RAW_EVENT["performer"], RAW_EVENT["page_title"]])
+
+
 def filter_edits(
     raw_topic: DataFrame, allowed: Sequence[str] | DataFrame = ALLOWED_DOMAINS, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -39,10 +45,10 @@ def filter_edits(
     """
     raw_topic = raw_topic.filter(may_hold_false(text()))
     if isinstance(allowed, DataFrame):
-        decoded = decode_raw(raw_topic, list(dict.fromkeys((*keep, *COORDINATES))))
+        decoded = decode(raw_topic, _LOOKED_AT, list(dict.fromkeys((*keep, *COORDINATES))))
         on_list = filter_domain(decoded, allowed, spread=F.xxhash64(*COORDINATES))
     else:
-        decoded = decode_raw(raw_topic.filter(may_mention(text(), allowed)), keep)
+        decoded = decode(raw_topic.filter(may_mention(text(), allowed)), _LOOKED_AT, keep)
         on_list = filter_domain(decoded, allowed)
     return select_edits(filter_human(on_list), keep)
 

@@ -30,7 +30,8 @@ class ObservedTotals(StreamingQueryListener):
 
     def __init__(self) -> None:
         self.totals: dict[str, Counter[str]] = {}
-        self.end_offsets: dict[str, list[str]] = {}
+        self.end_offsets: dict[str, list[str]] = {}  # see metrics.positions_from_progress
+        self.behind: dict[str, list[dict[str, str]]] = {}  # a broker's source tells its lag itself
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -41,6 +42,7 @@ class ObservedTotals(StreamingQueryListener):
             counts = {key: value or 0 for key, value in observed.asDict().items()}
             self.totals.setdefault(name, Counter()).update(counts)
         self.end_offsets[report.name] = [source.endOffset for source in report.sources]
+        self.behind[report.name] = [dict(source.metrics) for source in report.sources]
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from millrace.schemas import TOPIC_RECORD
 
 
-def event(domain="en.wikipedia.org", bot=False, user="TestUser", title="TestPage", dt="2026-05-01T10:00:00.000Z", **more):
-    made = {
-        "meta": {"id": more.pop("id", "550e8400-e29b-41d4-a716-446655440000"), "dt": dt, "domain": domain},
-        "page_title": title,
-        "performer": {"user_text": user, "user_is_bot": bot},
-    }
-    made.update(more)
-    return made
+FIELDS = {"id": "e-1", "dt": "2026-03-04T05:06:07Z", "domain": "en.wikipedia.org", "user": "ann", "bot": False, "title": "Start"}
+
+
+def event(**given):
+    """A raw event; anything that is no field of it is set at the top level as it is."""
+    f = {**FIELDS, **given}
+    whole = {"meta": {k: f[k] for k in ("id", "dt", "domain")}, "performer": {"user_text": f["user"], "user_is_bot": f["bot"]}}
+    whole["page_title"] = f["title"]
+    return {**whole, **{k: v for k, v in given.items() if k not in FIELDS}}
 
 
 def topic(spark, values, name="input", partitions=2):

@@ -19,9 +19,9 @@ def table(spark, tmp_path):
 
 
 def test_write_and_read(spark, table):
-    table.write_batch(log_rows(spark, [(("en.wikipedia.org", START, "user_123"), "up", (START, 0, 1), "Main Page", None)]), "w", 0)
-    got = collected(table.current().filter("user_id = 'user_123'"))
-    assert got == [("en.wikipedia.org", START, "user_123", "Main Page", None)]
+    other = ("x", START, "v")
+    table.write_batch(log_rows(spark, [(KEY, "up", (START, 0, 1), "T", None), (other, "up", (START, 0, 2), "T", None)]), "w", 0)
+    assert collected(table.current().filter("user_id = 'u'")) == [(*KEY, "T", None)]
 
 
 def test_empty_table(table):
