@@ -35,6 +35,12 @@ def workspace(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"millrace-{name}-")
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows. The optimizer knows, and leaves out what would be joined with or added to them."""
+    nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(1).select(*nothing).filter(F.lit(False))
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Measure `df`, no further than the bounds, to learn whether it may be broadcast.
 

@@ -18,21 +18,25 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.keyed import live_rows, merge_states, newest_first, set_title, to_states
 from millrace.schemas import EDIT_LOG, EDIT_ROW, KEY, KEY_STATE
-from millrace.session import BROADCAST_ROWS, broadcast_if_small, fits_broadcast
+from millrace.session import BROADCAST_ROWS, broadcast_if_small, empty, fits_broadcast
 from millrace.sources import files
 
 _ON_DISK_LEVELS = ("writer", "batch_id")
 _BASE = T.StructType(
     [*KEY_STATE, T.StructField("generation", T.LongType()), T.StructField("d", T.DateType())]
 )
-_MANIFEST = "domain STRING, d DATE, generation BIGINT"
-_ABSORBED = "writer STRING, batch_id BIGINT"
+_KEY_COLUMNS = T.StructType([*[_BASE[name] for name in KEY], _BASE["d"]])
+_MANIFEST = T.StructType([_BASE["domain"], _BASE["d"], _BASE["generation"]])
+_ABSORBED = T.StructType([EDIT_LOG["writer"], EDIT_LOG["batch_id"]])
+_ABSORBED_ARROW = pa.schema([("writer", pa.string()), ("batch_id", pa.int64())])
+_NAMES_ARROW = pa.schema([("domain", pa.string()), ("d", pa.date32())])
 _DIRECTORY = ["domain", "d"]
 # Tasks over which one directory's rows are dealt where the session does not balance by size.
 _SPREAD = 64
@@ -110,7 +114,7 @@ class EditsTable:
 
     def _read_batches(self, batches: set[Batch]) -> DataFrame:
         if not batches:
-            return self.spark.createDataFrame([], EDIT_LOG)
+            return empty(self.spark, EDIT_LOG)
         paths = [f"{self.root}/log/writer={b.writer}/batch_id={b.batch_id}" for b in batches]
         # a declared schema: from directory names alone a domain like `123` would become a number
         return self.spark.read.schema(EDIT_LOG).option("basePath", f"{self.root}/log").parquet(*sorted(paths))
@@ -134,13 +138,15 @@ class EditsTable:
         return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/generation={generation}")
 
     def current(self, where: Column | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-        """Current rows, optionally of the keys that meet `where` (see `key_predicate`).
+        """Current rows, optionally of the keys that meet `where` (see `key_predicate`). That may use
+        the key columns and `d`; a condition on a cell holds only for the result, so put it there.
 
         Directories with no write since the last compaction are read as they are; only the others
         go through the merge and its shuffle.
         """
         recent, manifest = self._parts()
         if where is not None:
+            empty(self.spark, _KEY_COLUMNS).filter(where)  # raises for other columns
             recent = recent.filter(where)
         if manifest is None:
             return live_rows(merge_states(to_states(recent)))
@@ -174,13 +180,13 @@ class EditsTable:
         had_it = had_it.distinct()
         if not fits_broadcast(had_it, broadcast_rows):
             return self.current().filter(F.col("page_title") == page_title)
-        found = had_it.collect()  # of measured size; fetched so that it is searched for once
-        if not found:
-            return self.spark.createDataFrame([], EDIT_ROW)
-        keys = F.broadcast(self.spark.createDataFrame(found, had_it.schema))
+        found = had_it.toArrow()  # of measured size; fetched so that it is not searched for again
+        if found.num_rows == 0:
+            return empty(self.spark, EDIT_ROW)
+        keys = F.broadcast(self.spark.createDataFrame(found))
         states = to_states(recent.join(keys, key, "left_semi"))
         if manifest is not None:
-            directories = self._broadcast_names(sorted({(row.domain, row.d) for row in found}))
+            directories = self._broadcast_names(sorted(set(zip(found["domain"].to_pylist(), found["d"].to_pylist()))))
             held = self._read_base(manifest.join(directories, _DIRECTORY, "left_semi"))
             states = states.unionByName(held.join(keys, key, "left_semi").select(*KEY_STATE.names))
         return live_rows(merge_states(states)).filter(F.col("page_title") == page_title)
@@ -199,7 +205,8 @@ class EditsTable:
     def _broadcast_names(self, names: Sequence[tuple]) -> DataFrame:
         # Rows, not the query that found them: a side of a join that itself scans partitioned files
         # would keep the other side's partition filter from being made.
-        return F.broadcast(self.spark.createDataFrame(names, "domain STRING, d DATE"))
+        table = pa.table({"domain": [name[0] for name in names], "d": [name[1] for name in names]}, _NAMES_ARROW)
+        return F.broadcast(self.spark.createDataFrame(table))
 
     # --- upkeep ---------------------------------------------------------------------------
 
@@ -239,8 +246,8 @@ class EditsTable:
         """Empty the table: a new generation that holds nothing and covers every batch so far."""
         previous = self.generation()
         number = 0 if previous is None else previous + 1
-        nothing = self.spark.createDataFrame([], KEY_STATE)
-        self._write_generation(number, nothing, self.spark.createDataFrame([], _MANIFEST), self.committed())
+        nothing = empty(self.spark, KEY_STATE)
+        self._write_generation(number, nothing, empty(self.spark, _MANIFEST), self.committed())
         return number
 
     def _write_generation(self, number: int, states: DataFrame, manifest: DataFrame, covered: set[Batch]) -> None:
@@ -250,8 +257,9 @@ class EditsTable:
         merged = merged.sortWithinPartitions(*_DIRECTORY, *newest_first())
         writer = merged.write.mode("overwrite").partitionBy(*_DIRECTORY)
         _with_blooms(writer, "user_id", "page_title.value").parquet(f"{self.root}/base/{at}")
-        names = self.spark.createDataFrame([(b.writer, b.batch_id) for b in covered], _ABSORBED)
-        names.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/absorbed/{at}")
+        batches = sorted((b.writer, b.batch_id) for b in covered)
+        names = pa.table({"writer": [w for w, _ in batches], "batch_id": [n for _, n in batches]}, _ABSORBED_ARROW)
+        self.spark.createDataFrame(names).write.mode("overwrite").parquet(f"{self.root}/absorbed/{at}")
         manifest.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/manifest/{at}")
 
     def vacuum(self) -> int:

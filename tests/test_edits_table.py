@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import plan
 from millrace.operators import keyed
@@ -201,6 +202,13 @@ def test_key_predicates_go_below_the_merge(spark, table):
     assert f"EqualTo(user_id,{user})" in pruned[2] and "EqualTo(created_at," in pruned[2]
 
 
+def test_cell_predicates_do_not_go_below_the_merge(spark, table):
+    table.write_batch(log_rows(spark, [(KEY, "up", (START, 0, 1), "old", None), (KEY, "up", (START, 0, 2), "new", None)]), "w", 0)
+    with pytest.raises(Exception, match="page_title"):
+        table.current(F.col("page_title") == "old")
+    assert table.current().filter(F.col("page_title") == "old").count() == 0
+
+
 def test_titles_after_compaction(spark, table):
     writes = random_writes(1200, 19)
     random.Random(2).shuffle(writes)
