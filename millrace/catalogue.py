@@ -167,8 +167,7 @@ def filter_edits(spark, sf_dir):
 
 @query
 def find_event(spark, sf_dir):
-    decoded = decode_raw(fixtures.raw_topic(spark, sf_dir), PLACE)
-    found = filters.find_event(decoded, EVENT_ID)
+    found = pipelines.find_event(fixtures.raw_topic(spark, sf_dir), EVENT_ID, PLACE)
     return found.select(*PLACE, F.col("meta.id").alias("meta_id"), F.col("meta.domain").alias("domain"), "page_title")
 
 

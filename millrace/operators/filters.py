@@ -54,6 +54,6 @@ def filter_human(df: DataFrame, column: str = "performer.user_is_bot") -> DataFr
     return df.filter(human(column))
 
 
-def find_event(decoded: DataFrame, event_id: str) -> DataFrame:
+def with_id(decoded: DataFrame, event_id: str) -> DataFrame:
     """Raw events with the given `meta.id`."""
     return decoded.filter(F.col("meta.id") == F.lit(event_id))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from millrace.functions.decode import (
     decode,
     decode_processed,
+    decode_raw,
     encode_processed,
     flatten_legacy,
     may_hold_false,
@@ -25,7 +26,7 @@ from millrace.functions.decode import (
 from millrace.functions.scalars import canonical_uuid, parse_instant
 from millrace.operators.edits import clean_edits, select_edits
 from millrace.operators.feed import feed_messages, publishable
-from millrace.operators.filters import filter_domain, filter_human
+from millrace.operators.filters import filter_domain, filter_human, with_id
 from millrace.operators.keyed import upserts
 from millrace.schemas import ALLOWED_DOMAINS, COORDINATES, PROCESSED_TOPIC, RAW_EVENT
 from millrace.sources.topics import as_topic, source_seq
@@ -53,6 +54,11 @@ def filter_edits(
     return select_edits(filter_human(on_list), keep)
 
 
+def find_event(raw_topic: DataFrame, event_id: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw events with the given `meta.id`, decoded. Only records whose text may hold it are parsed."""
+    return with_id(decode_raw(raw_topic.filter(may_mention(text(), [event_id])), keep), event_id)
+
+
 def filter_job(
     raw_topic: DataFrame, allowed: Sequence[str] | DataFrame = ALLOWED_DOMAINS, name: str = PROCESSED_TOPIC
 ) -> DataFrame:

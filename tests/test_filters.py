@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from helpers import event, plan, rows, texts, topic
 from millrace.functions.decode import decode_raw, may_hold_false, may_mention, text
 from millrace.operators import edits
-from millrace.operators.filters import filter_domain, filter_human, find_event
-from millrace.plans.pipelines import filter_edits, filter_job, typed_edits, writer_job
+from millrace.operators.filters import filter_domain, filter_human
+from millrace.plans.pipelines import filter_edits, filter_job, find_event, typed_edits, writer_job
 from millrace.schemas import ALLOWED_DOMAINS, COORDINATES
 
 
@@ -103,10 +103,14 @@ def test_allow_list_as_a_table_in_the_job(spark):
     assert filter_job(topic(spark, values), allowed).count() == 2
 
 
-def test_find_event(spark):
-    decoded = decode_raw(topic(spark, [event(id="a"), event(id="b"), "bad"]), ("offset",))
-    assert find_event(decoded, "b").select("meta.id").collect()[0][0] == "b"
-    assert find_event(decoded, "c").count() == 0
+@pytest.mark.parametrize("wanted", ["b-1", "12", "1e2", "a/b"])
+def test_find_event(spark, wanted):
+    escaped = json.dumps(event(id="b-1")).replace("b-1", "\\u0062-1")
+    slash = json.dumps(event(id="a/b")).replace("a/b", "a\\/b")
+    records = topic(spark, [event(id="b-1"), event(id="b-10"), event(id=12), event(id="12"), event(id="1e2"), "bad", escaped, slash])
+    expected = {"b-1": 2, "12": 2, "1e2": 1, "a/b": 1}[wanted]
+    assert rows(find_event(records, wanted), "meta.id") == [(wanted,)] * expected
+    assert find_event(records, wanted + "x").count() == 0
 
 
 PROCESSED = [
