@@ -80,6 +80,9 @@ def main() -> None:
     show("writer job", kept, every_row(pipelines.writer_job(records)))
     table = EditsTable(spark, f"{folder}/edits")
     show("writer job as a stream, to the table", kept, stream(runners.edits_stream(spark, processed, table), "edits"), 1)
+    other = EditsTable(spark, f"{folder}/other")
+    as_they_come = runners.edits_stream(spark, processed, other, arrange=False)
+    show("the same, rows written as they come", kept, stream(as_they_come, "other"), 1)
 
     log = table.read_log()
     newest = Window.partitionBy(*KEY).orderBy(F.desc("seq"))

@@ -228,7 +228,7 @@ def edits_layout(spark, sf_dir):
 
 def _stored(spark: SparkSession, log: DataFrame) -> EditsTable:
     table = EditsTable(spark, workspace(spark, "edits"))
-    table.write_batch(log, "backfill", 0, arrange=True)
+    table.write_batch(log, "backfill", 0)
     return table
 
 
@@ -236,8 +236,8 @@ def _stored(spark: SparkSession, log: DataFrame) -> EditsTable:
 def edits_stored(spark, sf_dir):
     """Written to the table's folders by three writers, and read back."""
     table = EditsTable(spark, workspace(spark, "edits"))
-    table.write_batch(_edit_log(spark, sf_dir), "edits", 0, arrange=True)
-    table.write_batch(fixtures.flag_updates(spark, sf_dir), "flags", 0)
+    table.write_batch(_edit_log(spark, sf_dir), "edits", 0)
+    table.write_batch(fixtures.flag_updates(spark, sf_dir), "flags", 0, arrange=False)
     table.write_batch(fixtures.tombstones(spark, sf_dir), "cleaner", 0)
     return table.current()
 
@@ -248,7 +248,7 @@ def edits_compacted(spark, sf_dir):
     table = EditsTable(spark, workspace(spark, "edits"))
     table.write_batch(fixtures.tombstones(spark, sf_dir), "cleaner", 0)
     table.compact()
-    table.write_batch(_edit_log(spark, sf_dir), "edits", 0, arrange=True)
+    table.write_batch(_edit_log(spark, sf_dir), "edits", 0)
     table.compact()
     table.write_batch(fixtures.flag_updates(spark, sf_dir), "flags", 0)
     return table.current()

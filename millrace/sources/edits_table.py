@@ -71,11 +71,11 @@ class EditsTable:
 
     # --- write ----------------------------------------------------------------------------
 
-    def write_batch(self, log_rows: DataFrame, writer: str, batch_id: int, arrange: bool = False) -> None:
+    def write_batch(self, log_rows: DataFrame, writer: str, batch_id: int, arrange: bool = True) -> None:
         """Write one batch of log rows. Writing the same batch again replaces it.
 
-        A micro-batch goes out as it comes, without a shuffle. `arrange` is for large backfills: it
-        gathers rows by directory first, so that each directory gets few, full files.
+        Rows are gathered by directory first, so that a batch leaves few, full files instead of one
+        per task and directory. Without `arrange` they go out as they come, without a shuffle.
         """
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", writer):
             raise ValueError(f"a writer's name becomes a directory: {writer!r}")

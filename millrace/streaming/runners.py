@@ -93,10 +93,9 @@ def edits_stream(
     starting: str = "earliest",
     max_per_trigger: int | None = None,
     side: str | None = None,
-    arrange: bool = False,
+    arrange: bool = True,
 ) -> DataStreamWriter:
-    """Processed topic -> edits table. `arrange`, for catching up on much at once, is explained at
-    `EditsTable.write_batch`.
+    """Processed topic -> edits table. `arrange` is explained at `EditsTable.write_batch`.
 
     With a `side` folder every micro-batch also leaves there the records it could not use
     (`rejects/`) and, per topic partition, the position it read up to and its counts per outcome

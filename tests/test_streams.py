@@ -81,10 +81,10 @@ def test_allow_list_as_a_table(spark, place, monkeypatch, fits):
     assert got == texts(filter_edits(topic(spark, events(60)), ["www.wikidata.org", "x"]))
 
 
-def test_catching_up(spark, place):
+def test_rows_as_they_come(spark, place):
     append_topic(filter_job(topic(spark, events(60))), place.processed)
     table = EditsTable(spark, place.table)
-    run(runners.edits_stream(spark, place.processed, table, arrange=True), runners.WRITER_QUERY, place)
+    run(runners.edits_stream(spark, place.processed, table, arrange=False), runners.WRITER_QUERY, place)
     assert texts(table.current()) == texts(keyed.current_rows(writer_job(read_topic(spark, place.processed))))
 
 
