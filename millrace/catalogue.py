@@ -16,11 +16,27 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace import fixtures
-from millrace.functions.decode import decode_processed, decode_raw, flatten_legacy, is_json, is_json_object, json_or_null, text
+from millrace.functions.decode import (
+    decode_processed,
+    decode_raw,
+    flatten_legacy,
+    is_json,
+    is_json_object,
+    json_or_null,
+    text,
+)
 from millrace.functions.scalars import canonical_uuid
 from millrace.operators import edits, feed, filters, keyed, metrics
 from millrace.plans import pipelines
-from millrace.schemas import ALLOWED_DOMAINS, INPUT_TOPIC, LEGACY_EVENT, PROCESSED_EVENT, PROCESSED_TOPIC, TOPIC_RECORD, require
+from millrace.schemas import (
+    ALLOWED_DOMAINS,
+    INPUT_TOPIC,
+    LEGACY_EVENT,
+    PROCESSED_EVENT,
+    PROCESSED_TOPIC,
+    TOPIC_RECORD,
+    require,
+)
 from millrace.session import configure, workspace
 from millrace.sources import feed_files
 from millrace.sources.edits_table import EditsTable

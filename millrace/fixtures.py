@@ -25,7 +25,8 @@ DOMAIN_OF = {
 
 def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` with the fields every fixture is made of."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    columns = ("event_id", "ts", "user_id", "event_type", "value", "props")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(*columns)
     k = F.get_json_object("props", "$.k").cast("int")
     domain = F.coalesce(*[F.when(F.col("event_type") == kind, name) for kind, name in DOMAIN_OF.items()])
     at = F.col("ts").cast("timestamp")

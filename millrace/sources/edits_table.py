@@ -84,7 +84,7 @@ class EditsTable:
             rows = self._by_directory(rows, F.xxhash64("seq"))
         rows = rows.sortWithinPartitions(*_DIRECTORY, *newest_first())
         path = f"{self.root}/log/writer={writer}/batch_id={batch_id}"
-        rows.write.mode("overwrite").partitionBy(*_DIRECTORY).parquet(path)
+        rows.write.options(**files.MARKED).mode("overwrite").partitionBy(*_DIRECTORY).parquet(path)
 
     def _by_directory(self, rows: DataFrame, spread: Column) -> DataFrame:
         if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
@@ -120,7 +120,7 @@ class EditsTable:
         return self.spark.read.schema(EDIT_LOG).option("basePath", f"{self.root}/log").parquet(*sorted(paths))
 
     def read_log(self) -> DataFrame:
-        """Every committed batch that still has its directory."""
+        """Every committed batch that still has its directory: after a vacuum no longer all writes."""
         return self._read_batches(self.committed())
 
     def _read_base(self, manifest: DataFrame) -> DataFrame:
@@ -260,7 +260,8 @@ class EditsTable:
         batches = sorted((b.writer, b.batch_id) for b in covered)
         names = pa.table({"writer": [w for w, _ in batches], "batch_id": [n for _, n in batches]}, _ABSORBED_ARROW)
         self.spark.createDataFrame(names).write.mode("overwrite").parquet(f"{self.root}/absorbed/{at}")
-        manifest.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/manifest/{at}")
+        out = manifest.hint("rebalance").write.options(**files.MARKED).mode("overwrite")
+        out.parquet(f"{self.root}/manifest/{at}")
 
     def vacuum(self) -> int:
         """Remove batches the base contains and generations it no longer needs; returns how many

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# Writer options for outputs that count once their `_SUCCESS` is there, whatever the cluster's default.
+MARKED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 

@@ -137,8 +137,8 @@ def legacy_stream(spark: SparkSession, source: Topic, path: str) -> DataStreamWr
 
 def _write_side(batch: DataFrame, side: str, at: str) -> None:
     classified = classify_processed(batch)
-    rejects(classified).write.mode("overwrite").parquet(f"{side}/rejects/{at}")
-    ledger(classified, PROCESSED_OUTCOMES).write.mode("overwrite").parquet(f"{side}/ledger/{at}")
+    for kind, rows in (("rejects", rejects(classified)), ("ledger", ledger(classified, PROCESSED_OUTCOMES))):
+        rows.write.options(**files.MARKED).mode("overwrite").parquet(f"{side}/{kind}/{at}")
 
 
 def read_ledger(spark: SparkSession, side: str) -> DataFrame:

@@ -87,6 +87,17 @@ def test_odd_domains(spark, table):
     assert sorted(r.domain for r in table.current().collect()) == sorted(odd)
 
 
+def test_batches_are_marked_on_any_cluster(spark, table):
+    conf, name = spark._jsc.hadoopConfiguration(), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf.set(name, "false")
+    try:
+        table.write_batch(log_rows(spark, random_writes(20, 9)), "w", 0)
+        assert table.compact() == 0 and table.generation() == 0
+    finally:
+        conf.unset(name)
+    assert table.committed() == {Batch("w", 0)}
+
+
 def test_a_batch_leaves_few_files(spark, table):
     table.write_batch(log_rows(spark, random_writes(500, 9)).repartition(8), "w", 0)
     parts = [f for _, _, names in os.walk(f"{table.root}/log") for f in names if f.endswith(".parquet")]
