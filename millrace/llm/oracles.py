@@ -2,4 +2,14 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+EXACT_DEDUP = """
+WITH hashed AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS content FROM documents),
+grouped AS (
+    SELECT content, max(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY content
+),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY content, doc_id) AS copy FROM hashed)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_id AND n.copy = 1 AS kept, n.text_sha256
+FROM numbered n JOIN grouped g USING (content)
+"""
+
+ORACLES: dict[str, str] = {"op5_exact_dedup": EXACT_DEDUP}

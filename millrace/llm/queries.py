@@ -5,15 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import held_out, table
+from millrace.llm.grace_dedup import exact_duplicates
+from millrace.llm.langid import identify, train
+from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_groups
+from millrace.llm.packing import pack
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs.filter(~held_out(F.col("doc_id")))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op4_mixing": op4_mixing,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_packing": op6_packing,
+    "op7_language_id": op7_language_id,
 }
