@@ -42,18 +42,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared one. It goes when the session's JVM ends."""
+    path = workspace(spark, name)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder as Parquet and read from there: lineage ends here.
-
-    The folder goes when the session's JVM ends.
-    """
-    spark = df.sparkSession
-    path = workspace(spark, "llm")
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(conf).deleteOnExit(place)
-    df.write.parquet(f"{path}/t")
-    return spark.read.schema(df.schema).parquet(f"{path}/t")
+    """`df` written to the shared folder as Parquet and read from there: lineage ends here."""
+    path = folder(df.sparkSession, "cut") + "/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def held_out(key: Column) -> Column:

@@ -12,4 +12,15 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM numbered n JOIN grouped g USING (content)
 """
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": EXACT_DEDUP}
+WARC = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+firsts AS (SELECT payload_digest, min(page_id) AS first_id FROM payloads GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id != first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id != first_id THEN first_id END AS refers_to
+FROM payloads JOIN firsts USING (payload_digest)
+"""
+
+ORACLES: dict[str, str] = {"op5_exact_dedup": EXACT_DEDUP, "op8_arc_to_warc": WARC}

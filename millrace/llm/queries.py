@@ -7,18 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.arc import convert
 from millrace.llm.common import held_out, table
 from millrace.llm.grace_dedup import exact_duplicates
 from millrace.llm.langid import identify, train
 from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_groups
 from millrace.llm.packing import pack
+from millrace.llm.site_text import extract
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -38,10 +44,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train(docs.filter(~held_out(F.col("doc_id")))))
 
 
+def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = convert(table(spark, sf_dir, "pages"))
+    return stored.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_html_text": op2_html_text,
     "op4_mixing": op4_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
+    "op8_arc_to_warc": op8_arc_to_warc,
 }
