@@ -23,4 +23,28 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM payloads JOIN firsts USING (payload_digest)
 """
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": EXACT_DEDUP, "op8_arc_to_warc": WARC}
+TOPK = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS (SELECT vec_id, generate_subscripts(v, 1) AS at, unnest(v) AS x, len(v) AS n FROM whole),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM parts q JOIN parts c ON q.at = c.at AND q.n = c.n AND q.vec_id != c.vec_id
+    WHERE q.vec_id % 50 = 0
+    GROUP BY q.vec_id, c.vec_id
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": EXACT_DEDUP,
+    "op8_arc_to_warc": WARC,
+    "op9_topk": TOPK,
+}

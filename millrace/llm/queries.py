@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import licenses, quality
 from millrace.llm.arc import convert
 from millrace.llm.common import held_out, table
 from millrace.llm.grace_dedup import exact_duplicates
@@ -15,6 +16,7 @@ from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_groups
 from millrace.llm.packing import pack
 from millrace.llm.site_text import extract
+from millrace.llm.topk import top_k
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -49,12 +55,26 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.filter(~held_out(F.col("doc_id"))).select("doc_id", "quality")
+    return quality.score(docs, quality.train(docs.select("doc_id", "text").join(known, "doc_id")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_html_text": op2_html_text,
+    "op3_license_scan": op3_license_scan,
     "op4_mixing": op4_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
     "op8_arc_to_warc": op8_arc_to_warc,
+    "op9_topk": op9_topk,
+    "op10_quality": op10_quality,
 }
