@@ -195,17 +195,22 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int =
     return net
 
 
-def train(labelled: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Network | float:
-    """From `labelled(doc_id, text, quality)`; about `rows_per_class` rows of each label come to the driver."""
-    rows = labelled.filter("quality IN (0, 1)").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("quality").cast("int"))
-    counts = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Network | float:
+    """From `docs(doc_id, text)` and `labels(doc_id, quality)`.
+
+    The labels are sampled first, so what is broadcast and what comes to the driver is about `rows_per_class` rows each.
+    """
+    known = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(3)), F.lit(1 << 30))
     rate = {k: min(1.0, rows_per_class / n) for k, n in counts.items()}
     part = F.when(F.col("quality") == 1, rate.get(1, 0.0)).otherwise(rate.get(0, 0.0))
-    sample = rows.filter(place < part * (1 << 30)).select("doc_id", "quality", "text")
-    # a text's chunks that training looks at, cut out where the text is
-    cut_out = map_batches(sample, _sampled, "doc_id long, quality int, text binary")
-    found = sorted(cut_out.collect(), key=lambda r: (r["doc_id"], r["quality"], bytes(r["text"])))
+    sample = known.filter(place < part * (1 << 30))
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    chosen = texts.join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("long"), "quality", "text")
+    # a text's chunks that training looks at are cut out where the text is
+    found = map_batches(chosen, _sampled, "doc_id long, quality int, text binary").collect()
+    found = sorted(found, key=lambda r: (r["doc_id"], r["quality"], bytes(r["text"])))
     labels = np.array([r["quality"] for r in found], np.float64)
     weights = np.array([1 / rate[r["quality"]] for r in found])
     return fit([bytes(r["text"]) for r in found], labels, weights)

@@ -62,8 +62,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    known = labels.filter(~held_out(F.col("doc_id"))).select("doc_id", "quality")
-    return quality.score(docs, quality.train(docs.select("doc_id", "text").join(known, "doc_id")))
+    return quality.score(docs, quality.train(docs, labels.filter(~held_out(F.col("doc_id")))))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
