@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import millrace
 from millrace.session import workspace
@@ -32,7 +33,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """`df.mapInArrow` with this package on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

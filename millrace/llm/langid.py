@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import held_out, map_batches
 from millrace.llm.shingles import mix
@@ -32,6 +33,7 @@ GRAMS_PER_LANGUAGE = 20_000
 SLICES = 1 << 20
 PROBES = 3
 UNKNOWN = "und"
+LEAST_SCORE, SHORT = 0.2, 100
 _PIECE = 1 << 20
 
 
@@ -164,9 +166,9 @@ def train(
     return GramFilters.build({r["lang"]: np.array(r["grams"], np.int64).view(np.uint64) for r in kept.collect()}, counts)
 
 
-def _predict(filters):
+def _predict(sent, with_text: bool, named: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: GramFilters = filters.value
+        known: GramFilters = sent.value
         for batch in batches:
             texts = batch.column("text").to_pylist()
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -176,20 +178,48 @@ def _predict(filters):
                 for i, text in enumerate(texts):
                     if text and any(map(str.isalpha, text)):
                         names[i], scores[i] = known.languages[best[i]], float(shares[i, best[i]])
-            rest = [c for c in batch.schema.names if c != "text"]
+            rest = [c for c in batch.schema.names if with_text or c != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in rest), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*rest, "lang_pred", "score"],
+                names=[*rest, *named],
             )
 
     return run
 
 
-def identify(docs: DataFrame, filters: GramFilters) -> DataFrame:
-    """`doc_id, held_out, lang_pred, score` for every row of `docs(doc_id, text)`.
+def annotate(
+    docs: DataFrame, filters: GramFilters, with_text: bool = True, named: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """`docs` with a language and its score, which replace columns of that name; without `text` if so asked.
 
     The filters that are broadcast have a fixed number of bits a language.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    rest = [c for c in docs.columns if c not in ("text", *named)]
+    rows = docs.select(F.col("text").cast("string"), F.struct(F.lit(0), *[F.col(f"`{c}`") for c in rest]).alias("_row"))
+    added = [T.StructField(named[0], T.StringType()), T.StructField(named[1], T.DoubleType())]
+    kept = [f for f in rows.schema.fields if with_text or f.name != "text"]
     sent = docs.sparkSession.sparkContext.broadcast(filters)
-    return map_batches(rows, _predict(sent), "doc_id long, held_out boolean, lang_pred string, score double")
+    found = map_batches(rows, _predict(sent, with_text, named), T.StructType([*kept, *added]))
+    back = [F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns if c in rest or (c == "text" and with_text)]
+    return found.select(*back, *named)
+
+
+def identify(docs: DataFrame, filters: GramFilters) -> DataFrame:
+    """`doc_id, held_out, lang_pred, score` for every row of `docs(doc_id, text)`."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("text").cast("string").alias("text"),
+    )
+    return annotate(rows, filters, with_text=False)
+
+
+def understood(docs: DataFrame, filters: GramFilters, least_score: float = LEAST_SCORE, short: int = SHORT) -> DataFrame:
+    """The rows of `docs` that have a language.
+
+    Rejected are texts that are `und`, and those of `short` characters or more of whose n-grams less than `least_score`
+    are of any one known language.
+    """
+    found = annotate(docs, filters, named=("_langid_name", "_langid_score"))
+    strange = (F.col("_langid_score") < least_score) & (F.length("text") >= short)
+    return found.filter((F.col("_langid_name") != UNKNOWN) & ~strange).drop("_langid_name", "_langid_score")

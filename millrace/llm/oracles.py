@@ -25,10 +25,10 @@ FROM payloads JOIN firsts USING (payload_digest)
 
 TOPK = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
     WHERE embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 parts AS (SELECT vec_id, generate_subscripts(v, 1) AS at, unnest(v) AS x, len(v) AS n FROM whole),
 scored AS (

@@ -116,11 +116,12 @@ class Network:
             padded = [_padded(t) for t in texts[at:end]]
             if len(padded) == 1:
                 pooled, bounds = self.chunks(padded[0]), np.array([0])
-            else:  # runs of all texts at once; no chunk reaches over an end
+            else:  # runs of all texts at once, with a blank one after each, so that none sees the next text
                 sizes = [(len(p) - WIDTH + 1) // STEP for p in padded]
-                data = np.concatenate([p[: n * STEP] for p, n in zip(padded, sizes, strict=True)] + [np.full(WIDTH - 1, 32, np.uint8)])
-                runs = self.responses(data)
-                starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+                blank = np.full(STEP, 32, np.uint8)
+                data = np.concatenate([x for p, n in zip(padded, sizes, strict=True) for x in (p[: n * STEP], blank)])
+                runs = self.responses(np.append(data, blank[: WIDTH - 1]))
+                starts = np.concatenate(([0], np.cumsum(np.array(sizes) + 1)[:-1]))
                 first = np.concatenate([s + 3 * np.arange((n - 1) // 3) for s, n in zip(starts, sizes, strict=True)])
                 pooled = np.maximum(np.maximum(runs[first], runs[first + 1]), np.maximum(runs[first + 2], runs[first + 3]))
                 bounds = np.concatenate(([0], np.cumsum([(n - 1) // 3 for n in sizes])[:-1]))

@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import hashlib
+from collections import defaultdict
+
+import pytest
+from cases import documents, odd_rows, prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from millrace.llm.grace_dedup import ContentTable, deduplicated, exact_duplicates, grace_groups
+
+
+def record(text: str, key: int | None, n: int = 1):
+    return hashlib.sha256(text.encode()).hexdigest(), text.encode(), key, n
+
+
+def test_odd_rows(spark):
+    rows = odd_rows()
+    groups = defaultdict(list)
+    for i, t, _ in rows:
+        groups[t or ""].append(i)
+    for limit in (1 << 20, 1000):
+        found = exact_duplicates(documents(spark, rows), table_bytes=limit).collect()
+        want = []
+        for i, t, _ in rows:
+            ids = [x for x in groups[t or ""] if x is not None]
+            keep = max(ids) if ids else None
+            want.append((i, keep, len(groups[t or ""]), hashlib.sha256((t or "").encode()).hexdigest()))
+        got = [(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in found]
+        assert sorted(map(str, got)) == sorted(map(str, want))
+        assert sum(r.kept for r in found) == len(groups)
+        assert all(r.doc_id == r.keep_id for r in found if r.kept)
+
+
+def test_stage_keeps_rows_whole(spark):
+    docs = documents(spark, odd_rows())
+    kept = deduplicated(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert len(rows) == len({t or "" for _, t, _ in odd_rows()})
+    assert {r.doc_id for r in rows} >= {2, 6, 9, 10, 11} and 1 not in {r.doc_id for r in rows}
+    assert sum(r.doc_id == 9 for r in rows) == 1
+
+
+def test_empty_table(spark):
+    docs = documents(spark, [])
+    assert exact_duplicates(docs).collect() == [] and deduplicated(docs).collect() == []
+
+
+texts = st.lists(st.tuples(st.sampled_from(["", "a", "b", "ab", "é", "x" * 50, "y" * 400]), st.none() | st.integers(0, 9)))
+
+
+@settings(max_examples=100, deadline=None)
+@given(texts, st.sampled_from([1, 300, 700, 1 << 20]))
+def test_spilled_and_held_tables_agree(rows, limit):
+    want = defaultdict(list)
+    for t, k in rows:
+        want[t.encode()].append(k)
+    found = list(grace_groups([record(t, k) for t, k in rows], limit))
+    assert len(found) == len(want)
+    for _, content, key, n in found:
+        ids = [k for k in want[content] if k is not None]
+        assert n == len(want[content]) and key == (max(ids) if ids else None)
+
+
+def test_many_records_spill_in_several_levels():
+    rows = [record(prose(k % 500, 5), k) for k in range(3000)]
+    found = list(grace_groups(rows, 2000))
+    assert len(found) == 500 and sum(e[3] for e in found) == 3000 and max(e[2] for e in found) == 2999
+
+
+def test_one_hash_for_two_texts_is_an_error():
+    table = ContentTable()
+    table.add(("00" * 32, b"one", 1, 1))
+    with pytest.raises(ValueError):
+        table.add(("00" * 32, b"two", 2, 1))

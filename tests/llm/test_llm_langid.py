@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from cases import documents, odd_rows
+from pyspark.sql import functions as F
+
+from millrace.llm import langid
+from millrace.llm.common import held_out
+from millrace.llm.langid import UNKNOWN, GramFilters, annotate, gram_hashes, identify, train, understood
+from millrace.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def filters(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return train(docs.filter(~held_out(F.col("doc_id"))))
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+    rows = QUERIES["op7_language_id"](spark, sf_dir).join(docs, "doc_id").collect()
+    assert len(rows) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out and r.lang and len(r.text) >= 20]
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
+
+
+def test_odd_rows(spark, filters):
+    docs = documents(spark, odd_rows())
+    found = identify(docs, filters).collect()
+    assert len(found) == len(odd_rows())
+    by_id = {r.doc_id: r for r in found}
+    assert all((by_id[i].lang_pred, by_id[i].score) == (UNKNOWN, 0.0) for i in (5, 6, 7))
+    assert by_id[8].lang_pred in filters.languages
+    assert all(r.lang_pred in [*filters.languages, UNKNOWN] for r in found)
+    full = annotate(docs, filters)
+    assert full.columns == [*(c for c in docs.columns if c != "score"), "lang_pred", "score"]
+
+
+def test_stage_keeps_columns_and_clean_rows(spark, sf_dir, filters):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert understood(docs, filters).count() == docs.filter("length(text) > 0").count()
+    odd = documents(spark, [*odd_rows(), (20, "12 34 !! ?", "a"), (21, "qzx wvk jjq " * 40, "a")])
+    kept = understood(odd, filters)
+    assert kept.columns == odd.columns
+    assert not {r.doc_id for r in kept.collect()} & {5, 6, 7, 20, 21}
+
+
+def test_nothing_to_learn_from(spark):
+    docs = documents(spark, [(1, "some text", "a")])
+    nothing = train(docs.filter("lang = 'xx'"))
+    assert [(r.lang_pred, r.score) for r in identify(docs, nothing).collect()] == [(UNKNOWN, 0.0)]
+    assert identify(documents(spark, []), nothing).collect() == []
+
+
+def test_masks_hold_all_languages():
+    rng = np.random.default_rng(1)
+    grams = {f"l{k:03d}": rng.integers(0, 1 << 63, 500).astype(np.uint64) for k in range(70)}
+    grams["l069"] = np.concatenate([grams["l069"], grams["l001"]])
+    known = GramFilters.build(grams)
+    assert known.masks.shape[1] == 2
+    found = known.having(grams["l001"])
+    at = {x: known.languages.index(x) for x in ("l001", "l069")}
+    for k in at.values():
+        assert ((found[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).all()
+    others = rng.integers(0, 1 << 63, 20_000).astype(np.uint64)
+    false = ((known.having(others)[:, 0] >> np.uint64(5)) & np.uint64(1)).mean()
+    assert abs(false - known.false_rate[5]) < 0.01
+
+
+def test_false_positives_are_taken_off():
+    rng = np.random.default_rng(2)
+    crowded = GramFilters.build({"a": rng.integers(0, 1 << 63, 3000).astype(np.uint64)}, slices=8192)
+    assert crowded.false_rate[0] > 0.2
+    text = " ".join("".join(chr(rng.integers(0x4E00, 0x9000)) for _ in range(5)) for _ in range(3000))
+    assert crowded.shares([text])[0, 0] < 0.05
+
+
+def test_pieces_cover_long_texts(monkeypatch):
+    text = "alpha beta gamma delta " * 500
+    whole = np.unique(gram_hashes([text])[0])
+    monkeypatch.setattr(langid, "_PIECE", 1000)
+    parts = [gram_hashes(p)[0] for _, p in langid._pieces([None, text, "", text])]
+    assert set(whole.tolist()) <= set(np.concatenate(parts).tolist())
+    rows = [r for rows, _ in langid._pieces([None, text, "", text]) for r in rows]
+    assert set(rows) == {0, 1, 2, 3}
+
+
+def test_grams_do_not_reach_over_texts():
+    both, owner = gram_hashes(["Abc", "DEF"])
+    assert set(both[owner == 0].tolist()) == set(gram_hashes(["abc"])[0].tolist())
+    assert set(both[owner == 1].tolist()) == set(gram_hashes(["def"])[0].tolist())

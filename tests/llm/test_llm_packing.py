@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from cases import documents, odd_rows, prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from millrace.llm import packing
+from millrace.llm.packing import LexicalShard, default_vocabulary, pack, token_ids
+from millrace.llm.queries import QUERIES
+
+TOKENIZER = Tokenizer.from_file(default_vocabulary())
+
+
+def ids_of(text: str | None) -> list[int]:
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def check(rows: list, texts: list[str | None], window: int = 2048) -> None:
+    """Pieces of all documents, whole and in order; sequences without gaps."""
+    assert sum(r["length"] for r in rows) == sum(len(ids_of(t)) for t in texts)
+    at = defaultdict(list)
+    for r in rows:
+        at[r["sequence_id"]].append((r["offset"], r["length"]))
+    for pieces in at.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end and length > 0
+            end += length
+        assert end <= window
+
+
+def test_query(spark, sf_dir):
+    docs = {r.doc_id: ids_of(r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = [r.asDict() for r in QUERIES["op6_packing"](spark, sf_dir).collect()]
+    ends = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["start"])):
+        ids = docs[r["doc_id"]]
+        assert r["start"] == ends[r["doc_id"]] and r["doc_tokens"] == len(ids)
+        piece = np.array(ids[r["start"] : r["start"] + r["length"]], "<u4")
+        assert len(piece) == r["length"] and r["ids_crc32"] == zlib.crc32(piece.tobytes())
+        ends[r["doc_id"]] += r["length"]
+    assert ends == {k: len(v) for k, v in docs.items()}
+    filled = defaultdict(int)
+    for r in rows:
+        filled[r["sequence_id"]] += r["length"]
+    assert sum(2048 - n for n in filled.values()) <= 2048 * spark.read.parquet(f"{sf_dir}/documents.parquet").rdd.getNumPartitions()
+    check(rows, [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()])
+
+
+@pytest.mark.parametrize(("window", "shard"), [(2048, 2_000_000), (64, 500), (1, 50)])
+def test_odd_rows(spark, window, shard):
+    rows = [(i, t if t is None or len(t) < 10_000 else t[:3000], s) for i, t, s in odd_rows()]
+    found = [r.asDict() for r in pack(documents(spark, rows), window=window, shard_tokens=shard).collect()]
+    check(found, [t for _, t, _ in rows], window)
+    assert {r["doc_tokens"] for r in found if r["doc_id"] in (5, 6)} == {1}
+
+
+def test_empty_table(spark):
+    assert pack(documents(spark, [])).collect() == []
+
+
+def test_neighbours_share_rare_words():
+    about = [[1, 2, 3, 50 + k % 3] for k in range(12)]
+    shard = LexicalShard([np.array(a) for a in about])
+    assert {k % 3 for k in shard.neighbours(np.array([1, 51]))[:4]} == {1}
+    shard.unused[[1, 4]] = False
+    assert shard.neighbours(np.array([51])) == [7, 10]
+    assert shard.neighbours(np.array([999])) == []
+
+
+def test_similar_documents_meet(spark):
+    topics = [prose(k, 12) for k in range(4)]
+    rows = [(i, f"{topics[i % 4]} " * 4, "a") for i in range(40)]
+    found = pack(documents(spark, rows).coalesce(1), window=512).collect()
+    mixed = defaultdict(set)
+    for r in found:
+        mixed[r.sequence_id].add(r.doc_id % 4)
+    assert sum(len(m) <= 2 for m in mixed.values()) >= 0.8 * len(mixed)
+
+
+letters = st.text(st.sampled_from("aB's'll \n\t\r é中文🙂12½²ǅ́‍ 　!?_-\x00\x85\x1c<|>"), max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(letters | st.text(max_size=40), st.booleans())
+def test_ids_are_the_tokenizers(text, special):
+    text = text + "<|endoftext|>" * special
+    assert token_ids(text, default_vocabulary()).tolist() == ids_of(text)[:-1]
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    text = " ".join(f"{prose(k, 7)}\n  it's {k} -- done;" for k in range(300))
+    monkeypatch.setattr(packing, "_LONG", 500)
+    assert token_ids(text, default_vocabulary()).tolist() == ids_of(text)[:-1]
