@@ -42,7 +42,6 @@ from millrace.sources import feed_files
 from millrace.sources.edits_table import EditsTable
 from millrace.sources.topics import Topic, append_topic, from_offsets, read_topic
 from millrace.streaming import runners
-from millrace.streaming.progress import observed_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +52,7 @@ LOOKUP = {"domain": "en.wikipedia.org", "created_at": dt.datetime(2024, 1, 6), "
 LOOKUP_USER = "user_8"
 LOOKUP_TITLE = "Page_33"
 TIMELINE_DOMAIN = "commons.wikimedia.org"
+TIMELINE_BEFORE = dt.datetime(2024, 1, 25, 12)
 HEAD_ROWS = 10
 TRUNCATED_AT = dt.datetime(2024, 1, 15, 12)
 CONSUMED_UNTIL = dt.datetime(2024, 1, 20)
@@ -84,11 +84,15 @@ def _instant(value: dt.datetime):
     return F.lit(keyed.as_utc(value))
 
 
-def _land(spark: SparkSession, records: DataFrame, name: str, parts: int = 1) -> Topic:
-    """Records as a topic in a folder, in `parts` ranges of offsets, so that a stream has batches."""
+def _land(spark: SparkSession, records: DataFrame, name: str, batches: int = 1) -> tuple[Topic, int]:
+    """Records as a topic in a folder, in files by ranges of offsets, as many as the session shuffles into.
+
+    Also how many files a micro-batch may have for the topic to be read in about `batches` of them.
+    """
     topic = Topic(name, path=f"{workspace(spark, 'topic')}/{name}")
-    append_topic(records.repartitionByRange(parts, "offset") if parts > 1 else records, topic)
-    return topic
+    n = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    append_topic(records.repartitionByRange(n, "offset"), topic)
+    return topic, -(-n // batches)
 
 
 def _edit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +113,7 @@ def _full_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def topic_scan(spark, sf_dir):
-    topic = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC)
+    topic, _ = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC)
     return metrics.topic_scan(require(read_topic(spark, topic), TOPIC_RECORD, "topic"))
 
 
@@ -238,8 +242,11 @@ def edits_key_check(spark, sf_dir):
 
 @query
 def edits_layout(spark, sf_dir):
-    rows = keyed.layout(keyed.current_rows(_full_log(spark, sf_dir)))
-    return rows.withColumn("d", F.col("d").cast("string"))
+    """Rows in each stored directory, and how many are out of order within their file."""
+    table = _stored(spark, _full_log(spark, sf_dir))
+    table.compact()
+    stored = table.layout().filter("n_rows > 0")  # a directory may hold deleted keys alone
+    return stored.select("domain", F.col("d").cast("string").alias("d"), "n_rows", "n_unordered")
 
 
 def _stored(spark: SparkSession, log: DataFrame) -> EditsTable:
@@ -277,7 +284,7 @@ def lookup_key(spark, sf_dir):
 
 @query
 def lookup_user(spark, sf_dir):
-    return keyed.lookup_user(_full_log(spark, sf_dir), LOOKUP_USER)
+    return _stored(spark, _full_log(spark, sf_dir)).current(keyed.key_predicate(user_id=LOOKUP_USER))
 
 
 @query
@@ -293,14 +300,39 @@ def lookup_title_compacted(spark, sf_dir):
     return table.with_title(LOOKUP_TITLE)
 
 
+@query
+def count_compacted(spark, sf_dir):
+    """The number of rows, for most directories from the manifest."""
+    table = _stored(spark, _merged_log(spark, sf_dir))
+    table.compact()
+    table.write_batch(fixtures.tombstones(spark, sf_dir), "cleaner", 0)
+    return table.count()
+
+
+@query
+def table_truncated(spark, sf_dir):
+    """Dropped and made anew, truncated, and written to again by the second writer."""
+    table = _stored(spark, _edit_log(spark, sf_dir))
+    table.drop()
+    table.write_batch(_edit_log(spark, sf_dir), "edits", 0)
+    table.truncate()
+    table.write_batch(fixtures.flag_updates(spark, sf_dir), "flags", 0)
+    return table.current()
+
+
 @query
 def domain_timeline(spark, sf_dir):
-    return keyed.domain_timeline(keyed.current_rows(_full_log(spark, sf_dir)), TIMELINE_DOMAIN)
+    """A page of the stored table: days after the instant are not read."""
+    table = _stored(spark, _full_log(spark, sf_dir))
+    page = keyed.domain_timeline(table.current(keyed.older_than(TIMELINE_DOMAIN, TIMELINE_BEFORE)), TIMELINE_DOMAIN)
+    # numbers the domain's rows, so that their order shows in the result
+    order = Window.partitionBy("domain").orderBy(*keyed.newest_first())
+    return page.withColumn("position", F.row_number().over(order).cast("bigint"))
 
 
 @query
 def edits_head(spark, sf_dir):
-    first = keyed.head(keyed.current_rows(_full_log(spark, sf_dir)), HEAD_ROWS)
+    first = keyed.head(_stored(spark, _full_log(spark, sf_dir)).current(), HEAD_ROWS)
     # numbers the ten rows that are left, so that their order shows in the result
     order = Window.orderBy("domain", *keyed.newest_first())
     return first.withColumn("position", F.row_number().over(order).cast("bigint"))
@@ -381,38 +413,73 @@ def _run(writer, name: str, checkpoints: str):
     return stream
 
 
-def _filter_to_folder(spark: SparkSession, source: Topic, checkpoints: str) -> Topic:
+def _filter_to_folder(spark: SparkSession, source: Topic, checkpoints: str, files_at_once: int | None = None) -> Topic:
     target = Topic(PROCESSED_TOPIC, path=f"{workspace(spark, 'topic')}/{PROCESSED_TOPIC}")
-    _run(runners.filter_stream(spark, source, target, max_per_trigger=1), runners.FILTER_QUERY, checkpoints)
+    stream = runners.filter_stream(spark, source, target, max_per_trigger=files_at_once)
+    _run(stream, runners.FILTER_QUERY, checkpoints)
     return target
 
 
 @query
 def stream_filter(spark, sf_dir):
-    source = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC, parts=3)
-    target = _filter_to_folder(spark, source, workspace(spark, "checkpoints"))
-    return decode_processed(read_topic(spark, target))
+    source, at_once = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC, batches=3)
+    return decode_processed(read_topic(spark, _filter_to_folder(spark, source, workspace(spark, "checkpoints"), at_once)))
 
 
 @query
 def stream_edits(spark, sf_dir):
     """Both jobs as streams, over a topic in between."""
     checkpoints = workspace(spark, "checkpoints")
-    source = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC, parts=2)
-    target = _filter_to_folder(spark, source, checkpoints)
+    source, at_once = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC, batches=2)
+    target = _filter_to_folder(spark, source, checkpoints, at_once)
     table = EditsTable(spark, workspace(spark, "edits"))
     _run(runners.edits_stream(spark, target, table), runners.WRITER_QUERY, checkpoints)
     return table.current().select(*PROCESSED_EVENT.names)
 
 
+def _write_anew(spark: SparkSession, source: Topic, table: EditsTable, at_once: int | None) -> None:
+    """The writer stream, with a checkpoint that has been lost."""
+    stream = runners.edits_stream(spark, source, table, max_per_trigger=at_once)
+    _run(stream, runners.WRITER_QUERY, workspace(spark, "checkpoints"))
+
+
+def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipelines.filter_job(fixtures.raw_topic(spark, sf_dir))
+
+
 @query
 def replay_idempotent(spark, sf_dir):
-    """The writer stream loses its checkpoint after it has written, and starts over under another name."""
-    source = _land(spark, pipelines.filter_job(fixtures.raw_topic(spark, sf_dir)), PROCESSED_TOPIC, parts=2)
+    """The writer stream loses its checkpoint after it has written, and starts over."""
+    source, at_once = _land(spark, _processed(spark, sf_dir), PROCESSED_TOPIC, batches=2)
+    table = EditsTable(spark, workspace(spark, "edits"))
+    for _ in range(2):
+        _write_anew(spark, source, table, at_once)
+    return table.current().select(*PROCESSED_EVENT.names)
+
+
+@query
+def replay_other_boundaries(spark, sf_dir):
+    """The same, but by then the topic has lost its first half, and micro-batches are of another size."""
+    records = _processed(spark, sf_dir)
+    early = F.col("timestamp") < _instant(CONSUMED_UNTIL)
+    table = EditsTable(spark, workspace(spark, "edits"))
+    for part, batches in ((records.filter(early), 3), (records.filter(~early), 1)):
+        source, at_once = _land(spark, part, PROCESSED_TOPIC, batches=batches)
+        _write_anew(spark, source, table, at_once)
+    return table.current().select(*PROCESSED_EVENT.names)
+
+
+@query
+def replay_after_compaction(spark, sf_dir):
+    """The same, with a compaction and a vacuum in between."""
+    records = _processed(spark, sf_dir)
+    early = F.col("timestamp") < _instant(CONSUMED_UNTIL)
     table = EditsTable(spark, workspace(spark, "edits"))
-    for writer in ("edits", "edits", "again"):
-        lost = workspace(spark, "checkpoints")
-        _run(runners.edits_stream(spark, source, table, writer, max_per_trigger=1), runners.WRITER_QUERY, lost)
+    for part in (records.filter(early), records):
+        source, at_once = _land(spark, part, PROCESSED_TOPIC, batches=2)
+        _write_anew(spark, source, table, at_once)
+        table.compact()
+        table.vacuum()
     return table.current().select(*PROCESSED_EVENT.names)
 
 
@@ -420,33 +487,64 @@ def replay_idempotent(spark, sf_dir):
 def stream_legacy(spark, sf_dir):
     """The older single job as a stream, from the earliest record."""
     records = fixtures.raw_topic(spark, sf_dir, fixtures.mixed_uuid(F.col("event_id")))
-    source = _land(spark, records, INPUT_TOPIC, parts=2)
+    source, _ = _land(spark, records, INPUT_TOPIC)
     out = f"{workspace(spark, 'legacy')}/rows"
     _run(runners.legacy_stream(spark, source, out), "legacy", workspace(spark, "checkpoints"))
     return spark.read.schema(T.StructType([*LEGACY_EVENT[:3], T.StructField("dt", T.TimestampType())])).parquet(out)
 
 
+def _fed_topic(spark: SparkSession, sf_dir: str, partitions: int, runs: int = 1, side: str | None = None) -> Topic:
+    """The feed's messages as a topic; in several `runs` each from a folder of its own, all published twice."""
+    source = Topic(INPUT_TOPIC, path=f"{workspace(spark, 'topic')}/{INPUT_TOPIC}", partitions=partitions)
+    frames = fixtures.feed_frames(spark, sf_dir)
+    for k in range(runs):
+        folder = f"{workspace(spark, 'feed')}/frames"
+        feed_files.write_frames(frames.filter(F.pmod(F.xxhash64("value"), F.lit(runs)) == k), folder)
+        _run(runners.feed_stream(spark, folder, source, side=side), runners.FEED_QUERY, workspace(spark, "checkpoints"))
+    return source
+
+
 @query
 def feed_to_table(spark, sf_dir):
-    """Feed files to edits table, three streams in a row. Titles depend on the order in which feed
-    files are read, so the keys are returned."""
-    source = Topic(INPUT_TOPIC, path=f"{workspace(spark, 'topic')}/{INPUT_TOPIC}")
+    """Feed files to edits table, three streams in a row. The topic has one partition, so that the frames' own
+    numbers order the writes."""
     checkpoints = workspace(spark, "checkpoints")
-    _run(runners.feed_stream(spark, _landed_feed(spark, sf_dir), source), runners.FEED_QUERY, checkpoints)
-    target = _filter_to_folder(spark, source, checkpoints)
+    target = _filter_to_folder(spark, _fed_topic(spark, sf_dir, 1), checkpoints)
     table = EditsTable(spark, workspace(spark, "edits"))
     _run(runners.edits_stream(spark, target, table), runners.WRITER_QUERY, checkpoints)
-    return table.current().select("domain", "created_at", "user_id")
+    return table.current().select("domain", "created_at", "user_id", "page_title")
+
+
+@query
+def feed_lag(spark, sf_dir):
+    """Over a topic that the feed has written in several batches: offsets without gaps or repeats, so that the lag of
+    a reader that has read nothing is the number of records."""
+    topic = _fed_topic(spark, sf_dir, 4, runs=3)
+    records = read_topic(spark, topic)
+    nothing = spark.createDataFrame([], metrics.POSITION_SCHEMA)
+    lag = metrics.consumer_lag(records, nothing).groupBy("topic").agg(F.sum("lag").alias("lag"), F.sum("end_offset").alias("n_ends"))
+    places = records.groupBy("topic", *PLACE[:1], PLACE[1]).agg(F.count(F.lit(1)).alias("n"))
+    counts = places.groupBy("topic").agg(F.sum("n").alias("n_records"), F.count_if(F.col("n") > 1).alias("n_repeated"))
+    return counts.join(lag, "topic")
+
+
+@query
+def feed_stream_counts(spark, sf_dir):
+    """What the feed read, sent and skipped, from its ledger."""
+    side = workspace(spark, "side")
+    _fed_topic(spark, sf_dir, 4, runs=2, side=side)
+    counts = runners.read_feed_ledger(spark, side)
+    return counts.agg(*[F.sum(name).alias(name) for name in ("n_read", *feed.FEED_OUTCOMES)])
 
 
 def _uneven_writer_run(spark: SparkSession, sf_dir: str, until: dt.datetime | None = None) -> tuple[Topic, str]:
     """Run the writer with its side outputs over the first part of the uneven topic, then land the rest."""
     records = fixtures.uneven_processed_topic(spark, sf_dir)
     first = records if until is None else records.filter(F.col("timestamp") < _instant(until))
-    source = _land(spark, first, PROCESSED_TOPIC, parts=2)
+    source, at_once = _land(spark, first, PROCESSED_TOPIC, batches=2)
     table = EditsTable(spark, workspace(spark, "edits"))
     side = workspace(spark, "side")
-    stream = runners.edits_stream(spark, source, table, max_per_trigger=1, side=side)
+    stream = runners.edits_stream(spark, source, table, max_per_trigger=at_once, side=side)
     _run(stream, runners.WRITER_QUERY, workspace(spark, "checkpoints"))
     if until is not None:
         append_topic(records.filter(F.col("timestamp") >= _instant(until)), source)
@@ -470,23 +568,35 @@ def stream_lag(spark, sf_dir):
     return metrics.consumer_lag(read_topic(spark, source), runners.read_ledger(spark, side))
 
 
+def _kept_filter_run(spark: SparkSession, sf_dir: str) -> tuple[Topic, str]:
+    source, at_once = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC, batches=3)
+    target = Topic(PROCESSED_TOPIC, path=f"{workspace(spark, 'topic')}/{PROCESSED_TOPIC}")
+    side = workspace(spark, "side")
+    stream = runners.kept_filter_stream(spark, source, target, side, ALLOWED_DOMAINS, max_per_trigger=at_once)
+    _run(stream, runners.FILTER_QUERY, workspace(spark, "checkpoints"))
+    return target, side
+
+
+@query
+def stream_filter_rejects(spark, sf_dir):
+    return runners.read_rejects(spark, _kept_filter_run(spark, sf_dir)[1])
+
+
 @query
 def stream_observed(spark, sf_dir):
-    """Counts of the filter stream, taken in passing."""
-    source = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC, parts=2)
-    target = Topic(PROCESSED_TOPIC, path=f"{workspace(spark, 'topic')}/{PROCESSED_TOPIC}")
-    writer = runners.observed_filter_stream(spark, source, target, ALLOWED_DOMAINS, max_per_trigger=1)
-    totals = observed_totals(_run(writer, runners.FILTER_QUERY, workspace(spark, "checkpoints")), runners.FILTER_QUERY)
-    names = ("n_read", *edits.RAW_OUTCOMES)
-    schema = ", ".join(f"{name} BIGINT" for name in (*names, "n_written"))
-    return spark.createDataFrame([(*(totals[name] for name in names), read_topic(spark, target).count())], schema)
+    """Counts of the filter stream, from its ledger, and what it has written."""
+    target, side = _kept_filter_run(spark, sf_dir)
+    counts = runners.read_ledger(spark, side, edits.RAW_OUTCOMES)
+    totals = counts.agg(*[F.sum(name).alias(name) for name in ("n_read", *edits.RAW_OUTCOMES)])
+    written = metrics.topic_scan(read_topic(spark, target)).agg(F.sum("n_records").alias("n_written"))
+    return totals.join(written)  # one row each
 
 
 @query
 def stream_throughput(spark, sf_dir):
-    """Hourly counts as a stream; only windows that are final."""
-    source = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC, parts=2)
-    out = f"{workspace(spark, 'throughput')}/windows"
-    writer = runners.throughput_stream(spark, source).writeStream.format("parquet").option("path", out)
-    _run(writer.outputMode("append"), "throughput", workspace(spark, "checkpoints"))
-    return spark.read.schema("topic STRING, window_start TIMESTAMP, n_records BIGINT").parquet(out)
+    """Hourly counts as a stream."""
+    source, at_once = _land(spark, fixtures.raw_topic(spark, sf_dir), INPUT_TOPIC, batches=3)
+    out = workspace(spark, "throughput")
+    stream = runners.throughput_stream(spark, source, out, max_per_trigger=at_once)
+    _run(stream, "throughput", workspace(spark, "checkpoints"))
+    return runners.read_throughput(spark, out)

@@ -87,7 +87,11 @@ def uneven_processed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A `processed` topic of all events with faults of every kind the table writer knows."""
     n = F.col("event_id")
     created_at = (
-        F.when(n % 89 == 1, "12:30:00").when(n % 89 == 2, "not a time").otherwise(day_text(F.col("day")))
+        F.when(n % 89 == 1, "12:30:00")
+        .when(n % 89 == 2, "not a time")
+        .when(n % 89 == 6, "12345-01-01T00:00:00Z")
+        .when(n % 89 == 7, "0000-01-01T00:00:00Z")
+        .otherwise(day_text(F.col("day")))
     )
     whole = F.to_json(
         F.struct(

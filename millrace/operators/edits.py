@@ -91,9 +91,9 @@ def classify_raw(topic: DataFrame, allowed: Sequence[str] = ALLOWED_DOMAINS) ->
     return decoded.withColumn("outcome", raw_outcome(allowed))
 
 
-def classify_processed(topic: DataFrame) -> DataFrame:
+def classify_processed(topic: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every processed record with its place, text, decoded fields and `outcome`."""
-    decoded = decode_processed(topic.withColumn("raw", text()), (*_PLACE, "raw"))
+    decoded = decode_processed(topic.withColumn("raw", text()), (*_PLACE, "raw", *keep))
     return decoded.withColumn("outcome", processed_outcome())
 
 

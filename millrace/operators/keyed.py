@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.schemas import CELLS, DELETE, EDIT_LOG, EDIT_ROW, KEY, KEY_STATE, SEQ, UPSERT, require
-from millrace.session import BROADCAST_ROWS, fits_broadcast
+from millrace.session import BROADCAST_ROWS
 
 # The key as the merge groups by it. Rows are sorted on it, by the first column's leading bytes for
 # as long as these differ, so the column with the most values comes first.
@@ -48,6 +48,7 @@ def _log_rows(rows: DataFrame, op: str, seq: Column, writer: str | None, batch_i
         F.lit(op).alias("op"),
         seq.cast(SEQ).alias("seq"),
         F.lit(writer).cast("string").alias("writer"),
+        F.lit(None).cast("string").alias("run"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.col("domain"),
         F.to_date(created_at).alias("d"),
@@ -83,12 +84,13 @@ def merge_states(states: DataFrame) -> DataFrame:
     return merged.select(*KEY_STATE.names)
 
 
-def live_rows(states: DataFrame) -> DataFrame:
-    """Merged states -> table rows. A delete also beats a write of the very same `seq`."""
+def after_delete(seq: str) -> Column:
+    """Was a state's part set after its key's last delete?"""
+    return F.col(seq).isNotNull() & (F.col("del_seq").isNull() | (F.col(seq) > F.col("del_seq")))
 
-    def after_delete(seq: str) -> Column:
-        return F.col(seq).isNotNull() & (F.col("del_seq").isNull() | (F.col(seq) > F.col("del_seq")))
 
+def live_rows(states: DataFrame) -> DataFrame:
+    """Merged states -> table rows. A delete also beats a write of the very same `seq`."""
     cells = {name: F.when(after_delete(f"{name}.seq"), F.col(f"{name}.value")) for name in CELLS}
     return states.filter(after_delete("up_seq")).select(
         "user_id", "domain", cells["page_title"].alias("page_title"), "created_at", cells["user_is_bot"].alias("user_is_bot")
@@ -158,15 +160,15 @@ def lookup_title(log: DataFrame, page_title: str, broadcast_rows: int = BROADCAS
     """Rows whose current title is the given one.
 
     The title is a cell: a log row with it may since be overwritten, so the condition holds only
-    after the merge. Only keys that ever had the title can qualify. If these are few enough to
-    broadcast, just their writes are merged; else all writes are, and no join on a possibly very
-    uneven key takes place.
+    after the merge. Only keys that ever had the title can qualify, and just their writes are merged:
+    by a broadcast if the keys are few, else by a join on the whole key, which no domain or day makes uneven.
     """
     key = [*KEY, "d"]  # the day as well, to prune directories
     had_it = log.filter(set_title(page_title)).select(*key).distinct()
-    if fits_broadcast(had_it, broadcast_rows):
-        log = log.join(F.broadcast(had_it), key, "left_semi")
-    return current_rows(log).filter(F.col("page_title") == page_title)
+    found = had_it.limit(broadcast_rows + 1).toArrow()  # one search: what was found is what gets broadcast
+    if found.num_rows <= broadcast_rows:
+        had_it = F.broadcast(log.sparkSession.createDataFrame(found))
+    return current_rows(log.join(had_it, key, "left_semi")).filter(F.col("page_title") == page_title)
 
 
 def newest_first() -> list[Column]:
@@ -176,7 +178,8 @@ def newest_first() -> list[Column]:
 def domain_timeline(rows: DataFrame, domain: str, before: dt.datetime | None = None) -> DataFrame:
     """Rows of one domain, newest first, optionally only those older than an instant (paging).
 
-    The sort is a range partitioning on (created_at, user_id), unique within a domain.
+    The sort is a range partitioning on (created_at, user_id), unique within a domain. Of a stored table
+    take `EditsTable.current(older_than(domain, before))`: that reads no day after `before`.
     """
     rows = rows.filter(F.col("domain") == domain)
     if before is not None:
@@ -184,6 +187,15 @@ def domain_timeline(rows: DataFrame, domain: str, before: dt.datetime | None = N
     return rows.orderBy(*newest_first())
 
 
+def older_than(domain: str, before: dt.datetime | None = None) -> Column:
+    """A domain's keys before an instant, with the days that follow from it, to go below the merge."""
+    where = F.col("domain") == domain
+    if before is not None:
+        at = as_utc(before)
+        where = where & (F.col("created_at") < F.lit(at)) & (F.col("d") <= F.lit(at.date()))
+    return where
+
+
 def head(rows: DataFrame, n: int = 10) -> DataFrame:
     """The first `n` rows in table order. Each task keeps its own first `n`; nothing is sorted whole."""
     return rows.orderBy("domain", *newest_first()).limit(n)

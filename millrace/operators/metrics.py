@@ -35,14 +35,8 @@ def topic_freshness(topic: DataFrame, now: Column | None = None) -> DataFrame:
     return out.withColumn("idle_seconds", (idle / F.lit(1_000_000)).cast("double"))
 
 
-def topic_throughput(topic: DataFrame, interval: str = "1 hour", allow_late: str | None = None) -> DataFrame:
-    """Records per topic and time window, by broker time.
-
-    On a stream give `allow_late`: windows are final, and their state is dropped, that long after
-    the newest record seen.
-    """
-    if allow_late is not None:
-        topic = topic.withWatermark("timestamp", allow_late)
+def topic_throughput(topic: DataFrame, interval: str = "1 hour") -> DataFrame:
+    """Records per topic and time window, by broker time."""
     counts = topic.groupBy("topic", F.window("timestamp", interval)).agg(F.count(F.lit(1)).alias("n_records"))
     return counts.select("topic", F.col("window.start").alias("window_start"), "n_records")
 

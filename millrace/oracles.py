@@ -15,6 +15,7 @@ from millrace.catalogue import (
     LOOKUP_USER,
     NOW,
     STARTING_OFFSETS,
+    TIMELINE_BEFORE,
     TIMELINE_DOMAIN,
     TRUNCATED_AT,
 )
@@ -48,16 +49,16 @@ u AS (
   SELECT event_id, ts, "partition", "offset", cut OR event_id % 101 = 5 AS unreadable,
          CASE WHEN NOT unreadable THEN user_text END AS user_id,
          CASE WHEN NOT unreadable THEN CASE WHEN event_id % 79 = 3 THEN '' ELSE domain END END AS domain,
-         CASE WHEN NOT unreadable THEN CASE WHEN event_id % 89 = 1 THEN '12:30:00'
-              WHEN event_id % 89 = 2 THEN 'not a time' ELSE dt END END AS created_at,
+         CASE WHEN NOT unreadable THEN CASE event_id % 89 WHEN 1 THEN '12:30:00' WHEN 2 THEN 'not a time'
+              WHEN 6 THEN '12345-01-01T00:00:00Z' WHEN 7 THEN '0000-01-01T00:00:00Z' ELSE dt END END AS created_at,
          CASE WHEN NOT unreadable AND event_id % 83 <> 4 THEN title END AS page_title,
          CASE WHEN unreadable THEN 'bad_json' WHEN event_id % 83 = 4 THEN 'incomplete'
-              WHEN event_id % 89 IN (1, 2) THEN 'bad_timestamp'
+              WHEN event_id % 89 IN (1, 2, 6, 7) THEN 'bad_timestamp'
               WHEN event_id % 79 = 3 THEN 'empty_domain' ELSE 'passed' END AS outcome,
          day,
          '{"user_id":"' || user_text || '","domain":"' || CASE WHEN event_id % 79 = 3 THEN '' ELSE domain END
-           || '","created_at":"' || CASE WHEN event_id % 89 = 1 THEN '12:30:00'
-                WHEN event_id % 89 = 2 THEN 'not a time' ELSE dt END || '"'
+           || '","created_at":"' || CASE event_id % 89 WHEN 1 THEN '12:30:00' WHEN 2 THEN 'not a time'
+                WHEN 6 THEN '12345-01-01T00:00:00Z' WHEN 7 THEN '0000-01-01T00:00:00Z' ELSE dt END || '"'
            || CASE WHEN event_id % 83 <> 4 THEN ',"page_title":"' || title || '"' ELSE '' END || '}' AS whole,
          CASE WHEN cut THEN whole[1:20] WHEN event_id % 101 = 5 THEN '[]' ELSE whole END AS raw
   FROM e
@@ -178,7 +179,16 @@ SELECT "partition", "offset", user_id, domain, day AS created_at, page_title FRO
     "edits_key_check": _FULL
     + """SELECT count(*) AS n_rows, count(DISTINCT (domain, created_at, user_id)) AS n_keys,
        0::BIGINT AS n_repeated_keys, 0::BIGINT AS n_null_keys FROM cur""",
-    "edits_layout": _FULL + "SELECT domain, created_at::DATE::VARCHAR AS d, count(*) AS n_rows FROM cur GROUP BY ALL",
+    "edits_layout": _FULL
+    + "SELECT domain, created_at::DATE::VARCHAR AS d, count(*) AS n_rows, 0::BIGINT AS n_unordered FROM cur GROUP BY ALL",
+    "count_compacted": _FULL + "SELECT count(*) AS n_rows FROM cur",
+    "table_truncated": _merged(True, False)
+    + """, flags AS (SELECT domain, day AS created_at, user_text AS user_id, event_id, k, is_bot, ts, "partition", "offset"
+  FROM e WHERE domain IN ('en.wikipedia.org', 'www.wikidata.org', 'commons.wikimedia.org'))
+SELECT domain, created_at, user_id,
+       arg_max('Flag_' || k, (ts, "partition", "offset")) FILTER (event_id % 2 = 1) AS page_title,
+       arg_max(is_bot, (ts, "partition", "offset")) FILTER (is_bot IS NOT NULL) AS user_is_bot
+FROM flags GROUP BY ALL""",
     "edits_stored": _FULL_ROWS,
     "edits_compacted": _FULL_ROWS,
     "lookup_key": _merged(True, False)
@@ -187,7 +197,9 @@ SELECT "partition", "offset", user_id, domain, day AS created_at, page_title FRO
     "lookup_user": _FULL + f"SELECT * FROM cur WHERE user_id = '{LOOKUP_USER}'",
     "lookup_title": _FULL + f"SELECT * FROM cur WHERE page_title = '{LOOKUP_TITLE}'",
     "lookup_title_compacted": _FULL + f"SELECT * FROM cur WHERE page_title = '{LOOKUP_TITLE}'",
-    "domain_timeline": _FULL + f"SELECT * FROM cur WHERE domain = '{TIMELINE_DOMAIN}'",
+    "domain_timeline": _FULL
+    + f"""SELECT *, row_number() OVER (ORDER BY created_at DESC, user_id) AS position FROM cur
+WHERE domain = '{TIMELINE_DOMAIN}' AND created_at < TIMESTAMP '{TIMELINE_BEFORE}'""",
     "edits_head": _FULL
     + f"""SELECT *, row_number() OVER (ORDER BY domain, created_at DESC, user_id) AS position FROM cur
 QUALIFY position <= {HEAD_ROWS}""",
@@ -237,8 +249,21 @@ FROM e""",
     "stream_filter": _FILTERED,
     "stream_edits": _EDITS,
     "replay_idempotent": _EDITS,
+    "replay_other_boundaries": _EDITS,
+    "replay_after_compaction": _EDITS,
     "feed_to_table": f"""WITH {_E}, {_PASS}
-SELECT DISTINCT domain, day AS created_at, user_text AS user_id FROM passed WHERE event_id % 11 <> 0""",
+SELECT domain, day AS created_at, user_text AS user_id, arg_max(title, event_id) AS page_title
+FROM passed WHERE event_id % 11 <> 0 GROUP BY ALL""",
+    "feed_lag": f"""WITH {_E}
+SELECT 'input' AS topic, count(*) AS n_records, count(*) FILTER (event_id >= 0) AS n_ends, 0::BIGINT AS n_repeated,
+       count(*) AS lag
+FROM e WHERE NOT cut AND event_id % 11 <> 0""",
+    "feed_stream_counts": f"""WITH {_E}
+SELECT count(*) AS n_read, count(*) FILTER (NOT cut) AS sent, count(*) FILTER (cut) AS bad_json
+FROM e WHERE event_id % 11 <> 0""",
+    "stream_filter_rejects": f"""WITH {_E}
+SELECT 'input' AS topic, "partition", "offset", ts AS "timestamp", ({_RAW_JSON})[1:20] AS raw, 'bad_json' AS reason
+FROM e WHERE cut""",
     "stream_rejects": f"""WITH {_E}, {_UNEVEN}
 SELECT 'processed' AS topic, "partition", "offset", ts AS "timestamp", raw, outcome AS reason
 FROM u WHERE outcome <> 'passed'""",
@@ -259,8 +284,6 @@ SELECT count(*) AS n_read, count(*) FILTER (cut) AS bad_json,
          AS not_human,
        (SELECT count(*) FROM passed) AS passed, (SELECT count(*) FROM passed) AS n_written
 FROM e""",
-    "stream_throughput": f"""WITH {_E},
-w AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) AS n_records FROM e GROUP BY ALL)
-SELECT 'input' AS topic, window_start, n_records FROM w
-WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM e) - INTERVAL 10 MINUTE""",
+    "stream_throughput": f"""WITH {_E}
+SELECT 'input' AS topic, date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) AS n_records FROM e GROUP BY ALL""",
 }

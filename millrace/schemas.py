@@ -94,6 +94,7 @@ EDIT_LOG = T.StructType(
         T.StructField("op", T.StringType()),
         T.StructField("seq", SEQ),
         T.StructField("writer", T.StringType()),
+        T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("domain", T.StringType()),
         T.StructField("d", T.DateType()),

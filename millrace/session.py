@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,16 +24,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared folder of `spark.checkpoint.dir`.
+    """A fresh folder under the shared folder of `spark.checkpoint.dir`. It goes when the session's JVM ends.
 
-    Only where a session names none, as in a bare local test, a temporary folder is made.
+    A local session that names no such folder gets a temporary one; executors on other machines could not see it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if shared:
-        return f"{shared.rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"millrace-{name}-")
+        path = f"{shared.rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+    elif re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        path = tempfile.mkdtemp(prefix=f"millrace-{name}-")
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -13,9 +13,12 @@ def read_frames(spark: SparkSession, path: str, newline: str = "\n") -> DataFram
     return spark.read.option("lineSep", newline * 2).text(path)
 
 
-def stream_frames(spark: SparkSession, path: str, newline: str = "\n") -> DataFrame:
-    """The same, as files land in the folder."""
-    return spark.readStream.option("lineSep", newline * 2).text(path)
+def stream_frames(spark: SparkSession, path: str, newline: str = "\n", max_per_trigger: int | None = None) -> DataFrame:
+    """The same, as files land in the folder, at most `max_per_trigger` files at a time."""
+    reader = spark.readStream.option("lineSep", newline * 2)
+    if max_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    return reader.text(path)
 
 
 def write_frames(frames: DataFrame, path: str, newline: str = "\n") -> None:

@@ -23,3 +23,20 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     where = _path(spark, path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = _path(spark, path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def sizes(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Paths that match with their lengths."""
+    where = _path(spark, pattern)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    return sorted((status.getPath().toString(), status.getLen()) for status in found or [])
+
+
+def batch_name(run: str, batch_id: int) -> str:
+    """The folder of one batch of one run, below what belongs to its writer."""
+    return f"run={run}/batch_id={batch_id}"

@@ -6,10 +6,12 @@ session's classpath. Without it only folders can be read and written.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -17,20 +19,24 @@ from millrace.schemas import COORDINATES, PROCESSED_TOPIC, SEQ, TOPIC_RECORD
 from millrace.sources import files
 
 _HEADER_PREFIX = "source."
+_ENDS_FOLDER = "_ends"  # readers of a folder pass over names that begin so
+_ENDS = "partition int, next_offset long"
 
 
 @dataclass(frozen=True)
 class Topic:
     """A topic by name, at a broker (`servers`) or in a folder (`path`).
 
-    A folder has one kind of writer: either one stream, whose file log then says what is in it, or
-    batches (`append_topic`, `publish_values`). `options` go to the broker's reader and writer.
+    A folder has one kind of writer: either one stream with a file sink, whose file log then says what is in
+    it, or batches (`append_topic`, `replace_batch`, `publish_values`). `options` go to the broker's reader and
+    writer.
     """
 
     name: str
     path: str | None = None
     servers: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    partitions: int = 4  # among which a folder's new records are dealt
 
     def __post_init__(self) -> None:
         if (self.path is None) == (self.servers is None):
@@ -46,7 +52,7 @@ def read_topic(
 ) -> DataFrame:
     """All records between two positions, as a batch."""
     if topic.path is not None:
-        return spark.read.schema(TOPIC_RECORD).parquet(topic.path)
+        return spark.read.schema(TOPIC_RECORD).option("recursiveFileLookup", "true").parquet(topic.path)
     reader = spark.read.format("kafka").options(**_broker_options(topic))
     reader = reader.option("subscribe", topic.name).option("includeHeaders", str(with_headers).lower())
     return reader.option("startingOffsets", start).option("endingOffsets", end).load()
@@ -55,23 +61,27 @@ def read_topic(
 def stream_topic(
     spark: SparkSession,
     topic: Topic,
-    start: str = "earliest",
+    start: str | Mapping[int, int] = "earliest",
     max_per_trigger: int | None = None,
     with_headers: bool = False,
 ) -> DataFrame:
     """The topic as a stream.
 
-    `start` matters only until a checkpoint exists. `earliest`, the default, leaves no gap; a folder
-    has no other start. `max_per_trigger` bounds a micro-batch: in records at a broker, in files in
-    a folder.
+    `start` matters only until a checkpoint exists. `earliest`, the default, leaves no gap. At a broker it may
+    be `latest`; in either place it may be the first offset of each partition, where others begin with
+    their first record (`latest_start` finds and keeps a folder's ends). `max_per_trigger` bounds a
+    micro-batch: in records at a broker, in files in a folder.
     """
     if topic.path is not None:
-        if start != "earliest":
-            raise ValueError("a folder can only be streamed from its earliest record")
-        reader = spark.readStream.schema(TOPIC_RECORD)
+        if start == "latest":
+            raise ValueError("a folder's latest position is where it ended when the stream was made: see latest_start")
+        reader = spark.readStream.schema(TOPIC_RECORD).option("recursiveFileLookup", "true")
         if max_per_trigger is not None:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-        return reader.parquet(topic.path)
+        records = reader.parquet(topic.path)
+        return records if start == "earliest" else records.filter(_not_before(start))
+    if not isinstance(start, str):
+        start = json.dumps({topic.name: {str(k): v for k, v in start.items()}})
     reader = spark.readStream.format("kafka").options(**_broker_options(topic))
     reader = reader.option("subscribe", topic.name).option("includeHeaders", str(with_headers).lower())
     if max_per_trigger is not None:
@@ -93,6 +103,26 @@ def from_offsets(
     return records.filter(wanted)
 
 
+def _not_before(start: Mapping[int, int]) -> Column:
+    """Records from each partition's offset on, and all of partitions without one."""
+    earlier = F.lit(False)
+    for partition, first in start.items():
+        earlier = earlier | ((F.col("partition") == partition) & (F.col("offset") < first))
+    return ~earlier
+
+
+def latest_start(spark: SparkSession, topic: Topic, path: str) -> dict[int, int]:
+    """The ends of a folder's partitions when this was first asked for with `path`, which keeps them.
+
+    To be kept with a stream's checkpoint, so that the stream starts at the same place each time.
+    """
+    if not files.exists(spark, f"{path}/_SUCCESS"):
+        ends = end_offsets(spark, topic)
+        out = spark.createDataFrame(sorted(ends.items()), _ENDS).coalesce(1).write.options(**files.MARKED)
+        out.mode("overwrite").parquet(path)
+    return {r["partition"]: r["next_offset"] for r in spark.read.schema(_ENDS).parquet(path).collect()}
+
+
 def append_topic(records: DataFrame, topic: Topic) -> None:
     """Append a batch of records."""
     if topic.path is not None:
@@ -102,20 +132,67 @@ def append_topic(records: DataFrame, topic: Topic) -> None:
         writer.option("topic", topic.name).save()
 
 
-def publish_values(values: DataFrame, topic: Topic) -> None:
-    """Append values that have no place yet, as new records without a key."""
-    if topic.path is not None:
-        append_topic(number_records(values, topic, first_offset=next_offset(values.sparkSession, topic)), topic)
-    else:
-        writer = values.select("value").write.format("kafka").options(**_broker_options(topic))
-        writer.option("topic", topic.name).save()
+def replace_batch(records: DataFrame, topic: Topic, run: str, batch_id: int) -> bool:
+    """Write one batch of records to a folder's own place for it. One that is there whole is left as it is:
+    its records may have been read. Returns whether it was written."""
+    path = f"{topic.path}/{files.batch_name(run, batch_id)}"
+    if files.exists(records.sparkSession, f"{path}/_SUCCESS"):
+        return False
+    records.select(*TOPIC_RECORD.names).write.options(**files.MARKED).mode("overwrite").parquet(path)
+    return True
 
 
-def next_offset(spark: SparkSession, topic: Topic) -> int:
-    """One past the last offset in a folder. Reads that one column."""
-    if not files.glob(spark, f"{topic.path}/*.parquet"):
-        return 0
-    return spark.read.schema(TOPIC_RECORD).parquet(topic.path).agg(F.max("offset")).first()[0] + 1
+def publish_values(values: DataFrame, topic: Topic, run: str = "batch", batch_id: int | None = None) -> None:
+    """Add values that have no place yet as new records without a key.
+
+    In a folder a batch goes on numbering where the one before it ended, and one that is published again
+    changes nothing. Beside its records it leaves the ends of the partitions, so that no history is read.
+    """
+    if topic.path is None:
+        writer = values.select("value").write.format("kafka").options(**_broker_options(topic))
+        writer.option("topic", topic.name).save()
+        return
+    spark = values.sparkSession
+    done = _published(spark, topic)
+    if batch_id is None:
+        batch_id = max((n for r, n in done if r == run), default=-1) + 1
+    if (run, batch_id) in done:
+        return
+    starts = end_offsets(spark, topic, done)
+    numbered = number_records(values, topic, starts)
+    replace_batch(numbered, topic, run, batch_id)
+    written = spark.read.schema(TOPIC_RECORD).parquet(f"{topic.path}/{files.batch_name(run, batch_id)}")
+    grown = written.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
+    ends = starts | {r["partition"]: r["next_offset"] for r in grown.collect()}  # one number a partition
+    out = spark.createDataFrame(sorted(ends.items()), _ENDS).coalesce(1).write.options(**files.MARKED)
+    out.mode("overwrite").parquet(f"{topic.path}/{_ENDS_FOLDER}/{files.batch_name(run, batch_id)}")
+
+
+def _published(spark: SparkSession, topic: Topic) -> set[tuple[str, int]]:
+    """Runs and numbers of the batches that are there whole, with their ends."""
+    marks = files.glob(spark, f"{topic.path}/{_ENDS_FOLDER}/run=*/batch_id=*/_SUCCESS")
+    found = (re.search(r"/run=([^/]+)/batch_id=(\d+)/_SUCCESS$", mark) for mark in marks)
+    return {(m[1], int(m[2])) for m in found}
+
+
+def end_offsets(spark: SparkSession, topic: Topic, done: set[tuple[str, int]] | None = None) -> dict[int, int]:
+    """One past the last offset of each partition of a folder.
+
+    From the ends that the last published batch of every run has left; of a folder without such, from its records.
+    """
+    done = _published(spark, topic) if done is None else done
+    last: dict[str, int] = {}
+    for run, batch_id in done:
+        last[run] = max(batch_id, last.get(run, -1))
+    if last:
+        paths = [f"{topic.path}/{_ENDS_FOLDER}/{files.batch_name(*x)}" for x in sorted(last.items())]
+        rows = spark.read.schema(_ENDS).parquet(*paths)
+    elif not files.exists(spark, topic.path):
+        return {}
+    else:
+        rows = read_topic(spark, topic).select("partition", (F.col("offset") + 1).alias("next_offset"))
+    found = rows.groupBy("partition").agg(F.max("next_offset").alias("next_offset")).collect()
+    return {r["partition"]: r["next_offset"] for r in found}
 
 
 def topic_writer(records: DataFrame, topic: Topic) -> DataStreamWriter:
@@ -138,19 +215,21 @@ def as_topic(df: DataFrame, name: str = PROCESSED_TOPIC) -> DataFrame:
     )
 
 
-def number_records(values: DataFrame, topic: Topic, partitions: int = 4, first_offset: int = 0) -> DataFrame:
+def number_records(values: DataFrame, topic: Topic, starts: Mapping[int, int] | None = None) -> DataFrame:
     """Values without coordinates as new records for a folder, which has no broker to number them.
 
-    Offsets grow within a batch and have gaps, like those of a compacted topic. The caller moves
-    `first_offset` on between batches.
+    Each goes to one of the topic's partitions and gets the next offset there, without gaps, from `starts` on. In
+    order of `position` where values have such a column, else of their hash; either way a batch that is made
+    again gets the same numbers. Within a partition of the topic this is one sort, as a broker's log is.
     """
-    numbered = values.select(
-        F.lit(None).cast("binary").alias("key"),
-        F.col("value"),
-        (F.monotonically_increasing_id() + F.lit(first_offset)).alias("offset"),
-    )
-    partition = F.pmod(F.xxhash64("value"), F.lit(partitions)).cast("int")
-    stamped = numbered.withColumn("partition", partition).withColumn("timestamp", F.current_timestamp())
+    position = [F.col("position")] if "position" in values.columns else []
+    placed = values.withColumn("partition", F.pmod(F.xxhash64("value"), F.lit(topic.partitions)).cast("int"))
+    order = Window.partitionBy("partition").orderBy(*position, F.xxhash64("value"), "value")
+    first = F.lit(0).cast("long")
+    for partition, offset in (starts or {}).items():
+        first = F.when(F.col("partition") == partition, F.lit(offset).cast("long")).otherwise(first)
+    numbered = placed.withColumn("offset", F.row_number().over(order) - 1 + first)
+    stamped = numbered.withColumn("key", F.lit(None).cast("binary")).withColumn("timestamp", F.current_timestamp())
     return as_topic(stamped, topic.name)
 
 

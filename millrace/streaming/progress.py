@@ -4,28 +4,14 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
-
-
-def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Sum of the observed counts `name` over the query's recent reports.
-
-    Spark keeps the last `spark.sql.streaming.numRecentProgressUpdates`; for a long-running query
-    register an `ObservedTotals` instead.
-    """
-    totals: Counter[str] = Counter()
-    for report in query.recentProgress:
-        observed = report.observedMetrics.get(name)
-        if observed is not None:
-            totals.update({key: value or 0 for key, value in observed.asDict().items()})
-    return dict(totals)
+from pyspark.sql.streaming import StreamingQueryListener
 
 
 class ObservedTotals(StreamingQueryListener):
     """Adds up observed counts of every query of the session; see `spark.streams.addListener`.
 
-    A batch that is run again after a failure reports again. Where counts must be exact take those
-    the table writer leaves per batch.
+    A batch that is run again after a failure reports again. Where counts must be exact take those that
+    the streams leave per batch in their side folder (`runners.read_ledger`).
     """
 
     def __init__(self) -> None:

@@ -42,7 +42,7 @@ def replay(writes):
 
 def log_rows(spark, writes):
     rows = [
-        (key[1], key[2], title, bot, op, seq, "w", 0, key[0], key[1].date()) for key, op, seq, title, bot in writes
+        (key[1], key[2], title, bot, op, seq, "w", None, 0, key[0], key[1].date()) for key, op, seq, title, bot in writes
     ]
     return spark.createDataFrame(rows, EDIT_LOG)
 

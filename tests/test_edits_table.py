@@ -75,7 +75,7 @@ def test_an_unfinished_batch_does_not_count(spark, table):
     writes = random_writes(400, 13)
     table.write_batch(log_rows(spark, writes[:200]), "w", 0)
     table.write_batch(log_rows(spark, writes[200:]), "w", 1)
-    os.remove(f"{table.root}/log/writer=w/batch_id=1/_SUCCESS")
+    os.remove(f"{table.root}/log/writer=w/run=batch/batch_id=1/_SUCCESS")
     assert collected(table.current()) == replay(writes[:200])
 
 
@@ -122,7 +122,7 @@ def test_compaction_changes_nothing(spark, table):
     rest = writes[1500:]
     table.write_batch(log_rows(spark, rest), "w", 5)
     assert collected(table.current()) == replay(writes)
-    assert collected(table.current(broadcast_rows=0)) == replay(writes)
+    assert table.count().first().n_rows == len(replay(writes))
     assert table.vacuum() == 5 and table.committed() == {Batch("w", 5)}
     assert collected(table.current()) == replay(writes)
     assert table.compact(full=True) == 4
@@ -246,3 +246,112 @@ def test_an_overwritten_title_is_not_found(spark, table):
     table.write_batch(log_rows(spark, [(KEY, "up", (START, 0, 2), "new", None)]), "w", 1)
     assert table.with_title("old").count() == 0
     assert table.with_title("new").count() == 1
+
+
+def test_batches_of_other_runs_and_absorbed_ones_are_not_replaced(spark, table):
+    first, second = random_writes(60, 20), random_writes(60, 21)
+    table.write_batch(log_rows(spark, first), "w", 0, run="a")
+    table.write_batch(log_rows(spark, second), "w", 0, run="b")
+    assert collected(table.current()) == replay(first + second)
+    table.compact()
+    with pytest.raises(ValueError, match="already"):
+        table.write_batch(log_rows(spark, second), "w", 0, run="a")
+    assert collected(table.current()) == replay(first + second)
+    assert table.vacuum() == 2 and collected(table.current()) == replay(first + second)
+
+
+@pytest.mark.parametrize(
+    "key",
+    [("", START, "u"), (None, START, "u"), ("a", START, None), ("a", None, "u"), ("a", "12345-01-01", "u"), ("a", "0000-01-01", "u")],
+)
+def test_keys_that_are_none_are_refused(spark, table, key):
+    table.write_batch(log_rows(spark, random_writes(30, 22)), "w", 0)
+    domain, at, user = key
+    rows = log_rows(spark, [(KEY, "up", (START, 0, 1), "T", None)])
+    if at != START:
+        rows = rows.withColumn("created_at", F.lit(at).cast("timestamp")).withColumn("d", F.to_date("created_at"))
+    rows = rows.withColumn("domain", F.lit(domain)).withColumn("user_id", F.lit(user))
+    for batch_id, op in ((1, "up"), (2, "del")):
+        with pytest.raises(Exception, match="a key needs"):
+            table.write_batch(rows.withColumn("op", F.lit(op)), "w", batch_id)
+    table.compact()
+    table.write_batch(log_rows(spark, random_writes(30, 23)), "w", 3)
+    table.compact()
+    assert collected(table.current()) == replay(random_writes(30, 22) + random_writes(30, 23))
+
+
+def test_times_at_the_ends_of_the_years_are_kept(spark, table):
+    keys = [("a", dt.datetime(year, 1, 1, tzinfo=dt.timezone.utc), "u") for year in (1, 9999)]
+    rows = log_rows(spark, [(k, "up", (START, 0, i), "T", None) for i, k in enumerate(keys)])
+    table.write_batch(rows, "w", 0)
+    table.compact()
+    table.write_batch(rows, "w", 1)
+    table.compact()
+    assert table.current().count() == table.count().first().n_rows == 2
+    assert sorted(x.name[1] for x in table.manifest()) == ["0001-01-01", "9999-01-01"]
+
+
+def jobs_of(spark, build):
+    """Spark jobs that run while a result is built, before anyone asks for its rows."""
+    spark.sparkContext.setJobGroup("counted", "")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_reads_of_a_compacted_table_start_no_job_over_data(spark, table):
+    writes = random_writes(300, 24)
+    table.write_batch(log_rows(spark, writes[:200]), "w", 0)
+    table.compact()
+    table.write_batch(log_rows(spark, writes[200:]), "w", 1)
+    assert jobs_of(spark, table.current) <= 2  # the manifest's names, the absorbed batches' names
+    assert jobs_of(spark, lambda: table.with_title("t4")) <= 7  # and one search, of several stages
+
+
+def test_counts_and_layout(spark, table):
+    writes = random_writes(900, 25)
+    table.write_batch(log_rows(spark, writes[:600]), "w", 0)
+    table.compact()
+    stored = {(x.name, x.n_rows) for x in table.manifest()}
+    got = table.layout().collect()
+    assert {((r.domain, str(r.d)), r.n_rows) for r in got} == stored and not any(r.n_unordered for r in got)
+    assert sum(n for _, n in stored) == len(replay(writes[:600])) == table.count().first().n_rows
+    assert all(x.n_states >= x.n_rows and x.n_files and x.n_bytes for x in table.manifest())
+    table.write_batch(log_rows(spark, writes[600:]), "w", 1)
+    assert table.count().first().n_rows == len(replay(writes))
+    table.drop()
+    assert table.current().count() == table.count().first().n_rows == 0 and table.generation() is None
+    table.write_batch(log_rows(spark, writes), "w", 0)
+    assert collected(table.current()) == replay(writes)
+
+
+def test_rows_out_of_order_are_seen(spark, table):
+    table.write_batch(log_rows(spark, random_writes(300, 26)), "w", 0)
+    table.compact()
+    held = max(table.manifest(), key=lambda x: x.n_states)
+    folder = f"{table.root}/base/generation=0/{held.directory}"
+    rows = spark.read.parquet(folder).coalesce(1).sortWithinPartitions("created_at").collect()
+    schema = spark.read.parquet(folder).schema
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(folder)
+    assert sum(r.n_unordered for r in table.layout().collect()) > 0
+
+
+def test_days_after_the_instant_are_not_read(spark, table):
+    rows = []
+    for day in range(4):
+        at = START + dt.timedelta(days=day)
+        rows += [(("a", at, f"u{i}"), "up", (at, 0, i), "t", None) for i in range(50)]
+    table.write_batch(log_rows(spark, rows), "w", 0)
+    table.compact()
+    before = START + dt.timedelta(days=1)
+    page = keyed.domain_timeline(table.current(keyed.older_than("a", before)), "a", before)
+    assert page.count() == 50 and scanned(table.current(keyed.older_than("a", before))) <= 100
+
+
+def test_titles_of_more_keys_than_may_be_broadcast(spark, table):
+    table.write_batch(log_rows(spark, [((f"d{i % 7}", START, f"u{i}"), "up", (START, 0, i), "T", None) for i in range(300)]), "w", 0)
+    table.compact()
+    found = table.with_title("T", broadcast_rows=10)
+    assert found.count() == 300 and "LocalTableScan" not in plan(found)

@@ -47,3 +47,39 @@ def test_a_broker_is_asked_for_by_its_address(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("KAFKA_BROKER", "nowhere:9092")
     with pytest.raises(Exception, match="(?i)kafka"):
         jobs.main(["filter", "--checkpoints", str(tmp_path / "c"), "--until-caught-up"], spark)
+
+
+def test_lookups_show_all_that_matches(spark, tmp_path, capsys):
+    from replay import START, log_rows
+
+    from millrace.sources.edits_table import EditsTable
+
+    table = EditsTable(spark, str(tmp_path / "edits"))
+    rows = [(("d", START, "u"), "up", (START, 0, 0), "T0", None)]
+    rows += [((f"d{i}", START, "u"), "up", (START, 0, i), f"T{i}", None) for i in range(1, 45)]
+    table.write_batch(log_rows(spark, rows), "w", 0)
+
+    def shown(*argv):
+        jobs.main(["find", "--table", table.root, *argv], spark)
+        return sum("|u " in line for line in capsys.readouterr().out.splitlines())
+
+    assert shown("--user", "u") == 45
+    assert shown("--user", "u", "--limit", "40") == 40
+    assert shown() == 10 and shown("--user", "nobody") == 0
+    assert shown("--user", "u", "--output", str(tmp_path / "out")) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 45
+
+
+def test_figures_and_side_folders(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.delenv("KAFKA_BROKER", raising=False)
+    at = {name: str(tmp_path / name) for name in ("input", "out", "side", "legacy", "c", "table")}
+    source = Topic("input", path=at["input"])
+    append_topic(topic(spark, [event(), "bad", event(domain="x")]), source)
+    common = ("--input", at["input"], "--checkpoints", at["c"], "--until-caught-up")
+    jobs.main(["filter", "--output", at["out"], "--side", at["side"], *common], spark)
+    assert [r.lag for r in jobs.main(["lag", "--input", at["input"], "--side", at["side"]], spark).collect()] == [0, 0]
+    assert sum(r.n_records for r in jobs.main(["throughput", "--input", at["input"]], spark).collect()) == 3
+    assert len(jobs.main(["freshness", "--input", at["input"]], spark).collect()) == 2
+    jobs.main(["legacy", "--output", at["legacy"], "--starting", "latest", *common], spark)
+    assert spark.read.parquet(at["legacy"]).count() == 0
+    assert jobs.main(["drop", "--table", at["table"]], spark) is None

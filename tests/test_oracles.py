@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from compare import difference, tables
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from millrace.catalogue import QUERIES
+from millrace.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,7 @@ def con(sf_dir):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from helpers import event, texts, topic
 from millrace.functions.decode import decode_processed
 from millrace.operators import keyed, metrics
+from millrace.operators.edits import RAW_OUTCOMES
 from millrace.plans.pipelines import filter_edits, filter_job, writer_job
 from millrace.schemas import TOPIC_RECORD
 from millrace.sources.edits_table import Batch, EditsTable
 from millrace.sources.topics import Topic, append_topic, read_topic
 from millrace.streaming import runners
-from millrace.streaming.progress import ObservedTotals, observed_totals
+from millrace.streaming.progress import ObservedTotals
 
 
 @pytest.fixture
@@ -66,7 +67,8 @@ def test_resumes_where_it_stopped(spark, place):
     append_topic(later, place.input)
     both(spark, place, table)
     assert read_topic(spark, place.processed).count() == before + filter_edits(later).count()
-    assert table.committed() == {Batch("edits", 0), Batch("edits", 1)}
+    assert sorted((b.writer, b.batch_id) for b in table.committed()) == [("edits", 0), ("edits", 1)]
+    assert len({b.run for b in table.committed()}) == 1  # the checkpoint's
     whole = read_topic(spark, place.input)
     assert texts(table.current()) == texts(keyed.current_rows(writer_job(filter_job(whole))))
 
@@ -127,14 +129,13 @@ def test_observed_counts(spark, place):
     spark.streams.addListener(listener)
     try:
         append_topic(topic(spark, events(40)), place.input)
-        stream = run(runners.observed_filter_stream(spark, place.input, place.processed), runners.FILTER_QUERY, place)
-        totals = observed_totals(stream, runners.FILTER_QUERY)
-        assert totals["n_read"] == 40 and totals["bad_json"] == 6
-        assert totals["passed"] == read_topic(spark, place.processed).count() == filter_edits(topic(spark, events(40))).count()
+        run(runners.observed_filter_stream(spark, place.input, place.processed), runners.FILTER_QUERY, place)
         until = time.time() + 20
         while listener.totals.get(runners.FILTER_QUERY, {}).get("n_read") != 40 and time.time() < until:
             time.sleep(0.1)
-        assert dict(listener.totals[runners.FILTER_QUERY]) == totals
+        totals = listener.totals[runners.FILTER_QUERY]
+        assert totals["n_read"] == 40 and totals["bad_json"] == 6
+        assert totals["passed"] == read_topic(spark, place.processed).count() == filter_edits(topic(spark, events(40))).count()
     finally:
         spark.streams.removeListener(listener)
 
@@ -155,7 +156,7 @@ def test_a_batch_that_failed_half_way_is_run_again(spark, place, monkeypatch):
     table = EditsTable(spark, place.table)
     write_side = runners._write_side
 
-    def fail(batch, side, at):
+    def fail(*_):
         raise RuntimeError("lost")
 
     monkeypatch.setattr(runners, "_write_side", fail)
@@ -165,28 +166,105 @@ def test_a_batch_that_failed_half_way_is_run_again(spark, place, monkeypatch):
     monkeypatch.setattr(runners, "_write_side", write_side)
     run(runners.edits_stream(spark, place.processed, table, side=place.side), runners.WRITER_QUERY, place)
     assert table.read_log().count() == written > 0
-    assert table.committed() == {Batch("edits", 0)}
+    assert [(b.writer, b.batch_id) for b in table.committed()] == [("edits", 0)]
     assert runners.read_ledger(spark, place.side).agg(F.sum("n_read")).first()[0] == written
 
 
-def test_late_records_are_counted_while_their_window_is_open(spark, place, tmp_path):
+def test_throughput_counts_every_record_however_late(spark, place, tmp_path):
     start = dt.datetime(2026, 5, 1, tzinfo=dt.timezone.utc)
+    out = str(tmp_path / "out")
 
     def land(*minutes):
         rows = [(None, b"x", "input", 0, i, start + dt.timedelta(minutes=m)) for i, m in enumerate(minutes)]
         append_topic(spark.createDataFrame(rows, TOPIC_RECORD).coalesce(1), place.input)
 
     def go():
-        stream = runners.throughput_stream(spark, place.input, "10 minutes", "15 minutes")
-        writer = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append")
-        run(writer, "throughput", place)
-        out = spark.read.schema("topic STRING, window_start TIMESTAMP, n_records BIGINT").parquet(str(tmp_path / "out"))
-        got = out.select((F.unix_timestamp("window_start") - int(start.timestamp())).alias("s"), "n_records").collect()
-        return sorted((r.s // 60, r.n_records) for r in got)
+        run(runners.throughput_stream(spark, place.input, out, "10 minutes"), "throughput", place)
+        got = runners.read_throughput(spark, out)
+        want = metrics.topic_throughput(read_topic(spark, place.input), "10 minutes")
+        assert texts(got) == texts(want)
+        return got.count()
 
+    assert runners.read_throughput(spark, out).count() == 0
     land(1, 2, 12)
-    assert go() == []
-    land(3, 26)  # minute 3 is late but its window still open
-    assert go() == [(0, 3)]
-    land(4, 50)  # too late
-    assert go() == [(0, 3), (10, 1), (20, 1)]
+    assert go() == 2
+    land(3, 26)
+    assert go() == 3
+    land(4, 50)  # long after its window
+    assert go() == 4
+
+
+def test_a_lost_checkpoint_loses_no_rows(spark, place, tmp_path):
+    """The topic holds other records by the time the writer starts over, with a compaction in between or without."""
+    table = EditsTable(spark, place.table)
+    rows = []
+    for k, compacted in enumerate((False, True, False)):
+        source = Topic("processed", path=str(tmp_path / f"processed{k}"))
+        values = [event(user=f"u{k}", title=f"t{i}") for i in range(5)]
+        append_topic(filter_job(topic(spark, values).withColumn("offset", F.col("offset") + 100 * k)), source)
+        rows.append(read_topic(spark, source))
+        place.checkpoints = str(tmp_path / f"checkpoints{k}")
+        run(runners.edits_stream(spark, source, table, side=place.side), runners.WRITER_QUERY, place)
+        if compacted:
+            table.compact()
+            table.vacuum()
+    whole = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    assert texts(table.current()) == texts(keyed.current_rows(writer_job(whole)))
+    assert runners.read_ledger(spark, place.side).agg(F.sum("n_read")).first()[0] == 15
+
+
+def test_a_batch_run_again_after_a_compaction_leaves_the_table_alone(spark, place, monkeypatch):
+    append_topic(filter_job(topic(spark, events(40))), place.processed)
+    table = EditsTable(spark, place.table)
+    write_side = runners._write_side
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(runners, "_write_side", fail)
+    with pytest.raises(Exception, match="lost"):
+        run(runners.edits_stream(spark, place.processed, table, side=place.side), runners.WRITER_QUERY, place)
+    table.compact()
+    before = texts(table.current())
+    monkeypatch.setattr(runners, "_write_side", write_side)
+    run(runners.edits_stream(spark, place.processed, table, side=place.side), runners.WRITER_QUERY, place)
+    assert texts(table.current()) == before
+    assert runners.read_ledger(spark, place.side).agg(F.sum("n_read")).first()[0] == read_topic(spark, place.processed).count()
+
+
+def test_the_filter_accounts_for_what_it_leaves_out(spark, place):
+    append_topic(topic(spark, events(40)).repartition(4), place.input)
+    stream = runners.kept_filter_stream(spark, place.input, place.processed, place.side, max_per_trigger=1)
+    run(stream, runners.FILTER_QUERY, place)
+    assert texts(decode_processed(read_topic(spark, place.processed))) == texts(filter_edits(topic(spark, events(40))))
+    assert {r.raw for r in runners.read_rejects(spark, place.side).collect()} == {"bad"}
+    counts = runners.read_ledger(spark, place.side, RAW_OUTCOMES)
+    totals = counts.agg(*[F.sum(x).alias(x) for x in ("n_read", *RAW_OUTCOMES)]).first()
+    assert totals.n_read == 40 == sum(totals[x] for x in RAW_OUTCOMES) and totals.bad_json == 6
+    table = EditsTable(spark, place.table)
+    run(runners.edits_stream(spark, place.processed, table), runners.WRITER_QUERY, place)
+    assert table.current().count() > 0
+
+
+def test_feed_batches_are_replayed_once_and_numbered_without_gaps(spark, place, tmp_path, monkeypatch):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "a.txt").write_text("".join(f'id: {i}\ndata: {{"n": {i}}}\n\n' for i in range(30)) + "data: bad\n\n")
+    write_side = runners._write_side
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(runners, "_write_side", fail)
+    with pytest.raises(Exception, match="lost"):
+        run(runners.feed_stream(spark, str(feed), place.input, side=place.side), runners.FEED_QUERY, place)
+    monkeypatch.setattr(runners, "_write_side", write_side)
+    (feed / "b.txt").write_text("".join(f'id: {i}\ndata: {{"n": {i}}}\n\n' for i in range(30, 50)))
+    run(runners.feed_stream(spark, str(feed), place.input, side=place.side), runners.FEED_QUERY, place)
+    got = read_topic(spark, place.input)
+    assert sorted(bytes(r.value) for r in got.collect()) == sorted(b'{"n": %d}' % i for i in range(50))
+    for partition, n, first, last in got.groupBy("partition").agg(F.count("*"), F.min("offset"), F.max("offset")).collect():
+        assert (first, last) == (0, n - 1), partition
+    counts = runners.read_feed_ledger(spark, place.side)
+    assert tuple(counts.agg(F.sum("n_read"), F.sum("sent"), F.sum("bad_json")).first()) == (51, 50, 1)
+    assert [tuple(r) for r in runners.read_feed_rejects(spark, place.side).collect()] == [("bad", "bad_json")]

@@ -10,10 +10,12 @@ from millrace.sources.topics import (
     Topic,
     append_topic,
     coordinate_headers,
+    end_offsets,
     from_offsets,
-    next_offset,
+    latest_start,
     number_records,
     publish_values,
+    replace_batch,
     read_topic,
     source_seq,
     stream_topic,
@@ -80,24 +82,86 @@ def test_processed_records_have_the_table_key(spark):
     assert got.topic == "processed" and (got.partition, got.offset) == (0, 0)
 
 
+def _values(spark, n, first=0):
+    return spark.range(first, first + n, 1, 5).select(F.col("id").cast("string").cast("binary").alias("value"))
+
+
+def _places(records):
+    return sorted(map(tuple, records.select("partition", "offset").collect()))
+
+
 def test_numbered_records(spark):
-    values = spark.range(0, 1000, 1, 5).select(F.col("id").cast("string").cast("binary").alias("value"))
-    t = Topic("input", path="/nowhere")
-    got = number_records(values, t, partitions=3, first_offset=7)
-    assert require(got, TOPIC_RECORD).select("offset").distinct().count() == 1000
-    assert got.agg(F.min("offset")).first()[0] == 7
-    assert {r[0] for r in got.select("partition").distinct().collect()} == {0, 1, 2}
+    got = number_records(_values(spark, 1000), Topic("input", path="/nowhere", partitions=3), {0: 7, 2: 100})
+    places = _places(require(got, TOPIC_RECORD))
+    for partition, first in ((0, 7), (1, 0), (2, 100)):
+        offsets = [o for p, o in places if p == partition]
+        assert offsets == list(range(first, first + len(offsets)))
+    again = number_records(_values(spark, 1000).repartition(3), Topic("input", path="/nowhere", partitions=3), {0: 7, 2: 100})
+    columns = ("partition", "offset", "value")
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, again.select(*columns).collect()))
+
+
+def test_values_are_numbered_in_order_of_their_position(spark):
+    values = _values(spark, 200).withColumn("position", F.lit(1000) - F.col("value").cast("string").cast("int"))
+    got = number_records(values, Topic("input", path="/nowhere", partitions=1)).orderBy("offset").collect()
+    assert [int(bytes(r.value)) for r in got] == list(range(199, -1, -1))
 
 
 def test_published_values_are_numbered_on(spark, tmp_path):
     t = Topic("input", path=str(tmp_path / "input"))
-    values = spark.range(0, 50, 1, 3).select(F.col("id").cast("string").cast("binary").alias("value"))
-    assert next_offset(spark, t) == 0
-    publish_values(values, t)
-    publish_values(values, t)
+    assert end_offsets(spark, t) == {}
+    for _ in range(2):
+        publish_values(_values(spark, 50), t)
+    publish_values(_values(spark, 30, 50), t, "run-1", 0)
+    publish_values(_values(spark, 30, 50), t, "run-1", 0)  # published again: nothing new
+    publish_values(_values(spark, 20, 80), t, "run-1", 1)
     got = read_topic(spark, t)
-    assert got.count() == got.select("offset").distinct().count() == 100
-    assert next_offset(spark, t) == got.agg(F.max("offset")).first()[0] + 1
+    assert got.count() == got.select("partition", "offset").distinct().count() == 150
+    ends = end_offsets(spark, t)
+    assert sum(ends.values()) == 150
+    assert _places(got) == [(p, o) for p, end in sorted(ends.items()) for o in range(end)]
+
+
+def test_publishing_does_not_read_history(spark, tmp_path):
+    t = Topic("input", path=str(tmp_path / "input"))
+    publish_values(_values(spark, 50), t)
+    old = next(p for p in (tmp_path / "input").rglob("part-*.parquet") if "_ends" not in str(p))
+    old.write_bytes(b"no longer readable")
+    publish_values(_values(spark, 50, 50), t)
+    assert sum(end_offsets(spark, t).values()) == 100
+
+
+def test_a_publication_that_stopped_half_way_goes_on(spark, tmp_path):
+    import shutil
+
+    t = Topic("input", path=str(tmp_path / "input"))
+    publish_values(_values(spark, 50), t, "run", 0)
+    before = _places(read_topic(spark, t))
+    shutil.rmtree(tmp_path / "input" / "_ends")  # the records are there, their ends are not yet
+    publish_values(_values(spark, 50), t, "run", 0)
+    assert _places(read_topic(spark, t)) == before
+    publish_values(_values(spark, 10, 50), t, "run", 1)
+    assert sum(end_offsets(spark, t).values()) == 60
+
+
+def test_a_folder_from_its_latest_record(spark, tmp_path):
+    t = Topic("input", path=str(tmp_path / "input"))
+    append_topic(topic(spark, [event(title=f"t{i}") for i in range(5)]), t)
+    start = latest_start(spark, t, str(tmp_path / "start"))
+    assert start == {0: 3, 1: 2}
+    later = topic(spark, [event(title="new"), event(title="newer")]).withColumn("offset", F.col("offset") + 3)
+    append_topic(later, t)
+    assert latest_start(spark, t, str(tmp_path / "start")) == start
+    out = stream_topic(spark, t, start).writeStream.format("memory").queryName("from_latest")
+    out.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert _places(spark.table("from_latest")) == [(0, 3), (1, 3)]
+
+
+def test_a_batch_that_is_there_is_left_alone(spark, tmp_path):
+    t = Topic("input", path=str(tmp_path / "input"))
+    assert replace_batch(topic(spark, ["a", "b"]), t, "run", 0)
+    assert not replace_batch(topic(spark, ["c"]), t, "run", 0)
+    assert read_topic(spark, t).count() == 2
 
 
 def test_a_broker_is_asked_for_only_with_its_connector(spark):
