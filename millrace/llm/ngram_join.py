@@ -10,8 +10,8 @@ ever written out, and equal sets are one set from the first step on.
    others (known by 64 bits of their 128 here), each leaves out its `k - 1` longest lists (the long lists of DivideSkip): a linked pair still
    meets in one that neither left out. Lists point to their smallest member; connected components
    of these pointers are candidate groups, and no link leaves a group.
-3. *Search.* A group's texts are read together. Its inverted lists are heap-merged where short, probed
-   by binary search where long, and sets reaching the overlap that the similarity asks for are linked.
+3. *Search.* A group's texts are read together. Its inverted lists are merged where short, probed by
+   binary search where long, and sets reaching the overlap that the similarity asks for are linked.
    A set that was reached leaves the index, so that a group of g near copies takes g lookups, not g * g.
    A group beyond `block_words` is dealt into blocks, and every two blocks of it are searched together.
 
@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import heapq
 import math
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +39,9 @@ from millrace.session import broadcast_if_small
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-BLOCK_WORDS = 2_000_000
-_MU = 0.0085  # weight of a probe against a merge step in DivideSkip's choice of long lists
+BLOCK_WORDS = 1_000_000
+_MU = 0.5  # weight of a probe against a merge step in DivideSkip's choice of how many lists are long
+_HEAP = 256  # postings merged by a heap
 
 
 def least_overlap(n: int, percent: int = PERCENT) -> int:
@@ -89,7 +89,7 @@ def describe(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
 
 def _postings(size: int, percent: int, shards: int):
     """Packed postings: a row for each shard and round, with sets by name and (shingle, set) pairs."""
-    room = 4_000_000
+    room = 1_000_000
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -126,7 +126,7 @@ def _postings(size: int, percent: int, shards: int):
                 seen.add(name)
                 names.append(name[:8])
                 sizes.append(len(s))
-                parts.append(s[: prefix_length(len(s), percent)])
+                parts.append(s[: prefix_length(len(s), percent)].copy())
                 held += len(parts[-1])
                 if held >= room:
                     yield flush()
@@ -171,93 +171,106 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def t_occurrences(lists: list[list[int]], least: int) -> dict[int, int]:
-    """Members of at least `least` of the sorted lists, with how many lists they are in."""
-    lists = sorted((x for x in lists if x), key=len)
+def t_occurrences(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members of at least `least` of the sorted lists, in order, and how many lists each is in.
+
+    The shorter lists are merged; what they hold often enough to be completed by the longest ones, `least` less
+    the number of these, is looked up there by binary search. Few short postings go through a heap, many through
+    a sort that merges the runs they are.
+    """
+    nothing = np.empty(0, np.int64), np.empty(0, np.int64)
+    lists = sorted((x for x in lists if len(x)), key=len)
     if least < 1 or len(lists) < least:
-        return {}
+        return nothing
     longest = len(lists[-1])
-    n_long = min(least - 1, int(least / (_MU * math.log2(longest) + 1))) if longest > 1 else 0
+    n_long = min(least - 1, int(least / (_MU * math.log2(longest) + 1)))
     short, long = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
-    enough = least - n_long
-    heap = [(x[0], i) for i, x in enumerate(short)]
-    heapq.heapify(heap)
-    at = [0] * len(short)
-    found: dict[int, int] = {}
-    while len(heap) >= enough:
-        member = heap[0][0]
-        popped = []
-        while heap and heap[0][0] == member:
-            popped.append(heapq.heappop(heap)[1])
-        if len(popped) >= enough:
-            count, left = len(popped), n_long
-            for x in long:
-                if count + left < least:
-                    break
-                p = bisect_left(x, member)
-                count += p < len(x) and x[p] == member
-                left -= 1
-            if count >= least:
-                found[member] = count
-            for i in popped:
-                at[i] += 1
-                if at[i] < len(short[i]):
-                    heapq.heappush(heap, (short[i][at[i]], i))
-        else:
-            while heap and len(popped) < enough - 1:
-                popped.append(heapq.heappop(heap)[1])
-            if not heap:
-                break
-            to = heap[0][0]
-            for i in popped:
-                at[i] = bisect_left(short[i], to, at[i])
-                if at[i] < len(short[i]):
-                    heapq.heappush(heap, (short[i][at[i]], i))
-    return found
+    if sum(map(len, short)) <= _HEAP:
+        merged = np.fromiter(heapq.merge(*(x.tolist() for x in short)), np.int64)
+    else:
+        merged = np.concatenate(short)
+        merged.sort(kind="stable")
+    first = np.flatnonzero(np.concatenate(([True], merged[1:] != merged[:-1])))
+    member, count = merged[first], np.diff(np.append(first, len(merged)))
+    for left, x in zip(range(n_long, 0, -1), long, strict=True):
+        able = count + left >= least
+        member, count = member[able], count[able]
+        if not len(member):
+            return nothing
+        at = np.minimum(np.searchsorted(x, member), len(x) - 1)
+        count = count + (x[at] == member)
+    able = count >= least
+    return member[able], count[able]
+
+
+class Index:
+    """Inverted lists of sets that are numbered by size; those that were reached are taken out."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(s) for s in sets])
+        every = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        _, code, count = np.unique(every, return_inverse=True, return_counts=True)
+        keep = count[code] > 1
+        code, owner = code[keep], owner[keep]
+        self.bounds = np.searchsorted(owner, np.arange(len(sets) + 1))
+        self.codes = code  # by set
+        order = np.argsort(code, kind="stable")
+        self.code, self.owner = code[order], owner[order]  # by shingle, sets in order
+        self.open = np.ones(len(sets), bool)
+        self._shrink(int(self.codes.max(initial=-1)) + 1)
+
+    def _shrink(self, n_codes: int) -> None:
+        live = self.open[self.owner]
+        self.code, self.owner = self.code[live], self.owner[live]
+        self.starts = np.searchsorted(self.code, np.arange(n_codes + 1))
+        self.left = int(self.open.sum())
+
+    def reach(self, x: int, percent: int) -> np.ndarray:
+        """Open sets that x links with; they are taken out."""
+        n = int(self.sizes[x])
+        least = least_overlap(n, percent)
+        if 2 * int(self.open.sum()) < self.left:
+            self._shrink(len(self.starts) - 1)
+        mine = self.codes[self.bounds[x] : self.bounds[x + 1]]
+        start, end = self.starts[mine], self.starts[mine + 1]
+        full = np.flatnonzero(end > start)
+        if len(full) < least:
+            return full[:0]
+        lists = []
+        low, high = np.searchsorted(self.sizes, [least, n * 100 // percent + 1])
+        for a, b in zip(start[full].tolist(), end[full].tolist(), strict=True):
+            one = self.owner[a:b]
+            if b - a > 8:
+                one = one[self.open[one]]
+                one = one[(one >= low) & (one < high)]
+            else:
+                one = np.array([d for d in one.tolist() if self.open[d] and low <= d < high], np.int64)
+            if len(one):
+                lists.append(one)
+        member, both = t_occurrences(lists, least)
+        found = member[100 * both >= percent * (n + self.sizes[member] - both)]
+        self.open[found] = False
+        return found
 
 
 def linked(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that connect `sets` (sorted hashes, none empty) just as all their links would."""
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    sizes = [len(sets[i]) for i in order]
-    if len(order) < 2:
+    if len(sets) < 2:
         return []
-    every = np.concatenate([sets[i] for i in order])
-    owner = np.repeat(np.arange(len(order)), sizes)
-    _, code, count = np.unique(every, return_inverse=True, return_counts=True)
-    keep = count[code] > 1
-    code, owner = code[keep], owner[keep]
-    by_code = np.argsort(code, kind="stable")  # owners stay ascending within a list
-    cuts = np.flatnonzero(np.diff(code[by_code])) + 1
-    lists: dict[int, list[int]] = {}
-    if len(code):
-        heads = code[by_code][np.concatenate(([0], cuts))]
-        lists = {int(h): x.tolist() for h, x in zip(heads, np.split(owner[by_code], cuts), strict=True)}
-    own_bounds = np.searchsorted(owner, np.arange(len(order) + 1))
-    open_ = [True] * len(order)
+    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    index = Index([sets[i] for i in order])
     links: list[tuple[int, int]] = []
     for seed in range(len(order)):
-        if not open_[seed]:
+        if not index.open[seed]:
             continue
-        open_[seed] = False
+        index.open[seed] = False
         queue = [seed]
-        while queue:
+        while queue and index.open.any():
             x = queue.pop()
-            n = sizes[x]
-            least = least_overlap(n, percent)
-            low = bisect_left(sizes, least)
-            high = bisect_left(sizes, n * 100 // percent + 1)
-            mine = []
-            for c in code[own_bounds[x] : own_bounds[x + 1]].tolist():
-                live = [d for d in lists[c] if open_[d]]
-                lists[c] = live
-                if live:
-                    mine.append(live[bisect_left(live, low) : bisect_left(live, high)])
-            for y, both in t_occurrences(mine, least).items():
-                if 100 * both >= percent * (n + sizes[y] - both):
-                    links.append((order[x], order[y]))
-                    open_[y] = False
-                    queue.append(y)
+            found = index.reach(x, percent).tolist()
+            links += [(order[x], order[y]) for y in found]
+            queue += found
     return links
 
 
@@ -361,3 +374,11 @@ def ngram_groups(
     named = rooted.join(firsts, "root").select("set_id", "component_id")
     alone = slim.filter("set_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return slim.join(named, "set_id").select("doc_id", "n_shingles", "component_id").unionAll(alone)
+
+
+def one_of_each_group(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` whose doc_id is the smallest of their group; rows without a doc_id stay."""
+    groups = ngram_groups(docs, size, percent)
+    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
+    kept = docs.join(broadcast_if_small(stay), docs["doc_id"].cast("long") == F.col("_stays"), "left_semi")
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
