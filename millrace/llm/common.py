@@ -16,6 +16,8 @@ import millrace
 from millrace.session import workspace
 
 FOLDS = 5
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
@@ -34,8 +36,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
-    """`df.mapInArrow` with this package on the executors."""
-    ship(df.sparkSession)
+    """`df.mapInArrow` with this package on the executors.
+
+    Rows hold whole texts, so a batch is `BATCH_ROWS` of them unless the session asks for another number than
+    Spark's default, which is meant for rows of numbers.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
     return df.mapInArrow(run, schema)
 
 

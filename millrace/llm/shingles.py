@@ -10,7 +10,7 @@ import numpy as np
 
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INVERSE = pow(_R, -1, 1 << 64)
-_SEGMENT = 2 << 20
+_SEGMENT = 1 << 19
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
