@@ -29,11 +29,13 @@ def filter_domain(
     column: str = "meta.domain",
     broadcast_rows: int = BROADCAST_ROWS,
     spread: Column | None = None,
+    salts: int = ALLOW_LIST_SALTS,
 ) -> DataFrame:
     """Keep events of the allowed domains: a short list, or a one-column DataFrame of any length.
 
     `spread` is a number that differs from row to row, for a list too long to broadcast; by default
-    a hash of the whole row. Where many rows may be equal give one of their coordinates.
+    a hash of the whole row. Where many rows may be equal give one of their coordinates. `salts` is the
+    number of tasks that one domain's rows are then dealt to.
     """
     if not isinstance(allowed, DataFrame):
         return df.filter(allowed_domain(allowed, column))
@@ -44,9 +46,9 @@ def filter_domain(
 
     # A domain may hold a third of all events, so its rows are dealt to several tasks. The salt
     # comes from the row itself, so that a task that is run again computes the same one.
-    salted = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ALLOW_LIST_SALTS - 1))))
+    salted = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = F.xxhash64(*df.columns) if spread is None else spread
-    row_salt = F.pmod(spread, F.lit(ALLOW_LIST_SALTS)).cast("int")
+    row_salt = F.pmod(spread, F.lit(salts)).cast("int")
     return df.join(salted, (F.col(column) == F.col("_allowed")) & (row_salt == F.col("_salt")), "left_semi")
 
 
