@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import folder, map_batches
+from millrace.llm.common import cut, folder, map_batches
 from millrace.session import broadcast_if_small
 
 REVISIT_BYTES = 100
@@ -42,7 +42,7 @@ ARC_FIELDS = {
 }
 PAGE_HEADER = "X-Page-Id"
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:millrace:arc")
-_EMPTY_SHA = hashlib.sha256(b"").hexdigest()
+_GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def _arc_head(version: int, url: str, kind: str, code: int, offset: int, name: str, length: int) -> bytes:
@@ -74,7 +74,7 @@ def write_arc(pages: DataFrame, path: str) -> None:
     """`pages(page_id, url, html)` as ARC files, versions 1 and 2 by turns."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     made = map_batches(rows, _to_arc, "value binary").select(F.col("value").cast("string").alias("value"))
-    made.write.option("lineSep", "\n").option("compression", "gzip").text(path)
+    made.write.options(**_GZIP).option("lineSep", "\n").text(path)
 
 
 @dataclass
@@ -246,7 +246,7 @@ def write_warc(records: DataFrame, repeated: DataFrame, path: str) -> None:
     """`read_arc`'s rows as WARC files; those in `repeated` (see `revisits`) as revisits without a payload."""
     rows = records.join(broadcast_if_small(repeated), "record_id", "left")
     made = map_batches(rows, _to_warc, "value binary").select(F.col("value").cast("string").alias("value"))
-    made.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    made.write.options(**_GZIP).option("lineSep", "\r\n\r\n").text(path)
 
 
 def parse_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -288,13 +288,15 @@ def _from_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row for every response, resource and revisit; lengths and digests are of the payloads read.
 
-    A revisit has them from the record it refers to.
+    A revisit has them from the record it refers to. The files are read once, when this is called.
     """
-    rows = map_batches(
-        _files(spark, path),
-        _from_warc,
-        "record_id string, page_id long, url string, date string, record_type string, payload_bytes long, "
-        "payload_digest string, declared_digest string, refers_id string",
+    rows = cut(
+        map_batches(
+            _files(spark, path),
+            _from_warc,
+            "record_id string, page_id long, url string, date string, record_type string, payload_bytes long, "
+            "payload_digest string, declared_digest string, refers_id string",
+        )
     )
     own = rows.filter("refers_id IS NULL").withColumn("refers_to", F.lit(None).cast("long"))
     again = rows.filter("refers_id IS NOT NULL").drop("payload_bytes", "payload_digest")
@@ -314,6 +316,6 @@ def convert(pages: DataFrame, path: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     path = path or folder(spark, "archives")
     write_arc(pages, f"{path}/arc")
-    repeated = revisits(read_arc(spark, f"{path}/arc", with_body=False))
+    repeated = revisits(cut(read_arc(spark, f"{path}/arc", with_body=False)))
     write_warc(read_arc(spark, f"{path}/arc"), repeated, f"{path}/warc")
     return read_warc(spark, f"{path}/warc")
