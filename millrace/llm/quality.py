@@ -30,7 +30,7 @@ WIDTH, FILTERS, HIDDEN = 6, 24, 16
 STEP = 64  # chunks begin at every third multiple of it and are four long
 CHUNK = 4 * STEP
 STRIDE = 3 * STEP
-ROWS_PER_CLASS = 2_000
+ROWS_PER_CLASS = 4_000
 TRAIN_CHUNKS = 12
 EPOCHS, BATCH, RATE = 10, 32, 0.01
 CUT = 0.3
