@@ -34,7 +34,7 @@ SLICES = 1 << 20
 PROBES = 3
 UNKNOWN = "und"
 LEAST_SCORE, SHORT = 0.2, 100
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 
 @lru_cache(maxsize=1)
@@ -218,8 +218,10 @@ def understood(docs: DataFrame, filters: GramFilters, least_score: float = LEAST
     """The rows of `docs` that have a language.
 
     Rejected are texts that are `und`, and those of `short` characters or more of whose n-grams less than `least_score`
-    are of any one known language.
+    are of any one known language. Filters that know no language reject only texts without a letter.
     """
+    if not filters.languages:
+        return docs.filter(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
     found = annotate(docs, filters, named=("_langid_name", "_langid_score"))
     strange = (F.col("_langid_score") < least_score) & (F.length("text") >= short)
     return found.filter((F.col("_langid_name") != UNKNOWN) & ~strange).drop("_langid_name", "_langid_score")

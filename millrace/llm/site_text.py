@@ -35,7 +35,7 @@ PROSE_SHARE, PROSE_PAGES = 0.6, 10
 
 # fixed values: element names by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noscript noembed noframes template svg math".split())
+RAW = frozenset("script style textarea title xmp iframe noscript noembed noframes template svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
@@ -54,8 +54,12 @@ MARKS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar sidenav rail footer masthead topbar toolbar cookie "
     "cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription "
     "signup login share sharing social related recommended recommendations comment comments commentlist disqus "
-    "respond widget widgets pagination pager searchbox searchform skip skiplink paywall outbrain taboola".split()
+    "respond widget widgets pagination pager searchbox searchform skip skiplink paywall outbrain taboola copyright "
+    "announcement".split()
 )
+MARK_STEMS = ("cookie", "advert", "newsletter", "sidebar", "breadcrumb", "sponsor")
+# fixed values: those that tell other articles from the page's own
+OTHER_ARTICLE = frozenset("comment comments reply teaser related recommended promo promoted sponsored ad advert".split())
 MAIN_MARKS = frozenset("article content post entry story main".split())
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -176,7 +180,7 @@ class Page:
             elif name in DROPPED or own.get("role") in DROPPED_ROLES or own.get("aria-hidden") == "true" or "hidden" in own:
                 i = self.end[i]
                 continue
-            elif name == "article" and not words & MARKS:
+            elif name == "article" and not words & OTHER_ARTICLE:
                 articles.append(i)
                 i = self.end[i]
                 continue
@@ -188,10 +192,12 @@ class Page:
             elif own.get("itemprop") == "articleBody" or (name in ("div", "section") and words & MAIN_MARKS and not words & MARKS):
                 marked.append(i)
             i += 1
-        for found in (articles, mains, marked):
+        for found in (articles, mains):
             if found:
                 return max(found, key=lambda k: (self.text_size(k), -k))
-        return body
+        best = max(marked, key=lambda k: (self.text_size(k), -k), default=body)
+        # a class is a weaker sign than an element: what it marks has to be a good part of the page
+        return best if 3 * self.text_size(best) >= self.text_size(body) else body
 
     def dropped(self, node: int, inside: bool) -> bool:
         """Is the element marked as something else than the article's text?"""
@@ -207,7 +213,12 @@ class Page:
             return True
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", own.get("style", "")):
             return True
-        return bool(self.words(node, own) & MARKS) and name not in ("html", "body", "main")
+        if name in ("html", "body", "main"):
+            return False
+        words = self.words(node, own)
+        if not inside and "header" in words and not words & MAIN_MARKS:
+            return True
+        return bool(words & MARKS) or any(w.startswith(MARK_STEMS) for w in words)
 
     def hashes(self) -> list[int]:
         """Of every node: the hash of its subtree's names and texts; 0 where there is no text."""

@@ -55,6 +55,8 @@ def test_nothing_to_learn_from(spark):
     nothing = train(docs.filter("lang = 'xx'"))
     assert [(r.lang_pred, r.score) for r in identify(docs, nothing).collect()] == [(UNKNOWN, 0.0)]
     assert identify(documents(spark, []), nothing).collect() == []
+    kept = understood(documents(spark, [(1, "some text", "a"), (2, "12 !", "a"), (3, None, "a"), (4, "é", "a")]), nothing)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
 
 
 def test_masks_hold_all_languages():

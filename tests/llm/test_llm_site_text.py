@@ -45,6 +45,9 @@ def test_query_against_a_plain_reading(spark, sf_dir):
         ("<article><ul><li>a<li>b</ul><table><tr><td>1<td>2<tr><td>3</table></article>", "a\nb\n1 2\n3"),
         ("<article><p hidden>no</p><p style='display: none'>no</p><p>yes</p></article>", "yes"),
         ("<article><p title='a>b'>x</p>", "x"),
+        ("<div id=pageHeader>site</div><div class='entry-header'><h1>T</h1></div><p>x</p><div class=cookieBar>c</div>", "T\nx"),
+        ("<article class='post social-science'><p>x</p></article><article class=related><p>longer than that</p></article>", "x"),
+        ("<article><p>let <math><mi>x</mi></math> be</p></article>", "let x be"),
         ("<script>unclosed <p>x", ""),
         ("<!-- unclosed <p>x", ""),
     ],
