@@ -586,10 +586,10 @@ def stream_filter_rejects(spark, sf_dir):
 def stream_observed(spark, sf_dir):
     """Counts of the filter stream, from its ledger, and what it has written."""
     target, side = _kept_filter_run(spark, sf_dir)
+    names = ("n_read", *edits.RAW_OUTCOMES, "n_written")
     counts = runners.read_ledger(spark, side, edits.RAW_OUTCOMES)
-    totals = counts.agg(*[F.sum(name).alias(name) for name in ("n_read", *edits.RAW_OUTCOMES)])
-    written = metrics.topic_scan(read_topic(spark, target)).agg(F.sum("n_records").alias("n_written"))
-    return totals.join(written)  # one row each
+    written = metrics.topic_scan(read_topic(spark, target)).withColumnRenamed("n_records", "n_written")
+    return counts.unionByName(written, allowMissingColumns=True).agg(*[F.sum(name).alias(name) for name in names])
 
 
 @query
