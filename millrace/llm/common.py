@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -35,6 +38,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _give_back() -> None:
+    """Return what a task has freed to the system: its Python process goes on to serve other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _tidy(run: Callable) -> Callable:
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return tidied
+
+
 def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """`df.mapInArrow` with this package on the executors.
 
@@ -45,7 +65,7 @@ def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataF
     ship(spark)
     if spark.conf.get(_BATCH_CONF) == "10000":
         spark.conf.set(_BATCH_CONF, BATCH_ROWS)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_tidy(run), schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
