@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,9 +40,10 @@ from millrace.session import broadcast_if_small
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 500_000
 _MU = 0.5  # weight of a probe against a merge step in DivideSkip's choice of how many lists are long
 _HEAP = 256  # postings merged by a heap
+_HOT = 16  # sets of a round that have a shingle, from which on it goes round the shards
 
 
 def least_overlap(n: int, percent: int = PERCENT) -> int:
@@ -89,30 +91,43 @@ def describe(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
 
 def _postings(size: int, percent: int, shards: int):
     """Packed postings: a row for each shard and round, with sets by name and (shingle, set) pairs."""
-    room = 1_000_000
+    room = 500_000
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         names: list[bytes] = []
         sizes: list[int] = []
         parts: list[np.ndarray] = []
-        held = 0
+        held = flushed = 0
 
         def flush() -> pa.RecordBatch:
+            nonlocal flushed
             tokens = np.concatenate(parts)
             owner = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p) for p in parts])
-            shard = ((tokens >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+            order = np.argsort(tokens, kind="stable")  # by shard as well, as shards are ranges
+            tokens, owner = tokens[order], owner[order]
+            first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
+            starts = np.flatnonzero(first)
+            often = np.repeat(np.diff(np.append(starts, len(tokens))) >= _HOT, np.diff(np.append(starts, len(tokens))))
             rows: dict[str, list] = {"shard": [], "names": [], "sizes": [], "tokens": [], "owners": []}
-            for s in np.flatnonzero(np.diff(bounds)):
-                pick = order[bounds[s] : bounds[s + 1]]
-                own, local = np.unique(owner[pick], return_inverse=True)
-                rows["shard"].append(int(s))
+
+            def put(shard: int, tokens: np.ndarray, owner: np.ndarray) -> None:
+                own, local = np.unique(owner, return_inverse=True)
+                rows["shard"].append(shard)
                 rows["names"].append(b"".join(names[k] for k in own))
                 rows["sizes"].append(np.array([sizes[k] for k in own], np.uint32).tobytes())
-                rows["tokens"].append(tokens[pick].tobytes())
+                rows["tokens"].append(tokens.tobytes())
                 rows["owners"].append(local.astype(np.uint32).tobytes())
+
+            if often.any():
+                flushed += 1
+                put(-1 - (TaskContext.get().partitionId() * 8191 + flushed) % (1 << 20), tokens[often], owner[often])
+            kept = ~often | first
+            tokens, owner = tokens[kept], owner[kept]
+            shard = (tokens >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+            bounds = np.searchsorted(shard, np.arange(shards + 1))
+            for s in np.flatnonzero(np.diff(bounds)):
+                put(int(s), tokens[bounds[s] : bounds[s + 1]], owner[bounds[s] : bounds[s + 1]])
             kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], names=list(rows))
 
@@ -137,16 +152,28 @@ def _postings(size: int, percent: int, shards: int):
     return run
 
 
+def _rows(token: np.ndarray, owner: np.ndarray, name: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(token), 200_000):
+        own = owner[at : at + 200_000]
+        columns = [pa.array(token[at : at + 200_000].view(np.int64)), pa.array(name[own]), pa.array(size[own].astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names=["token", "set_key", "n"])
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of all packed postings of some shards: those of shingles that two sets or more have."""
     tokens, owners, names, sizes, base = [], [], [], [], 0
     for batch in batches:
         for row in batch.to_pylist():
-            tokens.append(np.frombuffer(row["tokens"], np.uint64))
-            owners.append(np.frombuffer(row["owners"], np.uint32).astype(np.int64) + base)
-            names.append(np.frombuffer(row["names"], ">i8").astype(np.int64))
-            sizes.append(np.frombuffer(row["sizes"], np.uint32))
-            base += len(sizes[-1])
+            token, owner = np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["owners"], np.uint32)
+            name, size = np.frombuffer(row["names"], ">i8").astype(np.int64), np.frombuffer(row["sizes"], np.uint32)
+            if row["shard"] < 0:  # known to be shared
+                yield from _rows(token, owner, name, size)
+                continue
+            tokens.append(token)
+            owners.append(owner.astype(np.int64) + base)
+            names.append(name)
+            sizes.append(size)
+            base += len(size)
     if not tokens:
         return
     token, owner = np.concatenate(tokens), np.concatenate(owners)
@@ -163,12 +190,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = np.ones(len(token), bool)
     first[1:] = (token[1:] != token[:-1]) | (name[owner[1:]] != name[owner[:-1]])
     token, owner = token[first], owner[first]
-    for at in range(0, len(token), 200_000):
-        own = owner[at : at + 200_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(token[at : at + 200_000].view(np.int64)), pa.array(name[own]), pa.array(size[own].astype(np.int64))],
-            names=["token", "set_key", "n"],
-        )
+    yield from _rows(token, owner, name, size)
 
 
 def t_occurrences(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,10 +231,11 @@ class Index:
     def __init__(self, sets: list[np.ndarray]) -> None:
         self.sizes = np.array([len(s) for s in sets])
         every = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
         _, code, count = np.unique(every, return_inverse=True, return_counts=True)
+        del every
         keep = count[code] > 1
-        code, owner = code[keep], owner[keep]
+        code, owner = code[keep].astype(np.int32), owner[keep]
         self.bounds = np.searchsorted(owner, np.arange(len(sets) + 1))
         self.codes = code  # by set
         order = np.argsort(code, kind="stable")

@@ -95,6 +95,23 @@ def test_groups_beyond_a_block(spark, block_words):
     assert {r.doc_id: r.component_id for r in found} == want
 
 
+def test_postings_past_the_shards_lose_nothing(spark):
+    """Lists that are common in a task go out beside the shards; sets must find them, and those that are alone, as before."""
+    rng = random.Random(8)
+    passage = prose(9, 30)
+    rows = []
+    for g in range(4):
+        base = prose(300 + g, 90).split()
+        for k in range(40 if g == 0 else 3):
+            words = [*base]
+            words[rng.randrange(90)] = f"edit{rng.randrange(10_000)}"
+            rows.append((100 * g + k, " ".join(words) + " " + passage, "a"))
+    rows += [(1000 + k, prose(500 + k, 60) + " " + passage, "a") for k in range(20)]
+    want = brute({i: shingles(t) for i, t, _ in rows})
+    assert {r.doc_id: r.component_id for r in ngram_groups(documents(spark, rows)).collect()} == want
+    assert len(set(want.values())) < 30
+
+
 def test_common_passage_links_nobody(spark):
     passage = prose(9, 60)
     rows = [(i, prose(200 + i, 100) + " " + passage, "a") for i in range(30)]
