@@ -14,8 +14,8 @@ _SEGMENT = 1 << 19
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_WORD = np.ones(256, bool)
+_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,6 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_R))
+_FOLDED = _BYTE[_FOLD]
 _ODD = mix(np.arange(300, 364, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -38,18 +39,21 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(ones), np.cumprod(back)
 
 
-def _hash_segment(data: bytes) -> np.ndarray:
-    """Hash of every word of `data`, in order."""
+def _hash_segment(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of `data`, in order."""
     raw = np.frombuffer(data, np.uint8)
-    word = np.concatenate(([False], ~_SPACE[raw], [False]))
+    word = np.zeros(len(raw) + 2, bool)
+    np.take(_WORD, raw, out=word[1:-1])
     edges = np.flatnonzero(word[1:] != word[:-1])
     start, end = edges[::2], edges[1::2]
     if not len(start):
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), start
     ups, downs = _powers()
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[_FOLD[raw]] * ups[: len(raw)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * downs[start] + (end - start).astype(np.uint64) * _ODD[63:])
+    weighed = np.take(_FOLDED, raw)
+    weighed *= ups[: len(raw)]
+    np.cumsum(weighed, out=sums[1:])
+    return mix((sums[end] - sums[start]) * downs[start] + (end - start).astype(np.uint64) * _ODD[63:]), start
 
 
 def _long_word(data: bytes) -> np.uint64:
@@ -60,7 +64,7 @@ def _long_word(data: bytes) -> np.uint64:
 def word_hashes(data: bytes) -> np.ndarray:
     """Hashes of the words of one text of any length, in order."""
     if len(data) < _SEGMENT:
-        return _hash_segment(data)
+        return _hash_segment(data)[0]
     parts, at = [], 0
     while at < len(data):
         piece = data[at : at + _SEGMENT]
@@ -73,7 +77,7 @@ def word_hashes(data: bytes) -> np.ndarray:
                 at = stop
                 continue
             piece = piece[: last + 1]
-        parts.append(_hash_segment(piece))
+        parts.append(_hash_segment(piece)[0])
         at += len(piece)
     return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
@@ -96,11 +100,7 @@ def sets_of(texts: Iterable[str | None], size: int = 5) -> Iterator[np.ndarray]:
     held = 0
 
     def flush() -> Iterator[np.ndarray]:
-        joined = b" ".join(waiting)
-        hashes = word_hashes(joined)
-        raw = np.frombuffer(joined, np.uint8)
-        word = np.concatenate(([False], ~_SPACE[raw]))
-        starts = np.flatnonzero(word[1:] & ~word[:-1])
+        hashes, starts = _hash_segment(b" ".join(waiting))
         ends = np.cumsum([len(x) + 1 for x in waiting])
         bounds = np.concatenate(([0], np.searchsorted(starts, ends)))
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
