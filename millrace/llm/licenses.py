@@ -1,20 +1,24 @@
 """License notices in documents by conditional compression.
 
 Lines with a cue (license, copyright, warranty and so on) and the lines next to them are candidate blocks. A block is
-compressed with each template as a zstandard raw dictionary and without one; what a template saves, over what it
-saves on its own text, ranks the templates. Those that save enough are confirmed, best first, by their exact wording:
-the place in the block with the fewest word edits is found, and the words that differ are listed. A license holds if few
+read in windows of `WINDOW_WORDS` words that overlap by more than the longest notice. Templates that cannot hold in a
+window, because it lacks too many of their words or one that tells licenses apart, are left out; this loses none. The
+window is compressed with each of the others as a zstandard raw dictionary and without one, with equal parameters; what
+a template saves, over what it saves on its own text, ranks the templates. They are confirmed by their exact wording:
+all places in the window with few word edits are found, and the words that differ are listed. A license holds if few
 words differ and none of them tells licenses apart (a number, or a word such as `noncommercial`). Places found do not
-overlap.
+overlap; the wording with the most words in common comes first, then the greater saving.
 
-Whole texts are searched and every template is tried on every block. A null or empty text has no license. Repeated
+Whole texts are searched and every template is tried on every window. A null or empty text has no license. Repeated
 rows are searched alike. Columns other than `doc_id` and `text` are not looked at. No documents give no rows.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -28,8 +32,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import map_batches
 
 AROUND = 2  # lines kept on either side of a line with a cue
-LEAST_SAVED = 0.1
 MOST_DIFFERENT = 0.2
+WINDOW_WORDS = 256
 LEVEL = 6
 
 # fixed values: words that introduce a notice
@@ -112,9 +116,18 @@ class Template:
     key: str
     text: str
     words: list[str]
+    counts: Counter[str]
+    telling: set[str]
     with_it: zstandard.ZstdCompressor
     saves: int
 
+    def may_hold(self, counts: Counter[str]) -> bool:
+        """Could it hold among words of these counts? Every word that is missing there is an edit."""
+        if not all(w in counts for w in self.telling):
+            return False
+        lacking = sum(max(n - counts[w], 0) for w, n in self.counts.items())
+        return lacking <= MOST_DIFFERENT * len(self.words)
+
 
 def _plain(text: str) -> bytes:
     return " ".join(text.lower().split()).encode("utf-8", "replace")
@@ -122,14 +135,17 @@ def _plain(text: str) -> bytes:
 
 @lru_cache(maxsize=1)
 def _library() -> tuple[zstandard.ZstdCompressor, list[Template]]:
-    alone = zstandard.ZstdCompressor(level=LEVEL)
+    # else the compressor takes other ones with a dictionary than without, and the sizes do not compare
+    parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=WINDOW_WORDS * 8)
+    alone = zstandard.ZstdCompressor(compression_params=parameters)
     out = []
     for key, text in templates():
         data = _plain(text)
         dictionary = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary)
+        packer = zstandard.ZstdCompressor(compression_params=parameters, dict_data=dictionary)
         saves = len(alone.compress(data)) - len(packer.compress(data))
-        out.append(Template(key, text, [w for w, _, _ in words_of(text)], packer, max(saves, 1)))
+        words = [w for w, _, _ in words_of(text)]
+        out.append(Template(key, text, words, Counter(words), set(filter(_tells, words)), packer, max(saves, 1)))
     return alone, out
 
 
@@ -154,8 +170,8 @@ def blocks(text: str) -> Iterator[tuple[int, str]]:
         i = j + 1
 
 
-def nearest(template: list[str], words: list[str]) -> tuple[int, int, int]:
-    """Fewest word edits from the template to any run of `words`, and that run's bounds (the first such run to end)."""
+def edits(template: list[str], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For every place in `words`: fewest word edits from the template to a run that ends there, and where that begins."""
     n = len(words)
     codes: dict[str, int] = {}
     block = np.array([codes.setdefault(w, len(codes)) for w in words], np.int64)
@@ -176,10 +192,31 @@ def nearest(template: list[str], words: list[str]) -> tuple[int, int, int]:
         from_ = np.maximum.accumulate(np.where(level == low, steps, 0))
         cost, begin = low + steps, start[from_]
         assert cost[0] == i
+    return cost, begin
+
+
+def nearest(template: list[str], words: list[str]) -> tuple[int, int, int]:
+    """Fewest word edits from the template to any run of `words`, and that run's bounds (the first such run to end)."""
+    cost, begin = edits(template, words)
     end = int(cost.argmin())
     return int(cost[end]), int(begin[end]), end
 
 
+def places(template: list[str], words: list[str]) -> Iterator[tuple[int, int, int, list[str], list[str]]]:
+    """Runs of `words` where the template holds, apart from each other: edits, bounds, words missing and in excess."""
+    cost, begins = edits(template, words)
+    ends = np.flatnonzero(cost <= MOST_DIFFERENT * len(template))
+    taken: list[tuple[int, int]] = []
+    for end in ends[np.argsort(cost[ends], kind="stable")].tolist():
+        begin = int(begins[end])
+        if end <= begin or any(begin < b and a < end for a, b in taken):
+            continue
+        missing, extra = differing(template, words[begin:end])
+        if not any(map(_tells, missing + extra)):
+            taken.append((begin, end))
+            yield int(cost[end]), begin, end, missing, extra
+
+
 def differing(template: list[str], words: list[str]) -> tuple[list[str], list[str]]:
     """Words of the template that are missing, and words that are there in excess."""
     missing, extra = [], []
@@ -194,30 +231,46 @@ def _tells(word: str) -> bool:
     return any(c.isdigit() for c in word) or any(p in TELLING for p in word.split("-"))
 
 
+def windows(n: int) -> Iterator[tuple[int, int]]:
+    """Bounds of windows over n words: every run as long as a notice can be is whole in one of them."""
+    longest = max(len(t.words) for t in _library()[1])
+    reach = longest + int(MOST_DIFFERENT * longest)
+    size = max(WINDOW_WORDS, 2 * reach)
+    at = 0
+    while at + size < n:
+        yield at, at + size
+        at += size - reach
+    yield at, n
+
+
 def find_licenses(text: str | None) -> list[tuple[str, int, int, float, list[str], list[str]]]:
     """License, place, part saved, words missing and in excess, in order of place."""
     found = []
     alone, library = _library()
     for at, block in blocks(text or ""):
-        data = _plain(block)
-        size = len(alone.compress(data))
-        saved = [(size - len(t.with_it.compress(data))) / t.saves for t in library]
-        rank = sorted((i for i in range(len(library)) if saved[i] >= LEAST_SAVED), key=lambda i: (-saved[i], i))
         placed = words_of(block)
-        words = [w for w, _, _ in placed]
         sure = []
-        for place, i in enumerate(rank):
-            edits, begin, end = nearest(library[i].words, words)
-            if end <= begin or edits > MOST_DIFFERENT * len(library[i].words):
+        for first, last in windows(len(placed)):
+            words = [w for w, _, _ in placed[first:last]]
+            counts = Counter(words)
+            able = [i for i, t in enumerate(library) if t.may_hold(counts)]
+            if not able:
+                continue
+            data = _plain(block[placed[first][1] if first else 0 : placed[last - 1][2] if last < len(placed) else len(block)])
+            size = len(alone.compress(data))
+            for i in able:
+                saved = (size - len(library[i].with_it.compress(data))) / library[i].saves
+                for cost, begin, end, missing, extra in places(library[i].words, words):
+                    sure.append((cost - len(library[i].words), -saved, i, first + begin, first + end, missing, extra))
+        starts: list[int] = []
+        ends: list[int] = []
+        for _, saved, i, begin, end, missing, extra in sorted(sure):  # the longest wording that holds comes first
+            k = bisect.bisect_left(starts, end)  # places taken that begin before this one ends
+            if k and ends[k - 1] > begin:
                 continue
-            missing, extra = differing(library[i].words, words[begin:end])
-            if not any(map(_tells, missing + extra)):
-                sure.append((-(len(library[i].words) - edits), place, i, begin, end, missing, extra))
-        taken: list[tuple[int, int]] = []
-        for _, _, i, begin, end, missing, extra in sorted(sure):  # the longest wording that holds comes first
-            if all(end <= a or begin >= b for a, b in taken):
-                taken.append((begin, end))
-                found.append((library[i].key, at + placed[begin][1], at + placed[end - 1][2], saved[i], missing, extra))
+            starts.insert(k, begin)
+            ends.insert(k, end)
+            found.append((library[i].key, at + placed[begin][1], at + placed[end - 1][2], -saved, missing, extra))
     return sorted(found, key=lambda x: (x[1], x[2], x[0]))
 
 

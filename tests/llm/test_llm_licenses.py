@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+
 from cases import documents, odd_rows, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -87,3 +89,26 @@ def test_blocks_hold_lines_about_cues():
     text = "\n".join(f"line {i}" + " copyright" * (i == 10) for i in range(20))
     ((at, block),) = blocks(text)
     assert block.split("\n")[:-1] == [f"line {i}" + " copyright" * (i == 10) for i in range(8, 13)] and text[at:].startswith(block)
+
+
+@pytest.mark.parametrize("at", [0.0, 0.5, 1.0])
+def test_notices_in_a_line_of_a_megabyte(at):
+    words = prose(5, 200_000).split()
+    words = words[: next(i for i, n in enumerate(itertools.accumulate(len(w) + 1 for w in words)) if n >= 1 << 20)]
+    place = int(at * len(words))
+    for notice, name in NOTICES.items():
+        text = " ".join([*words[:place], notice, *words[place:]])
+        assert [(f[0], text[f[1] : f[2]] + ".") for f in find_licenses(text)] == [(name, notice)]
+
+
+def test_every_template_is_found_at_every_place_of_a_long_line():
+    for name, text in templates():
+        for k in range(0, 700, 61):
+            found = find_licenses(f"{prose(1, k)} {text} {prose(2, 700 - k)}" if k else f"{text} {prose(2, 700)}")
+            assert [f[0] for f in found] == [name], (text, k)
+
+
+def test_repeated_notices_are_all_found():
+    text = "\n".join(f"{prose(k, 5)} Released under the MIT License. {prose(k + 50, 5)}" for k in range(30))
+    assert [f[0] for f in find_licenses(text)] == ["MIT"] * 30
+    assert [f[0] for f in find_licenses("Licensed under CC BY 4.0. Licensed under CC BY 4.0.")] == ["CC-BY-4.0"] * 2
