@@ -1,16 +1,18 @@
 """Packing documents into token windows with lexically close neighbours (sharded BM25).
 
-A task tokenises its part of the documents and gathers shards of about `shard_tokens` ids. Whole windows
-of a long document become sequences of their own. The rest of every document is indexed: an inverted
-list for each token id with the BM25 weight of each member. A window begins with a seed; the lists of the
-seed's rarest ids score the documents of the shard not used yet, which are placed in order of score as
-long as they fit. What room then is left is filled with the head of the best one that did not fit, and the
+A task tokenises its part of the documents. A shuffle deals them by a lexical key, one of their ids: the least of a
+hash that favours high ids, which byte pair vocabularies give to rare tokens, so that two documents have the same key
+as probably as their bags are alike (weighted min-hash). Adaptive execution splits partitions that hot keys make large.
+A task then gathers shards of about `shard_tokens` ids in order of key. Whole windows of a long document become
+sequences of their own. The rest of every document is indexed: an inverted list for each token id with the BM25 weight
+of each member. A window begins with a seed; the lists of all the seed's ids score the documents of the shard not used
+yet, which are placed in order of score as long as they fit, however many they are. What room then is left is filled with the head of the best one that did not fit, and the
 rest of that document is the seed of the next window, so that windows are full. The window open at the
 end of a shard goes on in the next one; only the last window of a task is padded.
 
 A null or empty text is the end id alone. Rows that repeat a doc_id are packed one by one. No rows give no
 rows. Texts of any length are read whole. Columns other than `doc_id` and `text` are not looked at. The
-sequence numbers depend on how the input is split into tasks, as does which documents meet; a rerun over the
+sequence numbers depend on how the shuffle is split into tasks, as does which documents meet; a rerun over the
 same splits gives the same rows.
 """
 
@@ -32,8 +34,6 @@ from millrace.llm.common import map_batches
 WINDOW = 2048
 END_ID = 1
 SHARD_TOKENS = 2_000_000
-QUERY_IDS = 24  # the seed's ids with the highest weights are looked up
-NEIGHBOURS = 48
 K1, B = 1.2, 0.75
 _LONG = 1 << 20
 _SAFE_CUT = regex.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
@@ -96,27 +96,35 @@ class LexicalShard:
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1)) if n else lengths
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.member])
-        self.idf = idf
         self.unused = np.ones(n, bool)
         self._next = 0
-
-    def neighbours(self, bag: np.ndarray) -> list[int]:
-        """Unused members in order of their score for the bag's rarest ids; ties in order of number."""
+        self._listed = n  # members the lists still hold
+
+    def _compact(self) -> None:
+        """Leave used members out of the lists."""
+        live = self.unused[self.member]
+        self.bounds = np.append(0, np.cumsum(live))[self.bounds]
+        self.member, self.weight = self.member[live], self.weight[live]
+        self._listed = int(self.unused.sum())
+
+    def ranked(self, bag: np.ndarray) -> np.ndarray:
+        """All unused members that share an id with the bag, in order of their score; ties in order of number."""
+        if 4 * np.count_nonzero(self.unused) < 3 * self._listed:
+            self._compact()
         ids = np.unique(bag)
         at = np.searchsorted(self.terms, ids)
         at = at[(at < len(self.terms)) & (self.terms[np.minimum(at, len(self.terms) - 1)] == ids)] if len(self.terms) else at[:0]
-        if len(at) > QUERY_IDS:
-            at = at[np.argsort(-self.idf[at], kind="stable")[:QUERY_IDS]]
         if not len(at):
-            return []
-        pick = np.concatenate([np.arange(self.bounds[k], self.bounds[k + 1]) for k in at])
-        member = self.member[pick]
-        live = self.unused[member]
-        score = np.bincount(member[live], self.weight[pick[live]], len(self.unused))
-        found = np.flatnonzero(score)
-        if len(found) > NEIGHBOURS:
-            found = found[np.argpartition(-score[found], NEIGHBOURS)[:NEIGHBOURS]]
-        return found[np.lexsort((found, -score[found]))].tolist()
+            return at
+        spans = list(zip(self.bounds[at].tolist(), self.bounds[at + 1].tolist(), strict=True))
+        member = np.concatenate([self.member[a:b] for a, b in spans])
+        weight = np.concatenate([self.weight[a:b] for a, b in spans])
+        score = np.bincount(member, weight, len(self.unused))
+        found = np.flatnonzero((score > 0) & self.unused)
+        return found[np.argsort(-score[found], kind="stable")]
+
+    def neighbours(self, bag: np.ndarray) -> list[int]:
+        return self.ranked(bag).tolist()
 
     def any_unused(self) -> int | None:
         while self._next < len(self.unused) and not self.unused[self._next]:
@@ -154,6 +162,7 @@ class Packer:
             self.sequence = whole
         after = whole  # the open window keeps its number; the next new one comes after the whole ones
         shard = LexicalShard([r[2] for r in rests])
+        lengths = np.array([len(r[2]) for r in rests], np.int64)
         tail: tuple[int, int, np.ndarray] | None = None
 
         def put(row: int, start: int, ids: np.ndarray) -> tuple:
@@ -176,16 +185,22 @@ class Packer:
                 shard.unused[first] = False
                 yield put(*rests[first])
             best = None
-            for k in shard.neighbours(self.seed):
+            ranked = shard.ranked(self.seed)
+            sizes = lengths[ranked]
+            while len(ranked):
                 room = self.window - self.offset
-                if len(rests[k][2]) <= room:
-                    shard.unused[k] = False
-                    whole_window = len(rests[k][2]) == room
-                    yield put(*rests[k])
-                    if whole_window:
-                        break
-                elif best is None:
-                    best = k
+                fits = sizes <= room
+                first = int(fits.argmax()) if fits.any() else len(ranked)
+                if first and best is None:
+                    best = int(ranked[0])
+                if first == len(ranked):
+                    break
+                k = int(ranked[first])
+                shard.unused[k] = False
+                yield put(*rests[k])
+                if self.offset == 0:
+                    break
+                ranked, sizes = ranked[first + 1 :], sizes[first + 1 :]
             if self.offset == 0:
                 continue
             k = best if best is not None else shard.any_unused()
@@ -201,7 +216,39 @@ class Packer:
                 yield put(row, start, ids[:room])
 
 
-def _run(vocabulary: str, window: int, end_id: int, shard_tokens: int):
+@lru_cache(maxsize=1)
+def _draws(n: int) -> np.ndarray:
+    """For every id below n: a fixed draw from an exponential distribution, whose rate is the id's number."""
+    own = np.arange(n, dtype=np.uint64)
+    mixed = (own + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) >> np.uint64(11)
+    return -np.log((mixed.astype(np.float64) + 0.5) / (1 << 53)) / (own.astype(np.float64) + 1)
+
+
+def lexical_key(ids: np.ndarray, n: int) -> int:
+    """One of the ids, all below n; of two bags the same one as probably as they are alike, where an id counts by its number."""
+    return int(ids[_draws(n)[ids].argmin()])
+
+
+def _tokenise(vocabulary: str, end_id: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = max(_encoding(vocabulary)[0].n_vocab, end_id + 1)
+        for batch in batches:
+            keys, packed = [], []
+            for text in batch.column("text"):
+                ids = np.append(token_ids(text.as_py(), vocabulary), np.uint32(end_id))
+                keys.append(lexical_key(ids, n))
+                packed.append(ids.astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "key", "ids"]
+            )
+
+    return run
+
+
+def _run(window: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() << 32, window)
         names, documents, held = [], [], 0
@@ -224,8 +271,8 @@ def _run(vocabulary: str, window: int, end_id: int, shard_tokens: int):
                 )
 
         for batch in batches:
-            for key, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                ids = np.append(token_ids(text.as_py(), vocabulary), np.uint32(end_id))
+            for key, packed in zip(batch.column("doc_id"), batch.column("ids"), strict=True):
+                ids = np.frombuffer(packed.as_py(), "<u4")
                 names.append(key.as_py())
                 documents.append(ids)
                 held += len(ids)
@@ -249,8 +296,10 @@ def pack(
     `ids` are unsigned little-endian 32-bit numbers; `vocabulary` is a file that every executor can open.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    tokens = map_batches(rows, _tokenise(vocabulary or default_vocabulary(), end_id), "doc_id long, key long, ids binary")
+    dealt = tokens.hint("rebalance", "key").sortWithinPartitions("key", "doc_id", "ids").drop("key")
     return map_batches(
-        rows,
-        _run(vocabulary or default_vocabulary(), window, end_id, shard_tokens),
+        dealt,
+        _run(window, shard_tokens),
         "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary",
     )

@@ -98,3 +98,57 @@ def test_long_texts_are_cut_between_words(monkeypatch):
     text = " ".join(f"{prose(k, 7)}\n  it's {k} -- done;" for k in range(300))
     monkeypatch.setattr(packing, "_LONG", 500)
     assert token_ids(text, default_vocabulary()).tolist() == ids_of(text)[:-1]
+
+
+def test_all_ids_and_all_members_count():
+    rng = np.random.default_rng(4)
+    bags = [rng.integers(0, 400, rng.integers(5, 300)) for _ in range(120)]
+    shard = LexicalShard(bags)
+    sets = [set(b.tolist()) for b in bags]
+    df = {t: sum(t in s for s in sets) for t in set().union(*sets)}
+    mean = sum(map(len, bags)) / len(bags)
+
+    def score(query, bag):
+        total = 0.0
+        for t in set(query.tolist()) & set(bag.tolist()):
+            tf, idf = (bag == t).sum(), np.log1p((len(bags) - df[t] + 0.5) / (df[t] + 0.5))
+            total += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(bag) / mean))
+        return total
+
+    for used in (0, 10, 40, 90):
+        shard.unused[:used] = False
+        scores = {k: score(bags[0], bags[k]) for k in range(used, len(bags))}
+        found = shard.neighbours(bags[0])
+        assert sorted(found) == [k for k, x in scores.items() if x > 0]
+        assert np.allclose([scores[k] for k in found], sorted((x for x in scores.values() if x > 0), reverse=True))
+
+
+def test_a_seed_with_many_ids_of_its_own_finds_its_neighbour():
+    shared = np.arange(1000, 1010)
+    bags = [np.append(np.arange(40), shared), np.arange(50, 90), np.arange(100, 140), np.append(np.arange(150, 190), shared)]
+    shard = LexicalShard(bags)
+    shard.unused[0] = False
+    assert shard.neighbours(bags[0]) == [3]
+
+
+def test_short_documents_of_any_number_fill_a_window():
+    documents_ = [np.append(np.arange(10, 40), 1)] + [np.array([10, 1])] * 200 + [np.arange(10, 500)]
+    pieces = list(packing.Packer(0, 500).pack(documents_))
+    assert {len(p[2]) for p in pieces if p[3] == 0 and p[0] not in (0, 201)} == {2} and sum(p[3] == 0 for p in pieces) > 150
+
+
+def test_alike_documents_of_different_splits_meet(spark):
+    rows = [(i, f"{prose(i // 8, 300)} own{i}", "a") for i in range(240)]  # groups of eight, dealt over all splits
+    df = documents(spark, rows).repartition(8, "doc_id")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        found = pack(df, window=4096).collect()
+    finally:
+        spark.conf.set(coalesce, held)
+    tasks = defaultdict(set)
+    for r in found:
+        tasks[r.doc_id // 8].add(r.sequence_id >> 32)
+    assert len(set().union(*tasks.values())) > 1
+    assert sum(len(t) == 1 for t in tasks.values()) >= 0.8 * len(tasks)
