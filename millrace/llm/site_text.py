@@ -1,11 +1,14 @@
 """Main text of web pages, without what a site repeats on its pages.
 
 1. Every page is parsed, tolerantly, and each block element's subtree (names and text, no attributes) hashed.
-2. Spark counts, for every host, on how many different pages a subtree occurs. Pages with one and the same html
-   count once, so that copies of a page do not make its article a template.
-3. Subtrees on a large part of their host's pages are deleted from those pages: `share` of at least `pages`
-   of them, or for paragraphs and headings inside an article, which copied articles may share, `prose_share`
-   of at least `prose_pages`. A host has at most `1 / share` times the blocks of a mean page as templates.
+2. Spark counts, for every host, on how many different pages a subtree of the main part occurs. Pages whose main parts
+   have one and the same text count once, so that copies of a page do not make its article a template, whatever
+   title, menu or links stand around them.
+3. Subtrees on a large part of their host's pages are deleted from those pages: `share` of at least `pages` of them.
+   Articles may be copied or quote each other, so for all that is inside an article or marked main part it is
+   `prose_share` of at least `prose_pages`, and for what is or holds paragraphs, headings or lists on other pages
+   `prose_share` of at least `pages`. What step 4 drops is not counted: a teaser in the sidebars of a site must not
+   delete the paragraph that it repeats.
 4. From what is left go elements that their name, role, class or id marks as menu, header, footer, sidebar, notice,
    advert, form, script, style or reader comments. Of the article, else the main part, else the body, the
    blocks' texts are joined.
@@ -21,6 +24,7 @@ import html as references
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -32,6 +36,7 @@ from millrace.session import fits_broadcast
 
 SHARE, PAGES = 0.25, 4
 PROSE_SHARE, PROSE_PAGES = 0.6, 10
+PLAIN, PROSE_OUTSIDE, INSIDE = range(3)  # kinds of blocks, each with its own threshold
 
 # fixed values: element names by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -236,24 +241,28 @@ class Page:
                 held[self.parent[i]].append(part)
         return out
 
-    def kept(self) -> Iterator[tuple[int, bool, bool]]:
-        """Nodes of the main part that nothing marks: node, whether it is a block, whether it is an article's prose.
+    def kept(self) -> Iterator[tuple[int, bool, int]]:
+        """Nodes of the main part that nothing marks: node, whether it is a block, its kind.
 
         The caller sends True to leave out the subtree it was just given.
         """
         root = self.root()
         inside = self.tag[root] in ("article", "main")
+        main = self.tag[root] not in ("#page", "html", "body")
+        proses = [0, *accumulate(name in PROSE for name in self.tag)]  # before each node
         i, last = root + 1, self.end[root]
         while i < last:
             name = self.tag[i]
             if name is not None and self.dropped(i, inside):
                 i = self.end[i]
                 continue
-            skip = yield i, name in BLOCK, inside and name in PROSE
+            kind = INSIDE if main else PROSE_OUTSIDE if proses[self.end[i]] > proses[i] else PLAIN
+            skip = yield i, name in BLOCK, kind
             i = self.end[i] if skip else i + 1
 
-    def blocks(self, templates: frozenset[int], prose_templates: frozenset[int]) -> list[str]:
-        keys = self.hashes() if templates or prose_templates else []
+    def blocks(self, templates: tuple[frozenset[int], ...]) -> list[str]:
+        """Texts of the kept blocks, without the subtrees whose hashes are among those of their kind."""
+        keys = self.hashes() if any(templates) else []
         out: list[str] = []
         held: list[str] = []
         edges: list[int] = []  # ends of open blocks
@@ -267,12 +276,12 @@ class Page:
         walk = self.kept()
         step = next(walk, None)
         while step is not None:
-            node, block, prose = step
+            node, block, kind = step
             while edges and node >= edges[-1]:
                 edges.pop()
                 flush()
             name = self.tag[node]
-            skip = bool(keys) and block and keys[node] in (prose_templates if prose else templates)
+            skip = bool(keys) and block and keys[node] in templates[kind]
             if name is None:
                 held.append(self.value[node])
             elif block and not skip:
@@ -291,27 +300,39 @@ class Page:
         return out
 
 
-def main_text(source: str | None, templates: frozenset[int] = frozenset(), prose_templates: frozenset[int] = frozenset()) -> str:
-    """The page's main text without the subtrees of those hashes."""
-    return "\n".join(Page(source).blocks(templates, prose_templates)) if source else ""
+_NONE = (frozenset[int](),) * 3
+
+
+def main_text(source: str | None, templates: tuple[frozenset[int], ...] = _NONE) -> str:
+    """The page's main text without the subtrees of those hashes, for each kind."""
+    return "\n".join(Page(source).blocks(templates)) if source else ""
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows for the blocks of a page, and one without key for the page. A page is the text of its main part."""
     for batch in batches:
-        hosts, pages, keys, proses = [], [], [], []
+        hosts, pages, keys, kinds = [], [], [], []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = Page(source)
-            own = xxhash.xxh64_intdigest(source.encode("utf-8", "replace")) - (1 << 63)
             found = page.hashes()
-            seen = {(found[i], prose) for i, block, prose in page.kept() if block and found[i]}
-            for key, prose in sorted(seen):
+            seen, texts = set(), []
+            for i, block, kind in page.kept():
+                if page.tag[i] is None:
+                    texts.append(page.value[i])
+                elif block:
+                    texts.append(" ")
+                    if found[i]:
+                        seen.add((found[i], kind))
+            text = " ".join(references.unescape("".join(texts)).split())
+            own = xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
+            for key, kind in [(None, PLAIN), *sorted(seen)]:
                 hosts.append(host)
                 pages.append(own)
                 keys.append(key)
-                proses.append(prose)
+                kinds.append(kind)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(keys, pa.int64()), pa.array(proses, pa.bool_())],
-            names=["host", "page", "key", "prose"],
+            [pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(keys, pa.int64()), pa.array(kinds, pa.int32())],
+            names=["host", "page", "key", "kind"],
         )
 
 
@@ -323,23 +344,26 @@ def host_of(url: Column) -> Column:
 
 
 def site_templates(pages: DataFrame) -> DataFrame:
-    """`host, key, prose`: subtrees that recur on a large part of a host's pages."""
+    """`host, key, kind`: subtrees that recur on a large part of a host's pages."""
     rows = pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
     rows = rows.filter("host IS NOT NULL AND html != ''")
-    seen = map_batches(rows, _count, "host string, page long, key long, prose boolean").distinct()
-    often = seen.groupBy("host", "key", "prose").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min(PAGES, PROSE_PAGES))
-    every = rows.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all"))
-    n, total = F.col("n"), F.col("all")
-    enough = F.when(F.col("prose"), (n >= PROSE_PAGES) & (n >= PROSE_SHARE * total)).otherwise((n >= PAGES) & (n >= SHARE * total))
-    return often.join(every, "host").filter(enough).select("host", "key", "prose")
+    seen = map_batches(rows, _count, "host string, page long, key long, kind int").distinct()
+    n, total, kind = F.col("n"), F.col("all"), F.col("kind")
+    counts = seen.groupBy("host", "key", "kind").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(counts.filter((n >= min(PAGES, PROSE_PAGES)) | F.col("key").isNull()))
+    every = counts.filter("key IS NULL").select("host", n.alias("all"))
+    least = F.when(kind == INSIDE, PROSE_PAGES).otherwise(PAGES)
+    share = F.when(kind == PLAIN, SHARE).otherwise(PROSE_SHARE)
+    often = counts.filter("key IS NOT NULL").join(every, "host")
+    return often.filter((n >= least) & (n >= share * total)).select("host", "key", "kind")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        columns = (batch.column(c).to_pylist() for c in ("html", "plain", "prose"))
-        for source, plain, prose in zip(*columns, strict=True):
-            texts.append(main_text(source, frozenset(plain or ()), frozenset(prose or ())))
+        columns = (batch.column(c).to_pylist() for c in ("html", "plain", "prose", "inside"))
+        for source, *templates in zip(*columns, strict=True):
+            texts.append(main_text(source, tuple(frozenset(x or ()) for x in templates)))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )
@@ -348,10 +372,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """`page_id, url, text` for every row of `pages(page_id, url, html)`."""
     found = cut(site_templates(pages))
-    keys = found.groupBy("host").agg(
-        F.collect_list(F.when(~F.col("prose"), F.col("key"))).alias("plain"),
-        F.collect_list(F.when(F.col("prose"), F.col("key"))).alias("prose"),
-    )
+    of = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("key")))
+    keys = found.groupBy("host").agg(of(PLAIN).alias("plain"), of(PROSE_OUTSIDE).alias("prose"), of(INSIDE).alias("inside"))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),

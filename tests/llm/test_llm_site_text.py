@@ -112,3 +112,27 @@ def test_long_odd_pages_take_no_time(source):
     begin = time.perf_counter()
     main_text(source)
     assert time.perf_counter() - begin < 10
+
+
+def under_chrome(i: int, article: str) -> str:
+    """A page with its own title, link and menu around an article."""
+    return f"<html><head><title>t{i}</title><link rel=canonical href=/{i}></head><body><nav>menu {i}</nav>{article}</body></html>"
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div class=post>{}</div>", "{}"])
+@pytest.mark.parametrize("n", [16, 120])
+def test_copied_articles_under_other_chrome_keep_their_text(spark, wrap, n):
+    story = wrap.format("<h1>A story</h1><div><p>that was copied</p><section><p>to many pages</p></section></div>")
+    rows = [(i, "http://a.example/", under_chrome(i, story)) for i in range(n // 3)]
+    rows += [(i, "http://a.example/", under_chrome(i, wrap.format(f"<h1>own {i}</h1><div><p>text {i}</p></div>"))) for i in range(n // 3, n)]
+    found = {r.page_id: r.text for r in extract(pages(spark, rows)).collect()}
+    assert all(found[i] == "A story\nthat was copied\nto many pages" for i in range(n // 3))
+    assert all(found[i] == f"own {i}\ntext {i}" for i in range(n // 3, n))
+
+
+@pytest.mark.parametrize("wrap", ["<article><div>{}</div></article>", "<body><div>{}</div></body>"])
+def test_passages_of_few_pages_stay(spark, wrap):
+    shared = "<section><p>a passage that four of sixteen quote</p></section>"
+    rows = [(i, "http://a.example/", wrap.format(f"<p>own {i}</p>{shared if i < 4 else ''}")) for i in range(16)]
+    found = {r.page_id: r.text for r in extract(pages(spark, rows)).collect()}
+    assert found[1] == "own 1\na passage that four of sixteen quote" and found[9] == "own 9"
