@@ -10,7 +10,8 @@
    `prose_share` of at least `pages`. What step 4 drops is not counted: a teaser in the sidebars of a site must not
    delete the paragraph that it repeats.
 4. From what is left go elements that their name, role, class or id marks as menu, header, footer, sidebar, notice,
-   advert, form, script, style or reader comments. Of the article, else the main part, else the body, the
+   advert, form, script, style or reader comments. Words after `with`, `has` or `no` in a class or id tell how a page is
+   laid out and mark nothing, and an element that wraps the page's text is no such part, whatever its class. Of the article, else the main part, else the body, the
    blocks' texts are joined.
 
 A null html is an empty page with an empty text; a null or odd url has no host and only step 4 applies.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
@@ -62,6 +64,7 @@ MARKS = frozenset(
     "respond widget widgets pagination pager searchbox searchform skip skiplink paywall outbrain taboola copyright "
     "announcement".split()
 )
+LAYOUT = frozenset("with without has have no not".split())  # what follows in the same class is not the element's own role
 MARK_STEMS = ("cookie", "advert", "newsletter", "sidebar", "breadcrumb", "sponsor")
 # fixed values: those that tell other articles from the page's own
 OTHER_ARTICLE = frozenset("comment comments reply teaser related recommended promo promoted sponsored ad advert".split())
@@ -155,6 +158,8 @@ class Page:
                 stack.append(node)
                 opened[name] += 1
         close(0)
+        self.sizes = [0, *accumulate(len(v) if t is None else 0 for t, v in zip(self.tag, self.value, strict=True))]  # before each node
+        self.titles = [i for i, t in enumerate(self.tag) if t == "h1"]
 
     def attributes(self, node: int) -> dict[str, str]:
         raw = self.value[node]
@@ -164,10 +169,14 @@ class Page:
 
     def words(self, node: int, attributes: dict[str, str]) -> set[str]:
         both = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        return {w.lower() for w in _WORDS.findall(both)}
+        out: set[str] = set()
+        for name in both.split():
+            found = [w.lower() for w in _WORDS.findall(name)]
+            out.update(found[: next((k for k, w in enumerate(found) if w in LAYOUT), None)])
+        return out
 
     def text_size(self, node: int) -> int:
-        return sum(len(self.value[i]) for i in range(node, self.end[node]) if self.tag[i] is None)
+        return self.sizes[self.end[node]] - self.sizes[node]
 
     def root(self) -> int:
         """The node that holds the main text."""
@@ -204,26 +213,45 @@ class Page:
         # a class is a weaker sign than an element: what it marks has to be a good part of the page
         return best if 3 * self.text_size(best) >= self.text_size(body) else body
 
-    def dropped(self, node: int, inside: bool) -> bool:
-        """Is the element marked as something else than the article's text?"""
+    def wraps(self, node: int, outer: int, inside: bool) -> bool:
+        """Does the element hold the text of `outer`, so that its class or id cannot mean that it is something else?
+
+        It has most of the text, and either a heading of the first level or next to nothing is left without it.
+        """
+        size = self.text_size(node)
+        if 2 * size <= self.text_size(outer):
+            return False
+        if bisect_left(self.titles, node) < bisect_left(self.titles, self.end[node]):
+            return True
+        left, i, last = 0, outer + 1, self.end[outer]
+        while i < last:
+            if i == node or (self.tag[i] is not None and self.marked(i, inside)):
+                i = self.end[i]
+                continue
+            left += len(self.value[i].strip()) if self.tag[i] is None else 0
+            i += 1
+        return 10 * left < size
+
+    def marked(self, node: int, inside: bool) -> str:
+        """By what the element is marked as something else than the article's text: `role`, `class` or nothing."""
         name = self.tag[node]
         if name in DROPPED:
-            return True
+            return "role"
         if name == "header" and not inside:
-            return True
+            return "role"
         if not self.value[node]:
-            return False
+            return ""
         own = self.attributes(node)
         if own.get("role", "").lower() in DROPPED_ROLES or "hidden" in own or own.get("aria-hidden") == "true":
-            return True
+            return "role"
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", own.get("style", "")):
-            return True
+            return "role"
         if name in ("html", "body", "main"):
-            return False
+            return ""
         words = self.words(node, own)
         if not inside and "header" in words and not words & MAIN_MARKS:
-            return True
-        return bool(words & MARKS) or any(w.startswith(MARK_STEMS) for w in words)
+            return "class"
+        return "class" if words & MARKS or any(w.startswith(MARK_STEMS) for w in words) else ""
 
     def hashes(self) -> list[int]:
         """Of every node: the hash of its subtree's names and texts; 0 where there is no text."""
@@ -250,12 +278,17 @@ class Page:
         inside = self.tag[root] in ("article", "main")
         main = self.tag[root] not in ("#page", "html", "body")
         proses = [0, *accumulate(name in PROSE for name in self.tag)]  # before each node
+        outer = [root]  # and the wrappers that node i is in
         i, last = root + 1, self.end[root]
         while i < last:
+            while i >= self.end[outer[-1]]:
+                outer.pop()
             name = self.tag[i]
-            if name is not None and self.dropped(i, inside):
-                i = self.end[i]
-                continue
+            if name is not None and (how := self.marked(i, inside)):
+                if how == "role" or not self.wraps(i, outer[-1], inside):
+                    i = self.end[i]
+                    continue
+                outer.append(i)
             kind = INSIDE if main else PROSE_OUTSIDE if proses[self.end[i]] > proses[i] else PLAIN
             skip = yield i, name in BLOCK, kind
             i = self.end[i] if skip else i + 1

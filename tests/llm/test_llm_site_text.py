@@ -136,3 +136,38 @@ def test_passages_of_few_pages_stay(spark, wrap):
     rows = [(i, "http://a.example/", wrap.format(f"<p>own {i}</p>{shared if i < 4 else ''}")) for i in range(16)]
     found = {r.page_id: r.text for r in extract(pages(spark, rows)).collect()}
     assert found[1] == "own 1\na passage that four of sixteen quote" and found[9] == "own 9"
+
+
+STORY = "<h1>A title</h1><p>a text of some length that is the whole of the page</p>"
+
+
+@pytest.mark.parametrize(
+    "names",
+    ["layout with-sidebar", "has-sidebar", "post no-sidebar", "page-with-banner", "hasSidebar", "col sidebar-layout", "notice-page", "ad"],
+)
+@pytest.mark.parametrize("where", ["class", "id"])
+@pytest.mark.parametrize("page", ["<body>{}</body>", "<body><nav>menu of the site</nav>{}<footer>foot</footer></body>", "<main>{}</main>", "<article>{}</article>"])
+def test_wrappers_of_the_whole_text_stay(names, where, page):
+    wrapped = f'<div {where}="{names}">{STORY}<div class="sidebar">side</div></div>'
+    assert main_text(page.format(wrapped)) == "A title\na text of some length that is the whole of the page"
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<div class='page-banner'><p>a page without any heading, all in one element</p></div>", "a page without any heading, all in one element"),
+        ("<body><p>short article</p><div class=comments><p>comments that are longer than the article</p></div></body>", "short article"),
+        ("<body><div class='with-sidebar'><h1>T</h1><p>x</p></div><div class='sidebar with-border'>no</div></body>", "T\nx"),
+        ("<body><p>text</p><div class='no-js cookie-bar'>we use</div></body>", "text"),
+    ],
+)
+def test_marked_parts_and_wrappers(source, text):
+    assert main_text(source) == text
+
+
+def test_nested_wrappers_take_no_time():
+    begin = time.perf_counter()
+    assert main_text("<div class=ad>" * 30_000 + "x") == "x"
+    assert main_text("<div><div class=ad>" * 15_000 + "x") == "x"
+    assert main_text("<div class=ad><p>comment</p><div class=sidebar>long side text</div>" * 3_000)
+    assert time.perf_counter() - begin < 10
