@@ -43,8 +43,22 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+LINES = r"""
+WITH texts AS (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+parts AS (SELECT rn, doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM texts),
+keyed AS (
+    SELECT *, translate(trim(line, E' \t\n\x0B\x0C\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM parts
+),
+firsts AS (SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10 GROUP BY key),
+told AS (SELECT k.*, f.key IS NULL OR k.doc_id IS NOT DISTINCT FROM f.first_id AS stays FROM keyed k LEFT JOIN firsts f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
+FROM told GROUP BY rn
+"""
+
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": EXACT_DEDUP,
     "op8_arc_to_warc": WARC,
     "op9_topk": TOPK,
+    "op12_line_dedup": LINES,
 }

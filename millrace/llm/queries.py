@@ -12,6 +12,7 @@ from millrace.llm.arc import convert
 from millrace.llm.common import held_out, table
 from millrace.llm.grace_dedup import exact_duplicates
 from millrace.llm.langid import identify, train
+from millrace.llm.line_dedup import without_repeats
 from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_groups
 from millrace.llm.packing import pack
@@ -65,6 +66,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, labels.filter(~held_out(F.col("doc_id")))))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_html_text": op2_html_text,
@@ -76,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
+    "op12_line_dedup": op12_line_dedup,
 }

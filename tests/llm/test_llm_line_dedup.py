@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import pytest
+from cases import documents, odd_rows, prose
+from helpers import plan
+from pyspark.sql import functions as F
+
+from millrace.llm import line_dedup
+from millrace.llm.line_dedup import keep_bitmaps, line_key, repeats, without_repeats
+
+SPACE = " \t\n\x0b\x0c\r"
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def key(line: str) -> str:
+    return line.strip(SPACE).translate(LOW)
+
+
+def plain(rows: list[tuple]) -> list[tuple]:
+    """(doc_id, lines, dropped, text left) of every row, by brute force."""
+    least = lambda i: float("inf") if i is None else i
+    first: dict[str, float] = defaultdict(lambda: float("inf"))
+    for i, t, _ in rows:
+        for line in (t or "").split("\n"):
+            first[key(line)] = min(first[key(line)], least(i))
+    out = []
+    for i, t, _ in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < 10 or first[key(x)] == least(i)]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def line_rows() -> list[tuple]:
+    shared = "A line that documents share"
+    return [
+        *odd_rows(),
+        (20, f"{shared}\nown words of twenty\n{shared}", "a"),
+        (21, f" \t{shared.upper()}\x0b\nnot so shared\n\n{shared}\r\n", "a"),
+        (22, f"{shared}", "a"),  # loses all its lines
+        (23, "\n\n", "a"),
+        (24, "short\nshort\nÉTÉ À L'OMBRE\n\x1cété à l'ombre", "b"),
+        (25, "short\nété à l'ombre\nÉTÉ à l'ombre\n\x1cÉTÉ", "b"),
+        (19, " A line that documents share", "b"),  # a no-break space is no white space here
+        (26, f"{shared}\nnew text in here\n{shared}", "b"),
+        (26, f"other text in here\n{shared}", "b"),  # another row of this document
+        (27, "other text in here\nnew text in here\n123456789\n1234567890", "b"),
+        (28, "123456789\n1234567890", "b"),
+        (None, f"{shared}\nonly where no id is", "b"),
+        (None, "only where no id is\nonly where no id is", "b"),
+    ]
+
+
+@pytest.mark.parametrize("frequent", [2, 4, 10_000])
+def test_lines(spark, frequent):
+    rows = line_rows()
+    docs = documents(spark, rows)
+    out = without_repeats(docs, frequent_rows=frequent)
+    assert out.columns == [*docs.columns, "n_lines", "n_dropped"]
+    got = [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect()]
+    assert sorted(got, key=str) == sorted(plain(rows), key=str)
+
+
+def test_bitmaps(spark):
+    rows = line_rows()
+    texts = {}
+    for i, n, gone, text in plain(rows):
+        texts.setdefault((i, n, gone), []).append(text)
+    found = keep_bitmaps(documents(spark, rows)).collect()
+    assert len(found) == len(rows)
+    assert sum(r.n_dropped for r in found) == sum(g for _, _, g, _ in plain(rows))
+    for r in found:
+        assert sum(k.length for k in r.keep) == r.n_lines - r.n_dropped
+        ends = [0, *[k.start + k.length for k in r.keep]]
+        assert all(k.start > end or (k.start == end == 0) for k, end in zip(r.keep, ends)) and ends[-1] <= r.n_lines
+        assert any(len(re.findall("\n", t)) + 1 == r.n_lines - r.n_dropped or r.n_dropped == r.n_lines for t in texts[r.doc_id, r.n_lines, r.n_dropped])
+
+
+def test_empty_table(spark):
+    docs = documents(spark, [])
+    assert without_repeats(docs).collect() == [] and keep_bitmaps(docs).collect() == []
+
+
+def test_keys(spark):
+    odd = [c * 3 + "Ab" + c for c in map(chr, [*range(0, 0x300), 0x130, 0x1E9E, 0x2028, 0x3000, 0xFEFF])]
+    got = spark.createDataFrame([(x,) for x in odd], "line string").select("line", line_key(F.col("line")).alias("k")).collect()
+    assert all(r.k == key(r.line) for r in got)
+
+
+def test_frequent_line_in_a_third_of_many_lines(spark):
+    """Decided without the shuffle of the others, and with equal results."""
+    rows = [(i, f"{prose(i, 3)}\n{'the very same line' if i % 2 else prose(i, 4)}", "a") for i in range(3000)]
+    docs = documents(spark, rows)
+    frequent = line_dedup.frequent_keys(line_dedup.hashed_lines(docs), 1000)
+    assert frequent.count() == 1
+    got = [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in without_repeats(docs, frequent_rows=1000).collect()]
+    assert sorted(got) == sorted(plain(rows))
+
+
+def test_plan(spark):
+    """Native throughout; the window streams over the range partitions without another exchange."""
+    docs = documents(spark, line_rows())
+    text = plan(repeats(docs))
+    assert "rangepartitioning(_lines_h1" in text and "Python" not in text and "MapInArrow" not in text
+    at = text.index("Window")
+    assert "Exchange" not in text[at : text.index("rangepartitioning") - 12].replace("Exchange range", "")
+    assert text.count("hashpartitioning(_lines_h1") == 0
