@@ -6,6 +6,7 @@ import glob
 import os
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 
@@ -19,8 +20,9 @@ def tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float) and value == int(value):
-        return float(value)
+    """Whole numbers alike, since a column of whole numbers with NULLs comes as floats from one side."""
+    if isinstance(value, (float, np.floating)) and value == int(value):
+        return int(value)
     return value
 
 
@@ -35,8 +37,9 @@ def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} instead of {sorted(want.columns)}"
     kinds = [(c, str(got[c].dtype), str(want[c].dtype)) for c in got.columns if len(got)]
-    # times differ in unit only, and booleans with NULLs come as objects
-    off = [k for k in kinds if k[1] != k[2] and "datetime" not in k[1] and {k[1], k[2]} != {"object", "boolean"}]
+    # times differ in unit only; booleans with NULLs come as objects, whole numbers with NULLs as floats
+    alike = ({"object", "boolean"}, {"float64", "Int64"})
+    off = [k for k in kinds if k[1] != k[2] and "datetime" not in k[1] and {k[1], k[2]} not in alike]
     if len(got) != len(want):
         return f"{len(got)} rows instead of {len(want)}"
     mine, theirs = as_rows(got), as_rows(want)
