@@ -56,9 +56,38 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (NOT st
 FROM told GROUP BY rn
 """
 
+FILL_IN_MIDDLE = r"""
+WITH cut_up AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tokens,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+),
+drawn AS (
+    SELECT *, len(tokens) AS n, ('0x' || h[1:8])::UBIGINT % (len(tokens) + 1) AS c1, ('0x' || h[9:16])::UBIGINT % (len(tokens) + 1) AS c2,
+           ('0x' || h[17:24])::UBIGINT % 100 AS r3, ('0x' || h[25:32])::UBIGINT % 100 AS r4
+    FROM cut_up
+),
+parts AS (
+    SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r3 >= 90 THEN 'plain'
+                   WHEN r4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(tokens[1:least(c1, c2)], '') AS prefix,
+           array_to_string(tokens[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+           array_to_string(tokens[greatest(c1, c2) + 1:], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form,
+       CASE WHEN form != 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form != 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": EXACT_DEDUP,
     "op8_arc_to_warc": WARC,
     "op9_topk": TOPK,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
     "op12_line_dedup": LINES,
 }

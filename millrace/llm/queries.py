@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm import licenses, quality
 from millrace.llm.arc import convert
 from millrace.llm.common import held_out, table
+from millrace.llm.fim import fill_in_middle, restored
 from millrace.llm.grace_dedup import exact_duplicates
 from millrace.llm.langid import identify, train
 from millrace.llm.line_dedup import without_repeats
@@ -66,6 +67,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, labels.filter(~held_out(F.col("doc_id")))))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    text = restored(F.col("form"), F.col("output"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -82,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
+    "op11_fill_in_middle": op11_fill_in_middle,
     "op12_line_dedup": op12_line_dedup,
 }
