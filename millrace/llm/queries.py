@@ -17,6 +17,7 @@ from millrace.llm.line_dedup import without_repeats
 from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_groups
 from millrace.llm.packing import pack
+from millrace.llm.periodic import longest_run, periodic_runs
 from millrace.llm.site_text import extract
 from millrace.llm.topk import top_k
 
@@ -79,6 +80,21 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(table(spark, sf_dir, "documents"), plant=True).withColumn("top", longest_run(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_html_text": op2_html_text,
@@ -92,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_line_dedup": op12_line_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }

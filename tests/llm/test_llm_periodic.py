@@ -1,0 +1,151 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from cases import documents, odd_rows, prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from millrace.llm.periodic import RangeSuccessor, periodic_runs, planted, runs_of_block
+from millrace.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(words: list) -> list[tuple[int, int, int]]:
+    """All runs: maximal stretches of every period, less those that a smaller period has too."""
+    n, found = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            a = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i + q - a >= max(6, 4 * q):
+                found.setdefault((a, i + q - a), q)
+    return sorted((a, length, q) for (a, length), q in found.items())
+
+
+def collapsed(words: list, runs: list) -> list:
+    gone = {k for a, length, q in runs for k in range(a + q, a + length)}
+    return [w for k, w in enumerate(words) if k not in gone]
+
+
+def plant(words: list, i) -> list:
+    h = zlib.crc32(("" if i is None else str(i)).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (k - a) % p] if k >= a else words[k] for k in range(n)]
+
+
+def check(texts: list[list[bytes]]) -> None:
+    got = list(runs_of_block(texts))
+    want = [brute(words) for words in texts]
+    assert [runs for runs, _ in got] == want
+    assert [text for _, text in got] == [b" ".join(collapsed(w, r)) for w, r in zip(texts, want, strict=True)]
+
+
+pieces = st.lists(st.tuples(st.text(alphabet="abc", min_size=1, max_size=7), st.integers(1, 9), st.integers(0, 6)), max_size=5)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(pieces, min_size=1, max_size=4))
+def test_blocks_of_repeats(texts):
+    """Pieces repeated, each with a part of another repeat behind it."""
+    check([[bytes([c]) for s, k, rest in text for c in (s * k + s[:rest]).encode()] for text in texts])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([b"x", b"y"]), max_size=60), min_size=1, max_size=5))
+def test_blocks_of_two_words(texts):
+    check(texts)
+
+
+@pytest.mark.parametrize("q", [1, 2, 3, 5, 7, 8, 9, 16, 31, 33, 100])
+def test_long_periods_at_every_place(q):
+    """Just enough repeats and one word too few, behind any number of other words."""
+    rng = random.Random(q)
+    root = [b"%d" % k for k in rng.sample(range(10 * q), q)]
+    least = max(6, 4 * q)
+    texts = []
+    for shift in range(0, 2 * q + 2, max(1, q // 6)):
+        for length in (least - 1, least, least + q // 2 + 1):
+            tail = (root * (length // q + 1))[:length]
+            texts.append([b"s%d" % k for k in range(shift)] + tail + [b"end"])
+    check(texts)
+
+
+def test_nested_runs():
+    inner = [b"a"] * 7 + [b"b"]
+    check([inner * 5, [b"z", *inner * 5, b"a"], (inner * 4 + [b"c"]) * 4, [b"a"] * 500, ([b"a", b"b"] * 8 + [b"c"]) * 6])
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 60), min_size=1, max_size=80), st.data())
+def test_range_successor(values, data):
+    tree = RangeSuccessor(np.array(values, dtype=np.int32), 6)
+    lows = np.array(data.draw(st.lists(st.integers(0, len(values) - 1), min_size=1, max_size=10)), dtype=np.int32)
+    highs = np.array([data.draw(st.integers(int(a) + 1, len(values))) for a in lows], dtype=np.int32)
+    n = np.array([data.draw(st.integers(0, int(b - a) - 1)) for a, b in zip(lows, highs, strict=True)], dtype=np.int32)
+    assert tree.nth(lows, highs, n).tolist() == [sorted(values[a:b])[k] for a, b, k in zip(lows, highs, n, strict=True)]
+    assert tree.below(lows, highs, n).tolist() == [sum(v < k for v in values[a:b]) for a, b, k in zip(lows, highs, n, strict=True)]
+
+
+def repeats() -> list[tuple]:
+    return [
+        (400, "again " * 5, "a"),
+        (401, "again " * 6, "a"),
+        (402, " a b\n" * 9, "a"),  # an em space is part of its word
+        (403, "one " + "two three four\t" * 6 + "two five", "b"),
+        (404, prose(5, 40) + " " + (prose(6, 30) + " ") * 5 + prose(7, 20), "b"),
+    ]
+
+
+@pytest.mark.parametrize("block", [1, 300, 1 << 18])
+def test_odd_rows(spark, block):
+    rows = [r for r in odd_rows() if r[1] is None or len(r[1]) < 10_000] + repeats()
+    for plants in (False, True):
+        found = periodic_runs(documents(spark, rows), plants, block).collect()
+        want = []
+        for i, t, _ in rows:
+            words = WORD.findall(t or "")
+            words = plant(words, i) if plants else words
+            runs = brute(words)
+            want.append((i, runs, " ".join(collapsed(words, runs))))
+        assert sorted(((r.doc_id, [tuple(x) for x in r.runs], r.collapsed) for r in found), key=str) == sorted(want, key=str)
+    assert periodic_runs(documents(spark, [])).collect() == []
+
+
+def test_planting():
+    words = [b"%d" % k for k in range(97)]
+    assert all(planted(words, i) == plant(words, i) for i in range(300))
+    assert planted([], 2) == [] and sum(planted(words, i) != words for i in range(300)) > 20
+
+
+def test_query(spark, sf_dir):
+    """The whole table against brute force."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    found = {r.doc_id: r for r in QUERIES["op13_periodic_runs"](spark, sf_dir).collect()}
+    assert len(found) == len(docs)
+    for i, t in docs:
+        words = plant(WORD.findall(t or ""), i)
+        runs = brute(words)
+        r = found[i]
+        lines = "".join(f"{a},{n},{q}\n" for a, n, q in sorted(runs, key=lambda x: (x[0], x[2])))
+        assert r.n_runs == len(runs) and r.runs_sha256 == hashlib.sha256(lines.encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(" ".join(collapsed(words, runs)).encode()).hexdigest()
+        top = max(runs, key=lambda x: (x[1], -x[0], -x[2]), default=None)
+        want = (None,) * 4 if top is None else (top[0], top[1], top[2], 1000 * top[1] // top[2])
+        assert (r.start, r.length, r.period, r.exponent_milli) == want
+    assert sum(r.n_runs > 0 for r in found.values()) > 5
