@@ -160,3 +160,19 @@ def feed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.concat(comment, F.lit("event: message\nid: "), n.cast("string"), F.lit("\ndata:"))
     frame = F.when(n % 11 == 0, head).otherwise(F.concat(head, F.lit(" "), data))
     return source_events(spark, sf_dir).select(frame.alias("value"))
+
+
+def allow_list_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of an allow-list: on two days of three a domain begins to be allowed at 6 o'clock, on even days
+    for 18 hours, on odd ones until its next version."""
+    days = source_events(spark, sf_dir).select("domain", "day").distinct()
+    begun = days.filter(F.dayofyear("day") % 3 != F.length("domain") % 3)
+    since = F.col("day") + F.expr("INTERVAL 6 HOURS")
+    until = F.when(F.dayofmonth("day") % 2 == 0, F.col("day") + F.expr("INTERVAL 24 HOURS"))
+    return begun.select("domain", since.alias("valid_from"), until.alias("valid_to"))
+
+
+def wanted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of events by the whole part of their amount, on the first nine days of a month."""
+    events = source_events(spark, sf_dir).filter((F.floor("amount") % 7 == 0) & (F.dayofmonth("day") <= 9))
+    return events.select("domain", F.col("day").alias("created_at"), F.col("user_text").alias("user_id"))

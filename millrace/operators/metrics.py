@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.edits import classify_processed, classify_raw
@@ -41,6 +41,28 @@ def topic_throughput(topic: DataFrame, interval: str = "1 hour") -> DataFrame:
     return counts.select("topic", F.col("window.start").alias("window_start"), "n_records")
 
 
+def topic_sessions(topic: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Stretches of records of a partition in which nothing is missing for as long as `gap`, by broker time.
+
+    Sessions are merged within each task first, so that a partition with most of the records sends few rows on.
+    """
+    session = F.session_window("timestamp", gap).alias("session")
+    counts = topic.groupBy("topic", "partition", session).agg(
+        F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp"), F.count(F.lit(1)).alias("n_records")
+    )
+    return counts.drop("session").select("topic", "partition", "first_timestamp", "last_timestamp", "n_records")
+
+
+def idle_gaps(sessions: DataFrame) -> DataFrame:
+    """Sessions with the seconds nothing came before each; null for the first one of a partition.
+
+    A window holds a partition's sessions, of which there are no more than its time span has gaps.
+    """
+    before = F.lag("last_timestamp").over(Window.partitionBy("topic", "partition").orderBy("first_timestamp"))
+    idle = (F.unix_micros("first_timestamp") - F.unix_micros(before)) / F.lit(1_000_000)
+    return sessions.withColumn("idle_seconds", idle.cast("double"))
+
+
 def positions(consumed: DataFrame) -> DataFrame:
     """Where a reader stands after consuming these records: the next offset per partition.
 

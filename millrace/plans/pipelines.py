@@ -24,6 +24,7 @@ from millrace.functions.decode import (
     text,
 )
 from millrace.functions.scalars import canonical_uuid, parse_instant
+from millrace.operators.as_of import allowed_as_of
 from millrace.operators.edits import clean_edits, select_edits
 from millrace.operators.feed import feed_messages, publishable
 from millrace.operators.filters import filter_domain, filter_human, with_id
@@ -54,6 +55,13 @@ def filter_edits(
     return select_edits(filter_human(on_list), keep)
 
 
+def filter_edits_as_of(raw_topic: DataFrame, versions: DataFrame, keep: Sequence[str] = (), **bounds: int) -> DataFrame:
+    """Raw topic -> human edits on domains that `versions` of the list allowed at the time of their record."""
+    decoded = decode(raw_topic.filter(may_hold_false(text())), _LOOKED_AT, list(dict.fromkeys((*keep, *COORDINATES))))
+    on_list = allowed_as_of(decoded, versions, spread=F.xxhash64(*COORDINATES), **bounds)
+    return select_edits(filter_human(on_list), keep)
+
+
 def find_event(raw_topic: DataFrame, event_id: str, keep: Sequence[str] = ()) -> DataFrame:
     """Raw events with the given `meta.id`, decoded. Only records whose text may hold it are parsed."""
     return with_id(decode_raw(raw_topic.filter(may_mention(text(), [event_id])), keep), event_id)

@@ -17,6 +17,8 @@ class ObservedTotals(StreamingQueryListener):
     def __init__(self) -> None:
         self.totals: dict[str, Counter[str]] = {}
         self.end_offsets: dict[str, list[str]] = {}  # see metrics.positions_from_progress
+        self.late: Counter[str] = Counter()  # rows a watermark kept out of state; of records counted per task one row a window
+        self.state_rows: dict[str, int] = {}  # rows in state after the last micro-batch
         self.behind: dict[str, list[dict[str, str]]] = {}  # a broker's source tells its lag itself
 
     def onQueryStarted(self, event) -> None:
@@ -28,6 +30,9 @@ class ObservedTotals(StreamingQueryListener):
             counts = {key: value or 0 for key, value in observed.asDict().items()}
             self.totals.setdefault(name, Counter()).update(counts)
         self.end_offsets[report.name] = [source.endOffset for source in report.sources]
+        self.late[report.name] += sum(state.numRowsDroppedByWatermark for state in report.stateOperators)
+        if report.stateOperators:
+            self.state_rows[report.name] = sum(state.numRowsTotal for state in report.stateOperators)
         self.behind[report.name] = [dict(source.metrics) for source in report.sources]
 
     def onQueryIdle(self, event) -> None:

@@ -7,7 +7,7 @@ table takes a repeated record as the same write.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +29,7 @@ from millrace.operators.edits import (
 from millrace.operators.feed import FEED_OUTCOMES, classify_messages, feed_messages, message_rejects, publishable
 from millrace.operators.keyed import upserts
 from millrace.operators.metrics import POSITION_SCHEMA, counters, ledger, topic_throughput
-from millrace.plans.pipelines import filter_job, legacy_rows, publish_feed, writer_job
+from millrace.plans.pipelines import filter_edits_as_of, filter_job, legacy_rows, publish_feed, writer_job
 from millrace.schemas import ALLOWED_DOMAINS, COORDINATES, REJECT
 from millrace.sources import files
 from millrace.sources.edits_table import Batch, EditsTable
@@ -83,6 +83,28 @@ def filter_stream(
     return topic_writer(filter_job(raw, allowed, target.name), target)
 
 
+def versioned_filter_stream(
+    spark: SparkSession,
+    source: Topic,
+    target: Topic,
+    versions: Callable[[SparkSession], DataFrame],
+    starting: str | Mapping[int, int] = "earliest",
+    max_per_trigger: int | None = None,
+) -> DataStreamWriter:
+    """The same with a list that changes while the stream runs: `versions` reads it anew for every micro-batch, and a
+    record is held against the version of its own time."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        edits = filter_edits_as_of(batch, versions(batch.sparkSession), COORDINATES)
+        encoded = as_topic(encode_processed(edits.withColumn("key", record_key()), ("key", *COORDINATES)), target.name)
+        if target.path is not None:
+            replace_batch(encoded, target, run_of(batch), batch_id)
+        else:
+            append_topic(encoded, target)
+
+    return stream_topic(spark, source, starting, max_per_trigger).writeStream.foreachBatch(write).outputMode("append")
+
+
 def kept_filter_stream(
     spark: SparkSession,
     source: Topic,

@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from compare import difference, tables
 
-from millrace.catalogue import QUERIES
-from millrace.oracles import ORACLES
+from millrace.state_catalogue import QUERIES
+from millrace.state_oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
