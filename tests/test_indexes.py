@@ -61,6 +61,8 @@ def _scan(physical):
     """The scan of the rows, in the plan that ran."""
     if physical.nodeName().startswith("AdaptiveSparkPlan"):
         return _scan(physical.executedPlan())
+    if physical.nodeName().endswith("QueryStage"):
+        return _scan(physical.plan())
     if physical.nodeName().startswith("Scan parquet") or physical.nodeName().startswith("FileScan"):
         return physical
     for child in [physical.children().apply(k) for k in range(physical.children().size())]:
