@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import cut, held_out, table
 from millrace.llm.grace_dedup import deduplicated
-from millrace.llm.langid import train, understood
+from millrace.llm.langid import learn, understood
 from millrace.llm.mixing import mixed
 from millrace.llm.ngram_join import one_of_each_group
 from millrace.llm.packing import pack
@@ -22,8 +22,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; filters are learned from the stage's own labelled rows."""
-    return understood(docs, train(docs.filter(~held_out(F.col("doc_id")))))
+    """Documents in a known language; filters and levels are learned from the stage's own labelled rows."""
+    return understood(docs, learn(docs.filter(~held_out(F.col("doc_id")))))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

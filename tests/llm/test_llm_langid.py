@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import langid
 from millrace.llm.common import held_out
-from millrace.llm.langid import UNKNOWN, GramFilters, annotate, gram_hashes, identify, train, understood
+from millrace.llm.langid import UNKNOWN, GramFilters, Level, annotate, gram_hashes, identify, learn, train, understood
 from millrace.llm.queries import QUERIES
 
 
@@ -41,8 +41,9 @@ def test_odd_rows(spark, filters):
     assert full.columns == [*(c for c in docs.columns if c != "score"), "lang_pred", "score"]
 
 
-def test_stage_keeps_columns_and_clean_rows(spark, sf_dir, filters):
+def test_stage_keeps_columns_and_clean_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    filters = learn(docs.filter(~held_out(F.col("doc_id"))))
     assert understood(docs, filters).count() == docs.filter("length(text) > 0").count()
     odd = documents(spark, [*odd_rows(), (20, "12 34 !! ?", "a"), (21, "qzx wvk jjq " * 40, "a")])
     kept = understood(odd, filters)
@@ -50,9 +51,51 @@ def test_stage_keeps_columns_and_clean_rows(spark, sf_dir, filters):
     assert not {r.doc_id for r in kept.collect()} & {5, 6, 7, 20, 21}
 
 
+def made_up(seed, n, letters, words, longest, gap, sizes):
+    """Texts of a made-up language: words of its letters, the earlier ones the more often."""
+    rng = np.random.default_rng(seed)
+    lexicon = ["".join(rng.choice(letters, rng.integers(1, longest + 1))) for _ in range(words)]
+    weight = 1 / np.arange(1, words + 1) ** 0.8
+    weight /= weight.sum()
+    return [gap.join(lexicon[k] for k in rng.choice(words, rng.integers(*sizes), p=weight)) for _ in range(n)]
+
+
+def test_every_learned_language_keeps_its_own_texts(spark):
+    """One with 3,000 letters, 20,000 words and no spaces, of whose n-grams a filter holds few, and one with spaces; texts of
+    all lengths, held out from learning. Texts of languages not learned go, whatever their length beyond a few words."""
+    wide = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    texts = {
+        "wide": made_up(1, 1200, wide, 20_000, 3, "", (5, 400)),
+        "plain": made_up(2, 600, list("abcdefghiklmnop"), 2000, 9, " ", (3, 300)),
+        "small": made_up(3, 20, list("uvwxyz"), 50, 4, " ", (3, 300)),
+    }
+    rows = [(k, t, lang) for k, (lang, t) in enumerate((lang, t) for lang, own in texts.items() for t in own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    filters = learn(docs.filter(~held_out(F.col("doc_id"))))
+    assert set(filters.levels) == {"wide", "plain", "small"}
+    spared = docs.filter(held_out(F.col("doc_id")))
+    count = lambda df: {r["lang"]: r["count"] for r in df.groupBy("lang").count().collect()}
+    given, kept = count(spared), count(understood(spared, filters))
+    assert all(kept[lang] >= 0.99 * given[lang] for lang in given)
+    other = made_up(4, 200, [chr(c) for c in range(0x0430, 0x0450)], 2000, 9, " ", (20, 300))
+    far = made_up(5, 200, [chr(c) for c in range(0x6E00, 0x6E00 + 3000)], 20_000, 3, "", (60, 400))
+    strange = spark.createDataFrame([(k, t, "?") for k, t in enumerate(other + far)], docs.schema)
+    assert understood(strange, filters).count() <= 4
+
+
+def test_level_has_no_step():
+    """What is strange follows from scores and numbers of n-grams alone, ever closer to the mean for longer texts."""
+    rng = np.random.default_rng(5)
+    n = rng.integers(5, 2000, 500)
+    level = Level.of(np.clip(0.7 + rng.normal(0, 0.02, 500) + rng.normal(0, 0.9, 500) / np.sqrt(n), 0, 1), n)
+    lengths = np.arange(4, 5000)
+    least = [next(s for s in np.linspace(0, 1, 201) if level.holds(np.array([s]), np.array([k]))[0]) for k in lengths[::200]]
+    assert all(b >= a for a, b in zip(least, least[1:])) and least[0] < 0.1 < least[-1] < 0.7
+
+
 def test_nothing_to_learn_from(spark):
     docs = documents(spark, [(1, "some text", "a")])
-    nothing = train(docs.filter("lang = 'xx'"))
+    nothing = learn(docs.filter("lang = 'xx'"))
     assert [(r.lang_pred, r.score) for r in identify(docs, nothing).collect()] == [(UNKNOWN, 0.0)]
     assert identify(documents(spark, []), nothing).collect() == []
     kept = understood(documents(spark, [(1, "some text", "a"), (2, "12 !", "a"), (3, None, "a"), (4, "é", "a")]), nothing)
