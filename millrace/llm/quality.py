@@ -6,11 +6,13 @@ largest response (max-pooling, then a rectifier). The chunks' outputs go through
 and the mean, the largest and the least of each hidden unit over a document's chunks are combined into one
 probability.
 
-Training takes a bounded sample: about `rows_per_class` labelled rows of either class, by a hash of the
-key, and at most `TRAIN_CHUNKS` chunks of each, spread evenly over the text; scoring reads all of every
-text. The sample's classes are weighted back to their shares, so that scores are probabilities.
+Training takes a bounded sample: about `rows_per_class` labelled documents of either class, by a hash of the
+key, and all chunks of each, as scoring does. The sample's classes are weighted back to their shares, so that scores are
+probabilities. Training runs on the executors: the sample is dealt into at most `PARTS` parts of about `PART_ROWS` documents
+or more, in every round each part improves the round's network by `PASSES` passes over its documents, and the driver takes a step
+towards the mean of the parts' networks, with momentum. Which document is in which part, and in which order, follows from keys alone, so reruns agree.
 
-A null or empty text is scored as one blank chunk. Labels other than 0 and 1 teach nothing; with one class alone the
+Of several rows with one doc_id one text teaches, and a label counts as often as it occurs. A null or empty text is scored as one blank chunk. Labels other than 0 and 1 teach nothing; with one class alone the
 score is its label, with none a half. Repeated rows get equal scores; other columns are not looked at.
 """
 
@@ -24,17 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import held_out, map_batches
+from millrace.llm.common import cut, held_out, map_batches, ship
 
 WIDTH, FILTERS, HIDDEN = 6, 24, 16
 STEP = 64  # chunks begin at every third multiple of it and are four long
 CHUNK = 4 * STEP
 STRIDE = 3 * STEP
 ROWS_PER_CLASS = 4_000
-TRAIN_CHUNKS = 12
-EPOCHS, BATCH, RATE = 10, 32, 0.01
+PARTS, PART_ROWS = 8, 500
+ROUNDS, PASSES = 8, 2  # a part passes over its documents so many times in each round
+BATCH, RATE = 16, 0.02
+ROUND_STEP, MOMENTUM = 0.7, 0.6  # of the step that a round takes, with those before it
 CUT = 0.3
 _PIECE = 1 << 19
+_CHUNKS = 512  # looked at together in training
 
 
 def chunk_count(length: int) -> int:
@@ -130,14 +135,18 @@ class Network:
             at = end
         return scores
 
-    def gradients(self, windows: np.ndarray, bounds: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
-        """Of the weighted logistic loss; `windows` are the documents' chunks, bytes with WIDTH - 1 more."""
+    def _best(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Largest response of each filter in each chunk, and where it is."""
         n = windows.shape[1] - WIDTH + 1
         total = np.take(self.filters[0], windows[:, :n], axis=0)
         for k in range(1, WIDTH):
             total += np.take(self.filters[k], windows[:, k : n + k], axis=0)
         where = total.argmax(axis=1)
-        pooled = np.take_along_axis(total, where[:, None, :], axis=1)[:, 0]
+        return np.take_along_axis(total, where[:, None, :], axis=1)[:, 0], where
+
+    def gradients(self, windows: np.ndarray, bounds: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+        """Of the weighted logistic loss; `windows` are the documents' chunks, bytes with WIDTH - 1 more."""
+        pooled, where = (np.concatenate(x) for x in zip(*(self._best(windows[at : at + _CHUNKS]) for at in range(0, len(windows), _CHUNKS))))
         active = np.maximum(pooled + self.bias, 0)
         hidden = np.maximum(active @ self.hidden + self.hidden_bias, 0)
         counts = np.diff(np.append(bounds, len(windows)))
@@ -162,75 +171,115 @@ class Network:
 
 
 def _windows(text: bytes) -> np.ndarray:
-    data, n = _padded(text), chunk_count(len(text))
-    pick = np.unique(np.linspace(0, n - 1, min(n, TRAIN_CHUNKS)).astype(int))
-    return np.stack([data[k * STRIDE : k * STRIDE + CHUNK + WIDTH - 1] for k in pick])
+    """All chunks of a text, with WIDTH - 1 bytes more, as views."""
+    return np.lib.stride_tricks.sliding_window_view(_padded(text), CHUNK + WIDTH - 1)[::STRIDE][: chunk_count(len(text))]
+
+
+def begun(share: float, seed: int = 7) -> Network:
+    """An untrained network that gives every text about the probability `share`."""
+    net = Network.fresh(seed)
+    net.last_bias[:] = np.log(share / (1 - share))
+    return net
+
+
+def improve(net: Network, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, turn: int, turns: int) -> Network:
+    """The network after some more passes over the texts, in the `turn`-th round of `turns`."""
+    net = Network(*[p.copy() for p in net.parts()])
+    every = [_windows(t) for t in texts]
+    first = [np.zeros_like(p) for p in net.parts()]
+    second = [np.zeros_like(p) for p in net.parts()]
+    rng = np.random.default_rng(turn)
+    order = np.concatenate([rng.permutation(len(texts)) for _ in range(PASSES)])
+    for step, at in enumerate(range(0, len(order), BATCH), start=1):
+        pick = order[at : at + BATCH]
+        bounds = np.concatenate(([0], np.cumsum([len(every[i]) for i in pick])[:-1]))
+        grads = net.gradients(np.concatenate([every[i] for i in pick]), bounds, labels[pick], weights[pick])
+        rate = RATE * (1 - (turn + at / len(order)) / turns)
+        for p, g, a, b in zip(net.parts(), grads, first, second, strict=True):
+            g = g + 1e-5 * p
+            a += 0.1 * (g - a)
+            b += 0.01 * (g * g - b)
+            p -= (rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+    return net
+
 
+def stepped(net: Network, nets: list[Network], weights: list[int], speed: list[np.ndarray]) -> Network:
+    """The round's network moved towards the mean of its parts' networks; `speed` is what is left of earlier rounds' moves."""
+    share = np.array(weights) / sum(weights)
+    moved = []
+    for p, parts, v in zip(net.parts(), zip(*(n.parts() for n in nets), strict=True), speed, strict=True):
+        move = sum(w * x for w, x in zip(share, parts, strict=True)) - p
+        v *= MOMENTUM
+        v += move
+        moved.append((p + ROUND_STEP * (move + MOMENTUM * v)).astype(np.float32))
+    return Network(*moved)
 
-def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int = 7) -> Network | float:
-    """A network for the labelled texts, or the one label there is, or a half."""
+
+def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, turns: int = ROUNDS) -> Network | float:
+    """A network for the labelled texts as one part, or the one label there is, or a half."""
     if not len(texts):
         return 0.5
     if labels.min() == labels.max():
         return float(labels[0])
-    net, rng = Network.fresh(seed), np.random.default_rng(seed)
-    net.last_bias[:] = np.log((weights * labels).sum() / (weights * (1 - labels)).sum())
-    every = [_windows(t) for t in texts]
-    first = [np.zeros_like(p) for p in net.parts()]
-    second = [np.zeros_like(p) for p in net.parts()]
-    step, steps = 0, EPOCHS * -(-len(texts) // BATCH)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), BATCH):
-            pick = order[at : at + BATCH]
-            counts = [len(every[i]) for i in pick]
-            bounds = np.concatenate(([0], np.cumsum(counts)[:-1]))
-            grads = net.gradients(np.concatenate([every[i] for i in pick]), bounds, labels[pick], weights[pick])
-            step += 1
-            rate = RATE * (1 - step / (steps + 1))
-            for p, g, a, b in zip(net.parts(), grads, first, second, strict=True):
-                g = g + 1e-5 * p
-                a += 0.1 * (g - a)
-                b += 0.001 * (g * g - b)
-                p -= (rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+    net = begun((weights * labels).sum() / weights.sum())
+    for turn in range(turns):
+        net = improve(net, texts, labels, weights, turn, turns)
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Network | float:
-    """From `docs(doc_id, text)` and `labels(doc_id, quality)`.
+def _turn(sent, turn: int):
+    """One part's pass: the number of its documents and its network."""
+
+    def run(part: pa.Table) -> pa.Table:
+        rows = part.sort_by([("doc_id", "ascending"), ("quality", "ascending")])
+        texts = [t.as_py() for t in rows.column("text")]
+        labels, weights = (rows.column(c).to_numpy().astype(np.float64) for c in ("quality", "weight"))
+        net = improve(sent.value, texts, labels, weights, turn, ROUNDS)
+        columns = {"part": [rows.column("part")[0].as_py()], "n": [len(texts)], "parts": [[p.tobytes() for p in net.parts()]]}
+        return pa.table(columns, pa.schema([("part", pa.int32()), ("n", pa.int64()), ("parts", pa.list_(pa.binary()))]))
+
+    return run
 
-    The labels are sampled first, so what is broadcast and what comes to the driver is about `rows_per_class` rows each.
+
+def _sample(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> DataFrame:
+    """`doc_id, quality, weight, text` of about `rows_per_class` labelled documents of either class.
+
+    The labels are sampled first: what is broadcast is a row for each sampled key and label, however often they occur.
     """
-    known = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    known = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id", F.col("quality").cast("int").alias("quality"))
+    known = known.agg(F.count(F.lit(1)).alias("times"))
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(3)), F.lit(1 << 30))
     rate = {k: min(1.0, rows_per_class / n) for k, n in counts.items()}
     part = F.when(F.col("quality") == 1, rate.get(1, 0.0)).otherwise(rate.get(0, 0.0))
-    sample = known.filter(place < part * (1 << 30))
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    chosen = texts.join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("long"), "quality", "text")
-    # a text's chunks that training looks at are cut out where the text is
-    found = map_batches(chosen, _sampled, "doc_id long, quality int, text binary").collect()
-    found = sorted(found, key=lambda r: (r["doc_id"], r["quality"], bytes(r["text"])))
-    labels = np.array([r["quality"] for r in found], np.float64)
-    weights = np.array([1 / rate[r["quality"]] for r in found])
-    return fit([bytes(r["text"]) for r in found], labels, weights)
-
-
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Long texts become just the chunks that `_windows` would pick, end to end."""
-    for batch in batches:
-        out = []
-        for text in batch.column("text"):
-            data = text.as_py().encode()
-            n = chunk_count(len(data))
-            if n > TRAIN_CHUNKS:
-                pick = np.unique(np.linspace(0, n - 1, TRAIN_CHUNKS).astype(int))
-                data = b"".join(data[k * STRIDE : k * STRIDE + CHUNK] for k in pick)
-            out.append(data)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("quality"), pa.array(out, pa.binary())], names=["doc_id", "quality", "text"]
-        )
+    sample = known.filter(place < part * (1 << 30)).withColumn("weight", F.col("times") / part)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    chosen = docs.select("doc_id", text.alias("text")).join(F.broadcast(sample), "doc_id")
+    one = chosen.groupBy(F.col("doc_id").cast("long").alias("doc_id"), "quality").agg(F.max("text").alias("text"), F.max("weight").alias("weight"))
+    return one.select("doc_id", "quality", "weight", F.col("text").cast("binary").alias("text"))
+
+
+def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Network | float:
+    """From `docs(doc_id, text)` and `labels(doc_id, quality)`. To the driver comes one network a part and round."""
+    spark = docs.sparkSession
+    rows = cut(_sample(docs, labels, rows_per_class))
+    told = {r["quality"]: (r["n"], r["weight"]) for r in rows.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight")).collect()}
+    if len(told) < 2:
+        return float(next(iter(told), 0.5))
+    n_parts = min(PARTS, max(1, sum(n for n, _ in told.values()) // PART_ROWS))
+    part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(n_parts)).cast("int")
+    parts = rows.withColumn("part", part).groupBy("part")
+    ship(spark)
+    net = begun(told[1][1] / (told[0][1] + told[1][1]))
+    speed = [np.zeros(p.shape) for p in net.parts()]
+    for turn in range(ROUNDS):
+        sent = spark.sparkContext.broadcast(net)
+        found = parts.applyInArrow(_turn(sent, turn), "part int, n long, parts array<binary>").collect()
+        found = sorted(found, key=lambda r: r["part"])
+        shaped = [Network(*[np.frombuffer(x, p.dtype).reshape(p.shape) for x, p in zip(r["parts"], net.parts(), strict=True)]) for r in found]
+        net = stepped(net, shaped, [r["n"] for r in found], speed)
+        sent.unpersist()
+    return net
 
 
 def _score(sent):
