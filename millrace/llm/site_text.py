@@ -11,8 +11,10 @@
    delete the paragraph that it repeats.
 4. From what is left go elements that their name, role, class or id marks as menu, header, footer, sidebar, notice,
    advert, form, script, style or reader comments. Words after `with`, `has` or `no` in a class or id tell how a page is
-   laid out and mark nothing, and an element that wraps the page's text is no such part, whatever its class. Of the article, else the main part, else the body, the
-   blocks' texts are joined.
+   laid out and mark nothing, and an element that wraps the page's text is no such part, whatever its class; nor is a form. Within an article a
+   class with other words beside the marking one (`market-share`) marks no paragraph, heading, list or table, and no part that
+   holds a text. Labels and buttons stay within a sentence. Of the main part, else all articles, else the body, the blocks'
+   texts are joined, after a title that stands before them and what follows it.
 
 A null html is an empty page with an empty text; a null or odd url has no host and only step 4 applies.
 Repeated rows are extracted alike. An empty table gives no rows. Columns other than `page_id`, `url` and `html`
@@ -49,11 +51,11 @@ BLOCK = frozenset(
     "tfoot thead tr ul caption option search".split()
 )
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dl dt dd table tbody thead tr figure figcaption ul ol".split())
-DROPPED = frozenset(
-    "head nav footer aside form menu search dialog button select input label fieldset object audio video canvas".split()
-) | RAW
+DROPPED = frozenset("head nav footer aside menu search dialog select input fieldset object audio video canvas".split()) | RAW
+CONTROLS = frozenset("input select textarea button".split())
+SPOKEN = frozenset("label button".split())  # may be words of a sentence
 DROPPED_ROLES = frozenset(
-    "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form tablist".split()
+    "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar tablist".split()
 )
 # fixed values: words in a class or id that mark what is not the article
 MARKS = frozenset(
@@ -64,6 +66,13 @@ MARKS = frozenset(
     "respond widget widgets pagination pager searchbox searchform skip skiplink paywall outbrain taboola copyright "
     "announcement".split()
 )
+# fixed values: words that say no more than the mark beside them
+GENERIC = frozenset(
+    "area articles bar block body bottom box btn button buttons col container content count feed form global group header "
+    "icons inner item items left link links list main message module outer page panel post posts right row section site "
+    "slot small stories text title top unit wrap wrapper".split()
+)
+PROSE_LEAST = 140  # characters outside links that make a marked part of an article a text
 LAYOUT = frozenset("with without has have no not".split())  # what follows in the same class is not the element's own role
 MARK_STEMS = ("cookie", "advert", "newsletter", "sidebar", "breadcrumb", "sponsor")
 # fixed values: those that tell other articles from the page's own
@@ -79,8 +88,8 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
@@ -152,7 +161,7 @@ class Page:
                     close(level)
             node, closed = add(name, found[3].rstrip("/ \t\r\n")), found[3].endswith("/")
             if name in RAW and not closed:
-                stop = re.compile(rf"</{name}\s*>", re.I).search(source, at)
+                stop = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
                 at = stop.end() if stop else size
             elif name not in VOID and not (closed and name not in BLOCK):
                 stack.append(node)
@@ -167,51 +176,73 @@ class Page:
             return {}
         return {k.lower(): references.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(raw)}
 
-    def words(self, node: int, attributes: dict[str, str]) -> set[str]:
-        both = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        out: set[str] = set()
-        for name in both.split():
+    def names(self, attributes: dict[str, str]) -> list[list[str]]:
+        """Words of each class and of the id, up to one that tells of the layout."""
+        out = []
+        for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
             found = [w.lower() for w in _WORDS.findall(name)]
-            out.update(found[: next((k for k, w in enumerate(found) if w in LAYOUT), None)])
+            out.append(found[: next((k for k, w in enumerate(found) if w in LAYOUT), None)])
         return out
 
+    def words(self, attributes: dict[str, str]) -> set[str]:
+        return {w for name in self.names(attributes) for w in name}
+
     def text_size(self, node: int) -> int:
         return self.sizes[self.end[node]] - self.sizes[node]
 
-    def root(self) -> int:
-        """The node that holds the main text."""
+    def roots(self) -> list[int]:
+        """The nodes that hold the main text, in page order: the main part, else all articles, else the body."""
         tags = self.tag
         articles, mains, marked, body, i = [], [], [], 0, 1
+        covered = 0  # end of the last article or main part
         while i < len(tags):
             name = tags[i]
             if name is None:
                 i += 1
                 continue
             own = self.attributes(i) if self.value[i] else {}
-            words = self.words(i, own) if own else set()
+            words = self.words(own) if own else set()
             if name == "body":
                 body = body or i
             elif name in DROPPED or own.get("role") in DROPPED_ROLES or own.get("aria-hidden") == "true" or "hidden" in own:
                 i = self.end[i]
                 continue
-            elif name == "article" and not words & OTHER_ARTICLE:
-                articles.append(i)
-                i = self.end[i]
-                continue
             elif name == "article":
+                if not words & OTHER_ARTICLE and i >= covered:
+                    articles.append(i)
                 i = self.end[i]
                 continue
             elif name == "main" or own.get("role") == "main":
-                mains.append(i)
+                if i >= covered:
+                    mains.append(i)
+                    covered = self.end[i]
             elif own.get("itemprop") == "articleBody" or (name in ("div", "section") and words & MAIN_MARKS and not words & MARKS):
                 marked.append(i)
             i += 1
-        for found in (articles, mains):
-            if found:
-                return max(found, key=lambda k: (self.text_size(k), -k))
+        if mains:
+            return [max(mains, key=lambda k: (self.text_size(k), -k))]
+        if articles:
+            return articles
         best = max(marked, key=lambda k: (self.text_size(k), -k), default=body)
         # a class is a weaker sign than an element: what it marks has to be a good part of the page
-        return best if 3 * self.text_size(best) >= self.text_size(body) else body
+        return [best if 3 * self.text_size(best) >= self.text_size(body) else body]
+
+    def lead(self, roots: list[int]) -> int | None:
+        """A heading of the first level before the main text, where that has none: the title that stands outside of it."""
+        first = roots[0]
+        if self.tag[first] in ("#page", "html", "body"):
+            return None
+        if any(bisect_left(self.titles, k) < bisect_left(self.titles, self.end[k]) for k in roots):
+            return None
+        before = self.titles[: bisect_left(self.titles, first)]
+        return next((k for k in reversed(before) if self.end[k] <= first and not self._in_marked(k)), None)
+
+    def _in_marked(self, node: int) -> bool:
+        while node > 0:
+            if self.marked(node, False):
+                return True
+            node = self.parent[node]
+        return False
 
     def wraps(self, node: int, outer: int, inside: bool) -> bool:
         """Does the element hold the text of `outer`, so that its class or id cannot mean that it is something else?
@@ -232,26 +263,64 @@ class Page:
             i += 1
         return 10 * left < size
 
+    def _prose(self, node: int) -> bool:
+        """Does the element hold a text: no controls, and enough words outside its links?"""
+        linked, i = 0, node
+        while i < self.end[node]:
+            if self.tag[i] in CONTROLS:
+                return False
+            if self.tag[i] == "a":
+                linked += self.text_size(i)
+                i = self.end[i]
+            else:
+                i += 1
+        size = self.text_size(node)
+        return size - linked >= PROSE_LEAST and 3 * linked <= size
+
+    def _spoken(self, node: int) -> bool:
+        """Is a label or button in the middle of a sentence?"""
+        own = self.parent[node]
+        if self.tag[own] in BLOCK and self.tag[own] not in PROSE:
+            return False
+        i = own + 1
+        while i < self.end[own]:
+            if self.tag[i] is None and len(self.value[i].split()) >= 2:
+                return True
+            i = self.end[i]
+        return False
+
     def marked(self, node: int, inside: bool) -> str:
         """By what the element is marked as something else than the article's text: `role`, `class` or nothing."""
         name = self.tag[node]
-        if name in DROPPED:
+        if name in DROPPED or (name in SPOKEN and not self._spoken(node)):
             return "role"
-        if name == "header" and not inside:
+        if name == "form":
+            return "class"  # a form may be around the whole page
+        own = self.attributes(node) if self.value[node] else {}
+        words = self.words(own) if own else set()
+        if name == "header" and not inside and not words & MAIN_MARKS:
             return "role"
-        if not self.value[node]:
+        if not own:
             return ""
-        own = self.attributes(node)
         if own.get("role", "").lower() in DROPPED_ROLES or "hidden" in own or own.get("aria-hidden") == "true":
             return "role"
+        if own.get("role", "").lower() == "form":
+            return "class"
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", own.get("style", "")):
             return "role"
         if name in ("html", "body", "main"):
             return ""
-        words = self.words(node, own)
         if not inside and "header" in words and not words & MAIN_MARKS:
             return "class"
-        return "class" if words & MARKS or any(w.startswith(MARK_STEMS) for w in words) else ""
+        weak = False
+        for found in self.names(own):
+            marks = [w in MARKS or w.startswith(MARK_STEMS) for w in found]
+            if any(marks):
+                if not inside or all(m or w in GENERIC for m, w in zip(marks, found, strict=True)):
+                    return "class"
+                weak = True
+        # within an article `market-share` or `related-work` may be what a part of its text is about
+        return "class" if weak and name not in PROSE and not self._prose(node) else ""
 
     def hashes(self) -> list[int]:
         """Of every node: the hash of its subtree's names and texts; 0 where there is no text."""
@@ -270,16 +339,23 @@ class Page:
         return out
 
     def kept(self) -> Iterator[tuple[int, bool, int]]:
-        """Nodes of the main part that nothing marks: node, whether it is a block, its kind.
+        """Nodes of the main part, and from a title before it on, that nothing marks: node, whether it is a block, its kind.
 
         The caller sends True to leave out the subtree it was just given.
         """
-        root = self.root()
-        inside = self.tag[root] in ("article", "main")
-        main = self.tag[root] not in ("#page", "html", "body")
         proses = [0, *accumulate(name in PROSE for name in self.tag)]  # before each node
+        roots = self.roots()
+        title = self.lead(roots)
+        spans = [(k, k + 1, self.end[k]) for k in roots]
+        if title is not None:
+            spans.insert(0, (0, title, roots[0]))
+        for root, first, last in spans:
+            yield from self._kept_in(root, first, last, root > 0 and self.tag[root] not in ("html", "body"), proses)
+
+    def _kept_in(self, root: int, first: int, last: int, main: bool, proses: list[int]) -> Iterator[tuple[int, bool, int]]:
+        inside = main
         outer = [root]  # and the wrappers that node i is in
-        i, last = root + 1, self.end[root]
+        i = first
         while i < last:
             while i >= self.end[outer[-1]]:
                 outer.pop()

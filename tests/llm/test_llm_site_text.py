@@ -171,3 +171,54 @@ def test_nested_wrappers_take_no_time():
     assert main_text("<div><div class=ad>" * 15_000 + "x") == "x"
     assert main_text("<div class=ad><p>comment</p><div class=sidebar>long side text</div>" * 3_000)
     assert time.perf_counter() - begin < 10
+
+
+LONG = "We build on the work of many others, who have shown over the years how such questions can be asked at all, and what their answers may be worth in the end."
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        # a form around the page, and forms that are none
+        ("<body><form id=aspnetForm action=x><input type=hidden name=__VIEWSTATE value=abc><div><p>the text of</p><p>a whole page</p></div></form></body>", "the text of\na whole page"),
+        ("<body><form id=f><div id=menu>Menu</div><article><h1>T</h1><p>x</p><form><input name=q><p>find</p></form></article></form>", "T\nx"),
+        ("<main><p>text enough to be most of this page</p><form class=subscribe><p>your mail</p><input></form></main>", "text enough to be most of this page"),
+        # comments that close at once, ends of scripts with more than their name
+        ("<p>a<!-->b<!--->c<!-- x -->d<!----!>e", "abcde"),
+        ("<p>a</p><script>x</script foo><p>b</p><style>y</style\n><p>c</p><title>t</title/><p>d", "a\nb\nc\nd"),
+        ("<script>a</scripty>b</script><p>c", "c"),
+        # titles and leads
+        ("<body><div class=post><header class=entry-header><h1>T</h1></header><p>the text</p></div></body>", "T\nthe text"),
+        ("<body><header class='post-header'><h1>T</h1></header><article><p>the text</p></article></body>", "T\nthe text"),
+        ("<body><nav>n</nav><h1>T</h1><p class=lead>lead</p><article><p>the text</p></article><p>site</p></body>", "T\nlead\nthe text"),
+        ("<body><h1>T</h1><main><p>the text</p></main></body>", "T\nthe text"),
+        ("<body><header><h1>Site</h1></header><article><h1>T</h1><p>x</p></article></body>", "T\nx"),
+        ("<body><header><h1>Site</h1></header><article><h2>T</h2><p>x</p></article></body>", "T\nx"),
+        # several articles
+        ("<main><h1>All</h1><article>A</article><p>between</p><article>B</article><aside>s</aside></main>", "All\nA\nbetween\nB"),
+        ("<body><article><h2>A</h2></article><div class=ad>buy</div><p>site</p><article>B<article class=comment>c</article></article></body>", "A\nB"),
+        # words of classes within articles
+        (f"<article><p>a</p><p class='market-share'>It rose.</p><h2 class=related-work>Before</h2><div class='related-work'><p>{LONG}</p></div></article>", f"a\nIt rose.\nBefore\n{LONG}"),
+        (f"<article><p>a</p><p class=ad>Buy.</p><div class='share-buttons'>{LONG}</div><div class='newsletter-weekly'><p>{LONG}</p><input></div></article>", "a"),
+        (f"<article><p>{LONG}</p><div class='related-reads'><a href=x>{LONG}</a><p>short</p></div></article>", LONG),
+        # words of a sentence, and controls
+        ("<article><p>Press <button>OK</button> to go on, or the <label>Name</label> of it.</p><button>Share</button><p><button>Like</button></p></article>", "Press OK to go on, or the Name of it."),
+        # markup that is cut off or odd
+        ("<article><p>a</p><div class=\"x", "a"),
+        ("<article><p title=a<b>b</p><p title='a<b>c'>c</p><p title=\"unclosed>d</p><p>e", "b\nc\nd\ne"),
+        ("<article><p>x</p", "x"),
+        ("<article><p>1 < 2 <3 and a<", "1 < 2 <3 and a<"),
+        # tags left open
+        ("<body><main><p>a<p>b<ul><li>c<li>d</main><footer>f", "a\nb\nc\nd"),
+    ],
+)
+def test_faults_of_pages(source, text):
+    assert main_text(source) == text
+
+
+@pytest.mark.parametrize("source", ["<a b=\"" * 30_000, "<p title='" * 30_001, "<!--" * 50_000, "</script" * 50_000, "<script></scrip" * 20_000, "<p class=ad-x>" * 20_000 + "<label>x" * 20_000])
+def test_odd_markup_takes_no_time(source):
+    begin = time.perf_counter()
+    main_text(source)
+    main_text("<article>" + source)
+    assert time.perf_counter() - begin < 10
