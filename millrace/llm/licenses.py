@@ -1,16 +1,16 @@
 """License notices in documents by conditional compression.
 
-Lines with a cue (license, copyright, warranty and so on) and the lines next to them are candidate blocks. A block is
-read in windows of `WINDOW_WORDS` words that overlap by more than the longest notice. Templates that cannot hold in a
+Whole texts are read in windows of `WINDOW_WORDS` words that overlap by more than the longest notice. A word that is cut by a
+hyphen at a line's end is one word, and marks that comment lines begin with are none. Templates that cannot hold in a
 window, because it lacks too many of their words or one that tells licenses apart, are left out; this loses none. The
-window is compressed with each of the others as a zstandard raw dictionary and without one, with equal parameters; what
-a template saves, over what it saves on its own text, ranks the templates. They are confirmed by their exact wording:
-all places in the window with few word edits are found, and the words that differ are listed. A license holds if few
-words differ and none of them tells licenses apart (a number, or a word such as `noncommercial`). Places found do not
-overlap; the wording with the most words in common comes first, then the greater saving.
-
-Whole texts are searched and every template is tried on every window. A null or empty text has no license. Repeated
-rows are searched alike. Columns other than `doc_id` and `text` are not looked at. No documents give no rows.
+window is compressed with each of the others as a zstandard raw dictionary and without one, with equal parameters, and
+the bytes a template saves rank the templates. In that order they are confirmed by their exact wording: all places in
+the window with few word edits are found, and the words that differ are listed. A license holds if few words differ and
+none of them tells licenses apart (a number, or a word such as `noncommercial`). Places found do not overlap: a higher rank
+takes its places first, of one template the place with fewer edits.
+
+Every template is tried on every window. A null or empty text has no license. Repeated rows are searched alike. Columns
+other than `doc_id` and `text` are not looked at. No documents give no rows.
 """
 
 from __future__ import annotations
@@ -31,13 +31,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import map_batches
 
-AROUND = 2  # lines kept on either side of a line with a cue
 MOST_DIFFERENT = 0.2
 WINDOW_WORDS = 256
 LEVEL = 6
 
-# fixed values: words that introduce a notice
-CUES = ("licen", "copyright", "copyleft", "warrant", "redistribut", "permission", "public domain", "spdx", "creativecommons")
 # fixed values: words that tell licenses apart, next to any word with a digit in it
 TELLING = frozenset(
     "mit bsd isc zlib apache mozilla mpl eclipse epl gnu gpl lgpl agpl lesser affero library cc cc0 by sa nc nd noncommercial "
@@ -103,12 +100,27 @@ def templates() -> list[tuple[str, str]]:
     return out + [(k, f"SPDX-License-Identifier: {k}") for k in names]
 
 
-_WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
+# lines may be empty, and begin with blanks and marks of a comment
+_CUT = re.compile(r"-(?:[ \t]*+\r?\n[ \t]*+(?:[#*>;%!/|-]++[ \t]*+)?)+")
+_WORD = re.compile(rf"[^\W_]+(?:(?:\.|{_CUT.pattern}|-)[^\W_]+)*")
+_READ = 50_000  # words held at a time
+
+
+def words_in(text: str, known: frozenset[str] = frozenset()) -> Iterator[tuple[str, int, int]]:
+    """Words in lower case with their places; hyphens and dots join, so `BY-NC` and `4.0` are words.
+
+    Where a line ends at a hyphen, that belongs to the word unless the word without it is `known`.
+    """
+    for m in _WORD.finditer(text):
+        word = m[0].lower()
+        if "\n" in word:
+            whole, split = _CUT.sub("-", word), _CUT.sub("", word)
+            word = split if split in known and whole not in known else whole
+        yield word, m.start(), m.end()
 
 
 def words_of(text: str) -> list[tuple[str, int, int]]:
-    """Words in lower case with their places; hyphens and dots join, so `BY-NC` and `4.0` are words."""
-    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+    return list(words_in(text, _vocabulary()))
 
 
 @dataclass
@@ -118,9 +130,14 @@ class Template:
     words: list[str]
     counts: Counter[str]
     telling: set[str]
+    some_of: set[str]  # a notice lacks at least one too few of these words to have none
     with_it: zstandard.ZstdCompressor
     saves: int
 
+    def may_be_in(self, text: str) -> bool:
+        """Could it be anywhere in a text in lower case, of which no word is cut by a line's end?"""
+        return all(w in text for w in self.telling) and any(w in text for w in self.some_of)
+
     def may_hold(self, counts: Counter[str]) -> bool:
         """Could it hold among words of these counts? Every word that is missing there is an edit."""
         if not all(w in counts for w in self.telling):
@@ -144,30 +161,16 @@ def _library() -> tuple[zstandard.ZstdCompressor, list[Template]]:
         dictionary = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         packer = zstandard.ZstdCompressor(compression_params=parameters, dict_data=dictionary)
         saves = len(alone.compress(data)) - len(packer.compress(data))
-        words = [w for w, _, _ in words_of(text)]
-        out.append(Template(key, text, words, Counter(words), set(filter(_tells, words)), packer, max(saves, 1)))
+        words = [w for w, _, _ in words_in(text)]
+        # that many words cannot all be missing; long ones are rare
+        some_of = sorted(set(words), key=lambda w: (-len(w), w))[: int(MOST_DIFFERENT * len(words)) + 1]
+        out.append(Template(key, text, words, Counter(words), set(filter(_tells, words)), set(some_of), packer, max(saves, 1)))
     return alone, out
 
 
-def blocks(text: str) -> Iterator[tuple[int, str]]:
-    """Place and text of the runs of lines about a cue."""
-    low = text.lower()
-    if not any(c in low for c in CUES):
-        return
-    lines, at = [], 0
-    for line in text.splitlines(keepends=True):
-        lines.append((at, line))
-        at += len(line)
-    marked = [any(c in line.lower() for c in CUES) for _, line in lines]
-    keep = [any(marked[max(0, i - AROUND) : i + AROUND + 1]) for i in range(len(lines))]
-    i = 0
-    while i < len(lines):
-        j = i
-        while j < len(lines) and keep[j]:
-            j += 1
-        if j > i:
-            yield lines[i][0], "".join(line for _, line in lines[i:j])
-        i = j + 1
+@lru_cache(maxsize=1)
+def _vocabulary() -> frozenset[str]:
+    return frozenset(w for t in _library()[1] for w in t.words)
 
 
 def edits(template: list[str], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -231,46 +234,62 @@ def _tells(word: str) -> bool:
     return any(c.isdigit() for c in word) or any(p in TELLING for p in word.split("-"))
 
 
-def windows(n: int) -> Iterator[tuple[int, int]]:
-    """Bounds of windows over n words: every run as long as a notice can be is whole in one of them."""
+@lru_cache(maxsize=1)
+def _reach() -> int:
+    """Words of the longest run a notice can be."""
     longest = max(len(t.words) for t in _library()[1])
-    reach = longest + int(MOST_DIFFERENT * longest)
-    size = max(WINDOW_WORDS, 2 * reach)
+    return longest + int(MOST_DIFFERENT * longest)
+
+
+def windows(text: str) -> Iterator[list[tuple[str, int, int]]]:
+    """Words with their places, in windows: every run as long as a notice can be is whole in one of them."""
+    size, step = max(WINDOW_WORDS, 2 * _reach()), max(WINDOW_WORDS, 2 * _reach()) - _reach()
+    held: list[tuple[str, int, int]] = []
+    for word in words_in(text, _vocabulary()):
+        held.append(word)
+        if len(held) == _READ + size:
+            for at in range(0, _READ, step):
+                yield held[at : at + size]
+            held = held[len(range(0, _READ, step)) * step :]
     at = 0
-    while at + size < n:
-        yield at, at + size
-        at += size - reach
-    yield at, n
+    while at + size < len(held):
+        yield held[at : at + size]
+        at += step
+    yield held[at:]
 
 
 def find_licenses(text: str | None) -> list[tuple[str, int, int, float, list[str], list[str]]]:
     """License, place, part saved, words missing and in excess, in order of place."""
-    found = []
+    if not text:
+        return []
     alone, library = _library()
-    for at, block in blocks(text or ""):
-        placed = words_of(block)
-        sure = []
-        for first, last in windows(len(placed)):
-            words = [w for w, _, _ in placed[first:last]]
-            counts = Counter(words)
-            able = [i for i, t in enumerate(library) if t.may_hold(counts)]
-            if not able:
-                continue
-            data = _plain(block[placed[first][1] if first else 0 : placed[last - 1][2] if last < len(placed) else len(block)])
-            size = len(alone.compress(data))
-            for i in able:
-                saved = (size - len(library[i].with_it.compress(data))) / library[i].saves
-                for cost, begin, end, missing, extra in places(library[i].words, words):
-                    sure.append((cost - len(library[i].words), -saved, i, first + begin, first + end, missing, extra))
-        starts: list[int] = []
-        ends: list[int] = []
-        for _, saved, i, begin, end, missing, extra in sorted(sure):  # the longest wording that holds comes first
-            k = bisect.bisect_left(starts, end)  # places taken that begin before this one ends
-            if k and ends[k - 1] > begin:
-                continue
-            starts.insert(k, begin)
-            ends.insert(k, end)
-            found.append((library[i].key, at + placed[begin][1], at + placed[end - 1][2], -saved, missing, extra))
+    low = text.lower()
+    able = library if _CUT.search(low) else [t for t in library if t.may_be_in(low)]
+    if not able:
+        return []
+    sure = []
+    for placed in windows(text):
+        words = [w for w, _, _ in placed]
+        counts = Counter(words)
+        here = [t for t in able if t.may_hold(counts)]
+        if not here:
+            continue
+        data = _plain(text[placed[0][1] : placed[-1][2]])
+        size = len(alone.compress(data))
+        for t in here:
+            saved = size - len(t.with_it.compress(data))
+            for cost, begin, end, missing, extra in places(t.words, words):
+                sure.append((-saved, cost, placed[begin][1], placed[end - 1][2], t.key, saved / t.saves, missing, extra))
+    found = []
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, _, begin, end, key, saved, missing, extra in sorted(sure):
+        k = bisect.bisect_left(starts, end)  # places taken that begin before this one ends
+        if k and ends[k - 1] > begin:
+            continue
+        starts.insert(k, begin)
+        ends.insert(k, end)
+        found.append((key, begin, end, saved, missing, extra))
     return sorted(found, key=lambda x: (x[1], x[2], x[0]))
 
 

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import itertools
+import textwrap
+from collections import Counter
 
 from cases import documents, odd_rows, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 import pytest
 
-from millrace.llm.licenses import blocks, differing, find_licenses, nearest, scan, templates
+from millrace.llm import licenses
+from millrace.llm.licenses import differing, find_licenses, nearest, scan, templates
 from millrace.llm.queries import QUERIES
 
 # fixed values: the notices in the test tables
@@ -85,10 +88,48 @@ def test_nearest_run(template, block):
     assert cost == min(every) == edits(template, block[begin:end])
 
 
-def test_blocks_hold_lines_about_cues():
-    text = "\n".join(f"line {i}" + " copyright" * (i == 10) for i in range(20))
-    ((at, block),) = blocks(text)
-    assert block.split("\n")[:-1] == [f"line {i}" + " copyright" * (i == 10) for i in range(8, 13)] and text[at:].startswith(block)
+def wrapped(text: str, width: int, hyphens: bool, prefix: str, gap: str) -> str:
+    lines = textwrap.wrap(text, width, break_on_hyphens=hyphens, break_long_words=False)
+    return gap.join(prefix + line for line in lines)
+
+
+@pytest.mark.parametrize("width", [20, 30, 40, 60, 80, 100])
+@pytest.mark.parametrize("hyphens", [True, False])
+@pytest.mark.parametrize(("prefix", "gap"), [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\n"), ("", "\n\n"), ("    ", "\n")])
+def test_every_template_at_any_wrapping(width, hyphens, prefix, gap):
+    for name, text in templates():
+        notice = wrapped(text, width, hyphens, prefix, gap)
+        for whole in (notice, f"{prose(1, 30)}\n\n{notice}\n\n{prose(2, 30)}"):
+            assert [f[0] for f in find_licenses(whole)] == [name], notice
+
+
+def test_hyphenated_words():
+    text = "Permission is hereby granted, free of charge, to any per-\n  son obtaining a copy of this soft-\nware and asso-\nciated documentation files"
+    whole = next(t for n, t in templates() if n == "MIT" and t.startswith("Permission"))
+    rest = whole[whole.index("files") + 5 :]
+    ((name, begin, end, _, missing, extra),) = find_licenses(text + rest)
+    assert (name, begin, missing, extra) == ("MIT", 0, [], []) and end <= len(text + rest)
+
+
+def test_skipping_loses_no_template():
+    """A notice that lacks as many words as it may still passes the look at the whole text."""
+    _, library = licenses._library()
+    for t in library:
+        spare = int(licenses.MOST_DIFFERENT * len(t.words))
+        gone = [w for w in sorted(t.words, key=len, reverse=True) if w not in t.telling][:spare]
+        left = list(t.words)
+        for w in gone:
+            left.remove(w)
+        assert t.may_be_in(" ".join(left)) and t.may_hold(Counter(left))
+
+
+def test_windows_hold_every_run(monkeypatch):
+    monkeypatch.setattr(licenses, "_READ", 900)
+    text = " ".join(f"w{k}" for k in range(5000))
+    seen = [[int(w[1:]) for w, _, _ in part] for part in licenses.windows(text)]
+    assert all(part == list(range(part[0], part[-1] + 1)) for part in seen)
+    reach = licenses._reach()
+    assert all(any(part[0] <= k and k + reach - 1 <= part[-1] for part in seen) for k in range(5000 - reach + 1))
 
 
 @pytest.mark.parametrize("at", [0.0, 0.5, 1.0])
