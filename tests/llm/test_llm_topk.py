@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm.topk import Best, products, quantised, statistics, top_k
+from millrace.llm.topk import Best, Group, Turned, first_bounds, paired, principal_axes, products, quantised, segment_edges, statistics, top_k
 
 VECTORS = "vec_id long, embedding array<float>, score int, rank string"
 
@@ -61,20 +62,57 @@ whole = st.lists(st.lists(st.integers(-400, 400), min_size=7, max_size=7), min_s
 
 
 @settings(max_examples=100, deadline=None)
-@given(whole, whole, st.sampled_from([1, 2, 4, 7, 16]))
-def test_statistics_bound_products(a, b, segments):
+@given(whole, whole, st.sampled_from([0.0, 1 / 8, 1 / 2, 5 / 8, 1.0]), st.booleans())
+def test_statistics_bound_products(a, b, leading, turn):
     x, y = np.array(a, float), np.array(b, float)
-    bound = statistics(x, segments) @ statistics(y, segments).T
+    axes = principal_axes(x) if turn else np.eye(7)
+    edges = segment_edges(7, leading)
+    bound = statistics(x @ axes, edges) @ statistics(y @ axes, edges).T
     exact = products(x, y)
-    assert (bound + np.abs(bound) * 1e-9 + 1e-6 >= exact).all()
+    assert (bound + 1e-9 * np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)) + 1e-6 >= exact).all()
     assert (exact == [[sum(p * q for p, q in zip(u, v, strict=True)) for v in b] for u in a]).all()
-
-
-def test_bounds_prune_separated_vectors(spark):
-    rng = np.random.default_rng(1)
-    near = np.floor(rng.normal(300, 5, (50, 32)))
-    far = np.floor(rng.normal(-300, 5, (500, 32)))
-    assert ((statistics(near, 4) @ statistics(far, 4).T) < products(near, near).min()).all()
+    pairs = [(i, j) for i in range(len(x)) for j in range(len(y))]
+    assert paired(x[[i for i, _ in pairs]], y[[j for _, j in pairs]]).tolist() == [exact[i, j] for i, j in pairs]
+
+
+def test_axes_are_orthogonal():
+    rng = np.random.default_rng(2)
+    for sample in (rng.normal(0, 100, (50, 12)), np.zeros((3, 5)), np.empty((0, 4)), rng.normal(0, 1e150, (4, 9)), np.empty((5, 0))):
+        axes = principal_axes(sample)
+        assert np.allclose(axes.T @ axes, np.eye(sample.shape[1]), atol=1e-12)
+
+
+def test_bounds_drop_pairs_of_the_table(sf_dir):
+    """On the embeddings given, more than half of all pairs get no exact distance."""
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    (_, m), = quantised(table["embedding"])
+    ids = np.arange(len(m))
+    some = np.random.default_rng(0).choice(len(m), 500, replace=False)
+    axes, asked = principal_axes(m[some]), ids[::50]
+    group = Group(asked, asked, m[asked], axes, first_bounds(asked, m[asked], some, m[some], 5), 5)
+    for at in range(0, len(m), 400):
+        group.meet(ids[at : at + 400], Turned(m[at : at + 400], axes))
+    assert group.met == len(asked) * len(m) and group.pairs < 0.5 * group.met
+    score = products(m[asked], m)
+    score[ids[None, :] == asked[:, None]] = -(1 << 62)
+    for row, q in enumerate(asked):
+        best = np.lexsort((ids, -score[row]))[:5]
+        assert group.best.id[group.best.row == row].tolist() == best.tolist()
+
+
+@pytest.mark.parametrize("sample", [0, 10, 2048])
+def test_queries_from_outside(spark, sample):
+    """Queries that are no vectors themselves, larger than these, and some that share an id with one of them."""
+    rng = np.random.default_rng(8)
+    inside = [(i, [float(x) for x in rng.normal(0, 0.3, 12)]) for i in range(60)]
+    outside = [(1000 + i, [float(x) for x in rng.normal(0, 3, 12)]) for i in range(30)] + [(5, [9.0] * 12), (7, [1.0] * 3)]
+    found = top_k(vectors(spark, inside), vectors(spark, outside), sample=sample)
+    whole = lambda v: np.floor(256 * np.float32(v).astype(float))
+    want = []
+    for q, a in outside:
+        scored = sorted((-int(whole(a) @ whole(b)), i) for i, b in inside if i != q and len(a) == len(b))
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
 
 
 def test_large_numbers_stay_exact():
