@@ -6,12 +6,13 @@ at 3 times its source's words, and what it leaves is shared anew by weight.
 Rates: of all document rates that meet a source's token constraint and stay within [0, 3], those closest to 1 in relative
 entropy are `min(3, exp(lambda * size / mean))`, with one multiplier a source. Newton steps on the
 dual, kept inside a bracket, find all multipliers at once. Every step is one aggregation over counts
-of documents by source and size; texts are read once, and the driver sees one number a step.
+of documents by source and size, and the driver sees one number a step. Texts are read twice: to count words by source, and to give
+every document its copies; what the second pass shuffles are sizes and keys.
 
 Copies: documents of a source in order of size get whole copies so that copies so far never leave the sum of
 rates so far by more than a half. What is still missing of the target, less than about one long document, is made up
 by single copies of the shortest documents. A size that very many documents of a source share is dealt
-into chunks, so that no window holds more than about `CHUNK` documents.
+into chunks by a hash of doc_id and text, so that no window holds more than about `CHUNK` documents.
 
 A null text has size 0 and takes nothing. Documents of equal source and size are told apart by doc_id and text;
 repeated rows count as often as they occur. An empty table gives no rows. Columns of any name are
@@ -39,21 +40,44 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _in_parts(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> tuple[DataFrame, dict[str, Column], dict[str, float]]:
+    """Rows dealt into ranges of an order, with `part`; for each of `sums` the total of all parts before a row's own,
+    and the total of all.
+
+    To the driver come the sums of a part each, of which there are as many as the session shuffles into.
+    """
+    ranged = cut(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    totals = ranged.groupBy("part").agg(*[F.sum(value).alias(name) for name, value in sums.items()]).orderBy("part").collect()
+    before = {name: [0] for name in sums}
+    for row in totals:
+        for name in sums:
+            before[name].append(before[name][-1] + row[name])
+    upto = {
+        name: F.element_at(F.create_map(*[F.lit(x) for row, n in zip(totals, held, strict=False) for x in (row["part"], n)]), F.col("part"))
+        if totals
+        else F.lit(0)
+        for name, held in before.items()
+    }
+    return ranged, upto, {name: held[-1] for name, held in before.items()}
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """`sizes(source, words)` to `sid, source, words, target`: one row a source, as many to a task as there are sources."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    listed = sizes.withColumn("sid", F.row_number().over(order))
+    """`sizes(source, words)` to `sid, source, words, target`. There may be any number of sources: they are ordered by ranges."""
+    by_name = [F.col("source").asc_nulls_last()]
+    ranged, before, _ = _in_parts(sizes, by_name, {"n": F.lit(1)})
+    listed = ranged.withColumn("sid", (before["n"] + F.row_number().over(Window.partitionBy("part").orderBy(*by_name))).cast("long"))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("sid") - 1) % len(weights) + 1).cast("int"))
-    listed = listed.withColumn("weight", weight).withColumn("cap", (F.col("words") * most).cast("double"))
+    listed = listed.drop("part").withColumn("weight", weight).withColumn("cap", (F.col("words") * most).cast("double"))
     # With sources in order of cap per weight, those before a place at their cap, the rest share what is left; the
     # right place is the one with the highest level.
-    every = Window.partitionBy(F.lit(0))
-    after = every.orderBy(F.col("cap") / F.col("weight"), "sid").rowsBetween(0, Window.unboundedFollowing)
-    before = every.orderBy(F.col("cap") / F.col("weight"), "sid").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("words").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    level = F.max(F.col("level")).over(every)
-    shared = listed.withColumn("level", left / F.sum("weight").over(after))
-    return shared.withColumn("target", F.least("cap", F.col("weight") * level)).select("sid", "source", "words", "target")
+    by_ratio = [F.col("ratio").asc(), F.col("sid").asc()]
+    sums = {"caps": F.col("cap"), "weights": F.col("weight"), "all": F.col("words")}
+    ranged, before, whole = _in_parts(listed.withColumn("ratio", F.col("cap") / F.col("weight")), by_ratio, sums)
+    earlier = Window.partitionBy("part").orderBy(*by_ratio).rowsBetween(Window.unboundedPreceding, -1)
+    upto = {name: before[name] + F.coalesce(F.sum(value).over(earlier), F.lit(0.0)) for name, value in sums.items() if name != "all"}
+    level = (F.lit(float(whole["all"])) - upto["caps"]) / (F.lit(float(whole["weights"])) - upto["weights"])
+    highest = ranged.select(level.alias("level")).agg(F.max("level")).first()[0]
+    return ranged.withColumn("target", F.least("cap", F.col("weight") * F.lit(highest).cast("double"))).select("sid", "source", "words", "target")
 
 
 def _rate(scaled: Column, most: int) -> Column:
@@ -77,7 +101,7 @@ def multipliers(counts: DataFrame, wanted: DataFrame, most: int = MOST) -> DataF
         F.lit(None).cast("double").alias("high"),
         F.lit(None).cast("double").alias("miss"),
     )
-    state = cut(state.coalesce(4))
+    state = cut(state)
     scaled = F.col("lambda") * F.col("size") / F.col("mean")
     for _ in range(STEPS):
         tilted = counts.filter("size > 0").join(state, "sid").withColumn("rate", _rate(scaled, most))
@@ -97,7 +121,7 @@ def multipliers(counts: DataFrame, wanted: DataFrame, most: int = MOST) -> DataF
         outward = at + F.when(F.col("miss") < 0, 1.0).otherwise(-1.0) * 2 * (1 + F.abs(at))
         done = F.abs(F.col("miss")) <= TOLERANCE / 10
         to = F.when(done, at).when(inside, F.col("step")).otherwise(F.coalesce(halved, outward))
-        state = cut(moved.select("sid", "target", "mean", to.alias("lambda"), "low", "high", "miss").coalesce(4))
+        state = cut(moved.select("sid", "target", "mean", to.alias("lambda"), "low", "high", "miss"))
         worst = state.agg(F.max(F.abs("miss"))).first()[0]
         if worst is None or worst <= TOLERANCE:
             break
@@ -141,16 +165,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
     added = ("size", "source_size", "target", "copies", "taken")
     rows = docs.drop(*[c for c in docs.columns if c in added])
     carried = rows.columns
-    rows = rows.withColumn(f"{MIX}size", word_count(F.col("text")))
+    rows = rows.withColumn(f"{MIX}size", word_count(F.col("text"))).withColumn(f"{MIX}key", F.xxhash64("doc_id", "text"))
     tally = cut(
         rows.groupBy("source", F.col(f"{MIX}size").alias("size")).agg(F.count(F.lit(1)).alias("n"))
     )
-    wanted = cut(targets(tally.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")), weights, most).coalesce(1))
+    wanted = cut(targets(tally.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")), weights, most))
     counts = tally.join(wanted.select("sid", F.col("source").alias("_s")), F.col("source").eqNullSafe(F.col("_s")))
     counts = counts.select("sid", "size", "n", F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks"))
     counts = cut(counts)
     # members of each chunk are known only by counting where there are several
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.col(f"{MIX}chunks")).cast("int")
+    place = F.pmod(F.xxhash64(f"{MIX}key", F.lit(11)), F.col(f"{MIX}chunks")).cast("int")
     known = wanted.select(
         F.col("sid").alias(f"{MIX}sid"), F.col("source").alias(f"{MIX}source"), F.col("words").alias("source_size"), "target"
     )
@@ -167,7 +191,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
         several = rows.filter(f"{MIX}chunks > 1").groupBy(f"{MIX}sid", f"{MIX}size", f"{MIX}chunk").count()
         members = one.unionAll(several.toDF("sid", "size", "chunk", "members"))
     shares = cut(_shares(counts, members, wanted, most))
-    here = Window.partitionBy(f"{MIX}sid", f"{MIX}size", f"{MIX}chunk").orderBy("doc_id", F.xxhash64("text"))
+    here = Window.partitionBy(f"{MIX}sid", f"{MIX}size", f"{MIX}chunk").orderBy("doc_id", f"{MIX}key")
     ranked = rows.withColumn(f"{MIX}rank", F.row_number().over(here))
     shares = shares.select(
         F.col("sid").alias(f"{MIX}sid"),

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import defaultdict
 
@@ -7,7 +8,7 @@ import pytest
 from cases import documents, odd_rows, prose
 
 from millrace.llm import mixing
-from millrace.llm.mixing import mix, mixed, word_count
+from millrace.llm.mixing import mix, mixed, targets, word_count
 from millrace.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -102,6 +103,28 @@ def test_empty_tables(spark):
     assert [r.taken for r in mix(documents(spark, [(1, None, "a"), (2, "", None)])).collect()] == [0, 0]
 
 
+def test_very_many_sources(spark):
+    """Targets against the plain rule; no window holds all sources, and no chunk all documents without an id."""
+    rng = random.Random(1)
+    sizes = {(None if k == 7 else f"s{k:05d}é"): rng.choice([0, 1, 5, 50, rng.randrange(5000)]) for k in range(3000)}
+    found = targets(spark.createDataFrame(list(sizes.items()), "source string, words long"))
+    want = wanted(sizes)
+    rows = found.collect()
+    assert len(rows) == 3000 and all(r.target == pytest.approx(want[r.source], rel=1e-9) for r in rows)
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None]
+    assert {r.sid: r.source for r in rows} == dict(enumerate(order, 1))
+    plan = found._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan and not re.search("Python|Arrow", plan)
+
+
+def test_documents_without_ids_are_dealt_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 10)
+    docs = documents(spark, [(None, prose(k, 6), "a") for k in range(400)] + [(k, prose(k, 9), "b") for k in range(100)])
+    check([r.asDict() for r in mix(docs).collect()])
+    place = mix(docs).filter("doc_id is null").groupBy("copies").count().collect()
+    assert len(place) <= 2
+
+
 def test_word_count(spark):
     texts = ["", None, " a ", "a\tb\nc\x0bd\x0ce\rf g", "é x  y", "x" * 10_000]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
