@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from pyspark.sql import types as T
 # A side of a join is broadcast when it has been counted to be no larger than this.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+_shipped: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -41,6 +45,20 @@ def workspace(spark: SparkSession, name: str) -> str:
     return path
 
 
+def ship(spark: SparkSession) -> None:
+    """Let the executors import this package, also where it is not installed on them."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    file = os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), "millrace.zip")
+    with zipfile.ZipFile(file, "w") as code:
+        for source in sorted(root.rglob("*.py")):
+            code.write(source, source.relative_to(root.parent))
+    context.addPyFile(file)
+    _shipped.add(context.applicationId)
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows. The optimizer knows, and leaves out what would be joined with or added to them."""
     nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]

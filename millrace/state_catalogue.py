@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import fixtures
-from millrace.catalogue import PLACE, QUERIES, _full_log, _instant, _run, query
-from millrace.functions.decode import decode_processed, decode_raw
+from millrace.catalogue import LOOKUP_USER, PLACE, QUERIES, _full_log, _instant, _run, query
+from millrace.functions.decode import decode_processed, decode_raw, text
 from millrace.operators import drift, keyed, metrics
 from millrace.operators.as_of import allowed_as_of
 from millrace.plans import pipelines
 from millrace.schemas import EDIT_LOG, INPUT_TOPIC, PROCESSED_TOPIC
 from millrace.session import workspace
-from millrace.sources import partitioned, title_index
+from millrace.sources import feed_files, partitioned, raw_variant, title_index, zorder
+from millrace.sources import feed_source as feed_source_
 from millrace.sources.topics import Topic, append_topic, read_topic
 from millrace.streaming import changes, event_time, runners
 
@@ -30,6 +31,7 @@ LATENESS_DAYS = 2
 LATE_EVERY = 13  # one event of so many arrives last
 IDLE_MINUTES = 30
 TITLES_ENDING = "7"
+FEED_SPLIT = 4096
 
 
 def _slices(records: DataFrame, cuts=CUTS) -> list[DataFrame]:
@@ -177,3 +179,51 @@ def field_drift(spark, sf_dir):
 def schema_drift(spark, sf_dir):
     """The schema that all raw events of a domain and day fit."""
     return drift.merged_schemas(fixtures.raw_topic(spark, sf_dir))
+
+
+@query
+def feed_source(spark, sf_dir):
+    """Feed files read in small byte ranges, as a batch."""
+    feed_source_.register(spark)
+    folder = f"{workspace(spark, 'feed')}/frames"
+    feed_files.write_frames(fixtures.feed_frames(spark, sf_dir), folder)
+    frames = spark.read.format("feed").option("splitBytes", FEED_SPLIT).load(folder)
+    return pipelines.publish_feed(frames).select(text().alias("value"))
+
+
+@query
+def stream_feed_source(spark, sf_dir):
+    """Feed files as logs, read as a stream that is started again after more files have come."""
+    feed_source_.register(spark)
+    folder, out, checkpoints = f"{workspace(spark, 'feed')}/frames", f"{workspace(spark, 'fed')}/values", workspace(spark, "checkpoints")
+    frames = fixtures.feed_frames(spark, sf_dir)
+    for k in range(2):
+        feed_files.write_frames(frames.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == k), f"{folder}/{k}")
+        read = spark.readStream.format("feed").option("splitBytes", FEED_SPLIT).load(folder)
+        sent = pipelines.publish_feed(read).select(text().alias("value"))
+        _run(sent.writeStream.format("parquet").option("path", out).outputMode("append"), "feed", checkpoints)
+    return spark.read.parquet(out)
+
+
+@query
+def variant_events(spark, sf_dir):
+    """Raw events landed as VARIANT, some of their paths read back."""
+    path = f"{workspace(spark, 'variant')}/events"
+    raw_variant.land(fixtures.raw_topic(spark, sf_dir), path)
+    return raw_variant.read(spark, path).select(
+        *PLACE,
+        raw_variant.field("meta.id").alias("meta_id"),
+        raw_variant.field("meta.dt").alias("meta_dt"),
+        raw_variant.field("meta.domain").alias("meta_domain"),
+        raw_variant.field("performer.user_text").alias("user_text"),
+        raw_variant.field("performer.user_is_bot", "boolean").alias("user_is_bot"),
+        raw_variant.field("page_title").alias("page_title"),
+    )
+
+
+@query
+def lookup_user_zordered(spark, sf_dir):
+    """A user's rows from a table in Z-order of user and time."""
+    path = f"{workspace(spark, 'zorder')}/rows"
+    zorder.write_zordered(keyed.current_rows(_full_log(spark, sf_dir)), path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.read.parquet(path).filter(F.col("user_id") == LOOKUP_USER)

@@ -78,4 +78,8 @@ SELECT domain, day, count(*) AS n_events,
        'OBJECT<meta: OBJECT<domain: STRING, dt: STRING, id: STRING>, page_title: STRING, performer: OBJECT<'
          || CASE WHEN count(is_bot) > 0 THEN 'user_is_bot: BOOLEAN, ' ELSE '' END || 'user_text: STRING>>' AS "schema"
 FROM e WHERE NOT cut GROUP BY domain, day""",
+    "feed_source": _BASE["feed_decode"],
+    "stream_feed_source": _BASE["feed_decode"],
+    "variant_events": _BASE["decode_raw_events"],
+    "lookup_user_zordered": _BASE["lookup_user"],
 }

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState
 
 from millrace.schemas import DELETE, KEY, UPSERT
+from millrace.session import ship
 from millrace.sources import files
 from millrace.streaming.runners import run_of
 
@@ -78,6 +79,7 @@ def step(key: tuple, writes: Iterator[pd.DataFrame], state: GroupState) -> Itera
 
 def row_changes(log: DataFrame) -> DataFrame:
     """A stream of log rows (`schemas.EDIT_LOG`) -> changes of the rows they amount to. For output mode `update`."""
+    ship(log.sparkSession)
     flat = log.filter(F.col("op").isin(UPSERT, DELETE)).select(*KEY, "op", write_order().alias("at"), "page_title", "user_is_bot")
     return flat.groupBy(*KEY).applyInPandasWithState(step, CHANGE, _STATE, "update", "NoTimeout")
 

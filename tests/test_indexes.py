@@ -69,3 +69,71 @@ def _scan(physical):
         if (found := _scan(child)) is not None:
             return found
     return None
+
+
+def test_variant_paths_reach_the_scan(spark, tmp_path):
+    from helpers import event, topic
+    from millrace.sources import raw_variant
+
+    path = str(tmp_path / "v")
+    values = [event(user=f"u{k}", domain="ab"[k % 2], extra={"n": k}) for k in range(200)] + ["bad", "[]", None, event(bot="perhaps")]
+    raw_variant.land(topic(spark, values), path)
+    read = raw_variant.read(spark, path)
+    found = read.filter(raw_variant.field("meta.domain") == "a").select(raw_variant.field("extra.n", "int").alias("n"))
+    assert sorted(r.n for r in found.collect()) == list(range(0, 200, 2))
+    text = plan(found)
+    assert "ReadSchema: struct<event:struct<" in text and "EqualTo(event.`" in text and "performer" not in text
+    assert sorted((r.raw or "") for r in read.filter("event is null").collect()) == ["", "[]", "bad"]
+    assert read.filter(raw_variant.field("performer.user_is_bot", "boolean").isNull() & F.col("event").isNotNull()).count() == 1
+    day = read.filter("d = date'2026-05-02'")
+    assert "PartitionFilters: [isnotnull(d" in plan(day)
+
+
+def test_zorder_skips_row_groups_for_either_column(spark, tmp_path):
+    """Row groups that the statistics leave for a lookup, by user and by day, against the order of either column."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from millrace.sources import zorder
+
+    rows = spark.range(60_000).select(
+        F.format_string("user_%05d", F.pmod(F.xxhash64("id"), F.lit(2000))).alias("user_id"),
+        F.timestamp_seconds(F.lit(1_780_000_000) + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(90)) * 86400).alias("created_at"),
+        F.col("id").alias("k"),
+    ).cache()
+    files = 64
+
+    def left(path):
+        """Share of row groups that may hold one user, and one day."""
+        user = day = total = 0
+        when = spark.range(1).select(F.timestamp_seconds(F.lit(1_780_000_000 + 40 * 86400))).first()[0].astimezone(dt.timezone.utc)
+        for file in glob.glob(f"{path}/*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            for g in range(meta.num_row_groups):
+                a, b = (meta.row_group(g).column(c).statistics for c in (0, 1))
+                user += a.min <= "user_00777" <= a.max
+                day += b.min.replace(tzinfo=dt.timezone.utc) <= when <= b.max.replace(tzinfo=dt.timezone.utc)
+                total += 1
+        return user / total, day / total
+
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    try:
+        z, by_user, by_day = (str(tmp_path / n) for n in ("z", "u", "d"))
+        zorder.write_zordered(rows, z, files)
+        rows.repartitionByRange(files, "user_id").sortWithinPartitions("user_id").write.parquet(by_user)
+        rows.repartitionByRange(files, "created_at").sortWithinPartitions("created_at").write.parquet(by_day)
+    finally:
+        spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    found = left(z)
+    assert max(found) <= 0.3  # an eighth in theory
+    assert left(by_user)[1] > 0.9 and left(by_day)[0] > 0.9  # where the plain orders skip nothing
+    assert texts(spark.read.parquet(z)) == texts(rows)
+
+
+def test_interleaved_bits(spark):
+    from millrace.sources import zorder
+
+    df = spark.range(64).select((F.col("id") % 8).alias("a"), F.floor(F.col("id") / 8).alias("b"))
+    got = {(r.a, r.b): r.z for r in df.select("a", "b", zorder.interleaved(F.col("a"), F.col("b"), 3).alias("z")).collect()}
+    assert got == {(a, b): sum((a >> k & 1) << (2 * k + 1) | (b >> k & 1) << (2 * k) for k in range(3)) for a in range(8) for b in range(8)}
