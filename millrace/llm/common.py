@@ -4,38 +4,18 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-import millrace
-from millrace.session import workspace
+from millrace.session import ship, workspace
 
 FOLDS = 5
 BATCH_ROWS = 1_000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Let the executors import this package, also where it is not installed on them."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(millrace.__file__).parent
-    file = os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), "millrace.zip")
-    with zipfile.ZipFile(file, "w") as code:
-        for source in sorted(root.rglob("*.py")):
-            code.write(source, source.relative_to(root.parent))
-    context.addPyFile(file)
-    _shipped.add(context.applicationId)
 
 
 def _give_back() -> None:
