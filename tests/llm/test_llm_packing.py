@@ -152,3 +152,88 @@ def test_alike_documents_of_different_splits_meet(spark):
         tasks[r.doc_id // 8].add(r.sequence_id >> 32)
     assert len(set().union(*tasks.values())) > 1
     assert sum(len(t) == 1 for t in tasks.values()) >= 0.8 * len(tasks)
+
+
+def packed_plainly(documents_: list[np.ndarray], window: int) -> list[list[tuple[int, int, int]]]:
+    """The windows of rests by a plain reading: (document, start, length); every score anew from the definition."""
+    rests = {k: (len(d) - len(d) % window, len(d)) for k, d in enumerate(documents_) if len(d) % window}
+    counts = {k: np.unique(documents_[k][a:b], return_counts=True) for k, (a, b) in rests.items()}
+    df = defaultdict(int)
+    for terms, _ in counts.values():
+        for t in terms.tolist():
+            df[t] += 1
+    mean = sum(b - a for a, b in rests.values()) / len(rests)
+
+    def score(query: set, k: int) -> float:
+        a, b = rests[k]
+        norm = 1.2 * (0.25 + 0.75 * (b - a) / mean)
+        return sum(
+            np.log1p((len(rests) - df[t] + 0.5) / (df[t] + 0.5)) * n * 2.2 / (n + norm)
+            for t, n in zip(*(x.tolist() for x in counts[k]), strict=True)
+            if t in query
+        )
+
+    unused, windows, tail = sorted(rests), [], None
+    while unused or tail:
+        k, a, b = tail or (unused[0], *rests[unused[0]])
+        unused, tail = [u for u in unused if u != k], None
+        windows.append([(k, a, b - a)])
+        room, query = window - (b - a), set(documents_[k][a:b].tolist())
+        scores = {u: score(query, u) for u in unused}
+        for u in sorted((u for u in unused if scores[u] > 0), key=lambda u: (-scores[u], u)):
+            a, b = rests[u]
+            if b - a <= room:
+                windows[-1].append((u, a, b - a))
+                unused.remove(u)
+                room -= b - a
+        if room and unused:
+            u = max(unused, key=lambda u: (scores[u], -u))
+            unused.remove(u)
+            a, b = rests[u]
+            windows[-1].append((u, a, min(room, b - a)))
+            if b - a > room:
+                tail = (u, a + room, b)
+            elif b - a < room:
+                raise AssertionError("members without a common id fit: not in these cases")
+    return windows
+
+
+@pytest.mark.parametrize(("seed", "window"), [(1, 200), (2, 64), (3, 900)])
+def test_windows_are_those_of_a_plain_reading(seed, window):
+    rng = np.random.default_rng(seed)
+    bags = [np.append(rng.zipf(1.3, rng.integers(3, 400)) % 500 + 2, 1) for _ in range(150)]
+    found = defaultdict(list)
+    for k, start, ids, sequence, _ in packing.Packer(0, window).pack(bags):
+        assert ids.tolist() == bags[k][start : start + len(ids)].tolist()
+        found[sequence].append((k, start, len(ids)))
+    rests = [w for q, w in sorted(found.items()) if q >= sum(len(b) // window for b in bags)]
+    assert rests == packed_plainly(bags, window)
+
+
+def test_best_neighbours_are_in_reach(spark):
+    """Of seeds all over sf0.1, by BM25 over all documents: the best neighbours lie in the seed's own shard."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    task = {r.doc_id: r.sequence_id >> 32 for r in pack(docs).select("doc_id", "sequence_id").toLocalIterator()}
+    rows = docs.collect()
+    ids = [np.append(token_ids(r.text, default_vocabulary()), np.uint32(1)) for r in rows]
+    rests = [(r.doc_id, i[len(i) - len(i) % 2048 :]) for r, i in zip(rows, ids, strict=True) if len(i) % 2048]
+    index = LexicalShard([b for _, b in rests])
+    best = ten = 0
+    seeds = range(0, len(rests), 33)
+    for k in seeds:
+        near = [rests[j][0] for j in index.neighbours(rests[k][1]) if j != k][:10]
+        best += task[near[0]] == task[rests[k][0]]
+        ten += sum(task[j] == task[rests[k][0]] for j in near)
+    assert best >= 0.9 * len(seeds) and ten >= 0.9 * 10 * len(seeds)
+
+
+def test_hot_signatures_are_spread():
+    marks = np.repeat(np.array([7 << 42, (9 << 42) + 5, (9 << 42) + 6, 11 << 42], np.int64), [5, 605, 200, 190])
+    dealer = packing.Dealer(marks, np.full(len(marks), 100, np.int64), 40)
+    rng = np.random.default_rng(0)
+    places = [int(dealer.place(int(m), int(rng.integers(1 << 32)))) for m in np.repeat(marks, 40)]
+    held = np.bincount(places, minlength=40)
+    assert held.max() <= 1.3 * held.mean() and held.min() >= 0.7 * held.mean()
+    assert len({dealer.place(7 << 42, own) for own in range(0, 1 << 32, 1 << 28)}) == 1  # small ones stay together
+    assert all(0 <= dealer.place(m, 0) < 40 for m in (0, 1 << 41, (9 << 42) + 1, (1 << 63) - 1))
+    assert packing.Dealer(np.empty(0, np.int64), np.empty(0, np.int64), 3).place(5, 9) == 0.0
