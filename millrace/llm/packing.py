@@ -309,14 +309,15 @@ class Dealer:
 
 
 def _signed(vocabulary: str, end_id: int, window: int):
-    """Signatures and ids to be looked up, of sampled rows."""
+    """Signatures, ids to be looked up and ids in whole windows, of sampled rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = max(_encodings(vocabulary)[0].n_vocab, end_id + 1)
         for batch in batches:
             ids = [np.append(token_ids(t.as_py(), vocabulary), np.uint32(end_id)) for t in batch.column("text")]
             marks = pa.array([signature(i, n) for i in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([marks, pa.array([len(i) % window for i in ids], pa.int64())], names=["mark", "size"])
+            rest, whole = (pa.array([f(len(i)) for i in ids], pa.int64()) for f in (lambda n: n % window, lambda n: n - n % window))
+            yield pa.RecordBatch.from_arrays([marks, rest, whole], names=["mark", "rest", "whole"])
 
     return run
 
@@ -407,12 +408,12 @@ def pack(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     count = docs.count()
     some = rows.select("text") if count <= sample else rows.select("text").sample(sample / count, seed=0).limit(2 * sample)
-    found = map_batches(some, _signed(file, end_id, window), "mark long, size long").collect()
-    marks, sizes = (np.array([r[k] for r in found], np.int64) for k in range(2))
-    tasks = max(1, math.ceil(sizes.sum() / max(len(sizes), 1) * count / shard_tokens))
+    found = map_batches(some, _signed(file, end_id, window), "mark long, rest long, whole long").collect()
+    marks, rests, wholes = (np.array([r[k] for r in found], np.int64) for k in range(3))
+    tasks = max(1, math.ceil(rests.sum() / max(len(rests), 1) * count / shard_tokens))
     if spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled").lower() != "true":
         tasks = max(tasks, shuffle_partitions(spark))
-    deal = _tokenise(file, end_id, Dealer(marks, sizes, tasks))
+    deal = _tokenise(file, end_id, Dealer(marks, rests + wholes / 2, tasks))  # whole windows only pass through
     tokens = map_batches(rows, deal, "doc_id long, place double, task int, ids binary")
     dealt = tokens.repartitionById(tasks, "task").sortWithinPartitions("place", "doc_id", "ids").drop("place", "task")
     return map_batches(
