@@ -272,11 +272,13 @@ def _draws(n: int) -> np.ndarray:
 
 def signature(ids: np.ndarray, n: int) -> int:
     """One of the ids, which are below n, and 42 bits of the least hash of five running ones."""
-    wide = np.pad(ids, (0, max(_RUN - len(ids), 0))).astype(np.uint64)
+    wide = np.zeros(max(len(ids), _RUN), np.uint64)
+    wide[: len(ids)] = ids
     runs = np.zeros(len(wide) - _RUN + 1, np.uint64)
     for k in range(_RUN):
-        runs = runs * np.uint64(0x9E3779B97F4A7C15) + wide[k : k + len(runs)] + np.uint64(1)
-    least = _mixed(_mixed(runs).min()[None])[0] >> np.uint64(22)
+        runs += wide[k : k + len(runs)]
+        runs *= np.uint64(0x9E3779B97F4A7C15)
+    least = _mixed(runs.min()[None])[0] >> np.uint64(22)
     return (int(ids[_draws(n)[ids].argmin()]) % (1 << 21) << 42) | int(least)
 
 
