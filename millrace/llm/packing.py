@@ -64,9 +64,19 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
 
 
+@lru_cache(maxsize=1)
+def _vocabulary(file: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ranks of a vocabulary's tokens, and its special tokens."""
+    with open(file, encoding="utf-8") as opened:
+        spec = json.load(opened)
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    of = _byte_of_char()
+    return {bytes(of[c] for c in token): k for token, k in spec["model"]["vocab"].items() if token not in special}, special
+
+
 @lru_cache(maxsize=2)
-def _encodings(vocabulary: str):
-    """The vocabulary's encoding, the same for texts without runs of white space, and the special tokens.
+def _encoding(vocabulary: str, ahead: bool = False):
+    """The vocabulary's encoding; the same without a look ahead, for texts without runs of white space.
 
     The pattern looks ahead only to leave the last character of a white run to the next word. Without such runs that
     branch decides nothing, and a pattern without it is matched in one pass.
@@ -74,26 +84,20 @@ def _encodings(vocabulary: str):
     import public_tokenizers
     import tiktoken
 
-    with open(vocabulary, encoding="utf-8") as file:
-        spec = json.load(file)
-    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    of = _byte_of_char()
-    ranks = {bytes(of[c] for c in token): k for token, k in spec["model"]["vocab"].items() if token not in special}
-    whole, ahead = public_tokenizers.PATTERN, r"\s+(?!\S)|"
-    plain = whole.replace(ahead, "") if whole.endswith(ahead + r"\s+") else whole
-    made = [tiktoken.Encoding(p, pat_str=p, mergeable_ranks=ranks, special_tokens=special) for p in (whole, plain)]
-    return *made, special
+    pattern, branch = public_tokenizers.PATTERN, r"\s+(?!\S)|"
+    if not ahead and pattern.endswith(branch + r"\s+"):
+        pattern = pattern.replace(branch, "")
+    ranks, special = _vocabulary(vocabulary)
+    return tiktoken.Encoding(pattern, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
 def token_ids(text: str | None, vocabulary: str) -> np.ndarray:
     """The vocabulary's ids of the whole text; no ids are added."""
-    encoding, plain, special = _encodings(vocabulary)
     if not text:
         return np.empty(0, np.uint32)
-    if any(s in text for s in special):
-        return np.array(encoding.encode(text, allowed_special="all"), np.uint32)
-    if _WHITE_RUN.search(text) is None:
-        encoding = plain
+    if any(s in text for s in _vocabulary(vocabulary)[1]):
+        return np.array(_encoding(vocabulary, True).encode(text, allowed_special="all"), np.uint32)
+    encoding = _encoding(vocabulary, _WHITE_RUN.search(text) is not None)
     parts, at = [], 0
     while len(text) - at > _LONG and (found := _SAFE_CUT.search(text, at + _LONG)):
         parts.append(_encoded(encoding, text[at : found.start()]))
@@ -314,7 +318,7 @@ def _signed(vocabulary: str, end_id: int, window: int):
     """Signatures, ids to be looked up and ids in whole windows, of sampled rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = max(_encodings(vocabulary)[0].n_vocab, end_id + 1)
+        n = max(_encoding(vocabulary).n_vocab, end_id + 1)
         for batch in batches:
             ids = [np.append(token_ids(t.as_py(), vocabulary), np.uint32(end_id)) for t in batch.column("text")]
             marks = pa.array([signature(i, n) for i in ids], pa.int64())
@@ -326,18 +330,19 @@ def _signed(vocabulary: str, end_id: int, window: int):
 
 def _tokenise(vocabulary: str, end_id: int, dealer: Dealer):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = max(_encodings(vocabulary)[0].n_vocab, end_id + 1)
+        n = max(_encoding(vocabulary).n_vocab, end_id + 1)
         for batch in batches:
-            places, packed = [], []
+            places, counts, packed = [], [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 ids = np.append(token_ids(text.as_py(), vocabulary), np.uint32(end_id)).astype("<u4", copy=False)
-                data = ids.tobytes()
+                data = (ids.astype("<u2") if n <= 1 << 16 else ids).tobytes()
+                counts.append(len(ids))
                 places.append(dealer.place(signature(ids, n), zlib.crc32(data, zlib.crc32(str(doc_id.as_py()).encode()))))
                 packed.append(data)
             task = [int(p) for p in places]
+            numbers = [pa.array(places, pa.float64()), pa.array(task, pa.int32()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(places, pa.float64()), pa.array(task, pa.int32()), pa.array(packed, pa.binary())],
-                names=["doc_id", "place", "task", "ids"],
+                [batch.column("doc_id"), *numbers, pa.array(packed, pa.binary())], names=["doc_id", "place", "task", "n", "ids"]
             )
 
     return run
@@ -355,7 +360,7 @@ def _rows(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
             pa.array([p[0][1] for p in part], pa.int64()),
             pa.array([p[3] for p in part], pa.int64()),
             pa.array([p[4] for p in part], pa.int64()),
-            pa.array([p[2].tobytes() for p in part], pa.binary()),
+            pa.array([p[2].astype("<u4").tobytes() for p in part], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
@@ -371,12 +376,15 @@ def _rows(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 def _run(window: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() << 32, window)
+        for held in (_encoding, _vocabulary, _draws):  # the process may have tokenised before; its room is for the shard now
+            held.cache_clear()
 
         def pieces() -> Iterator[tuple]:
             rests, held = [], 0
             for batch in batches:
-                for doc_id, packed in zip(batch.column("doc_id"), batch.column("ids"), strict=True):
-                    ids = np.frombuffer(packed.as_py(), "<u4")
+                for doc_id, n, packed in zip(*(batch.column(c) for c in ("doc_id", "n", "ids")), strict=True):
+                    data = packed.as_py()
+                    ids = np.frombuffer(data, f"<u{len(data) // n.as_py()}")  # two bytes an id where the vocabulary allows
                     document, left = (doc_id.as_py(), len(ids)), len(ids) % window
                     yield from packer.whole(document, ids)
                     if left:
@@ -416,7 +424,7 @@ def pack(
     if spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled").lower() != "true":
         tasks = max(tasks, shuffle_partitions(spark))
     deal = _tokenise(file, end_id, Dealer(marks, rests + wholes / 2, tasks))  # whole windows only pass through
-    tokens = map_batches(rows, deal, "doc_id long, place double, task int, ids binary")
+    tokens = map_batches(rows, deal, "doc_id long, place double, task int, n long, ids binary")
     dealt = tokens.repartitionById(tasks, "task").sortWithinPartitions("place", "doc_id", "ids").drop("place", "task")
     return map_batches(
         dealt,
