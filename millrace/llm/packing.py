@@ -119,19 +119,30 @@ class LexicalShard:
     def __init__(self, bags: list[np.ndarray]) -> None:
         n = len(bags)
         lengths = np.array([len(b) for b in bags], np.float64)
-        counted = [np.unique(b, return_counts=True) for b in bags]
-        term = np.concatenate([c[0] for c in counted]) if n else np.empty(0, np.uint32)
+        terms, counts = [], []
+        for bag in bags:
+            own, count = np.unique(bag, return_counts=True)
+            terms.append(own)
+            counts.append(count.astype(np.float32))
+        member = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t in terms])
+        term = np.concatenate(terms) if n else np.empty(0, np.uint32)
+        tf = np.concatenate(counts) if n else np.empty(0, np.float32)
+        del terms, counts
         narrow = np.uint16 if len(term) == 0 or term.max() < 1 << 16 else np.uint32
-        order = np.argsort(term.astype(narrow), kind="stable")
-        member = np.repeat(np.arange(n, dtype=np.int32), [len(c[0]) for c in counted])[order]
-        tf = (np.concatenate([c[1] for c in counted]) if n else np.empty(0, np.int64)).astype(np.float32)[order]
-        del counted
-        self.terms, starts = np.unique(term[order], return_index=True)
-        bounds = np.append(starts, len(order))
+        order = np.argsort(term.astype(narrow, copy=False), kind="stable")
+        term, member, tf = term[order], member[order], tf[order]
+        del order
+        self.terms, starts = np.unique(term, return_index=True)
+        bounds = np.append(starts, len(term))
+        del term
         df = np.diff(bounds)
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         norm = (K1 * (1 - B + B * lengths / max(lengths.mean(), 1)) if n else lengths).astype(np.float32)
-        weight = np.repeat(idf.astype(np.float32), df) * tf * np.float32(K1 + 1) / (tf + norm[member])
+        weight = tf * np.float32(K1 + 1)
+        tf += norm[member]
+        weight /= tf
+        del tf
+        weight *= np.repeat(idf.astype(np.float32), df)
         common = df * _COMMON >= n
         self.row = np.where(common, np.cumsum(common) - 1, -1)
         self.rows = np.zeros((int(common.sum()), n), np.float32)
