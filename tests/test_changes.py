@@ -68,3 +68,18 @@ def test_any_order_gives_the_table(spark, tmp_path):
 
 def test_nothing_yet(spark, tmp_path):
     assert changes.replayed(changes.read_changes(spark, str(tmp_path / "none"))).collect() == []
+
+
+def test_state_by_group(spark, tmp_path):
+    """Many keys, some null in part, take few states and calls; they are told as one by one."""
+    log = [write(f"u{k % 1500}", k % 7, "del" if k % 11 == 0 else "up", title=f"t{k % 5}", bot=k % 3 == 0) for k in range(3000)]
+    log += [write(None, 2, title="n"), write(None, 3, bot=True), write("x", 1, title="m", domain=None)]
+    place, out, checkpoint = (str(tmp_path / name) for name in ("log", "changes", "checkpoints"))
+    spark.createDataFrame(log, EDIT_LOG).write.parquet(place)
+    stream = changes.changes_stream(spark.readStream.schema(EDIT_LOG).parquet(place), out, groups=16)
+    query = runners.start(stream, "changes", checkpoint, until_caught_up=True)
+    query.awaitTermination()
+    assert 0 < query.lastProgress.stateOperators[0].numRowsTotal <= 16
+    found = changes.replayed(changes.read_changes(spark, out))
+    assert texts(found) == texts(keyed.current_rows(spark.createDataFrame(log, EDIT_LOG)))
+    assert found.filter("user_id IS NULL AND page_title = 'n' AND user_is_bot").count() == 1
