@@ -54,6 +54,24 @@ def test_a_large_file_is_read_by_several_tasks(spark, tmp_path):
     assert [tuple(r) for r in rows] == frames(text.encode(), b"\n") and len(rows) == 20_000
 
 
+def test_few_tasks_for_many_ranges(tmp_path):
+    """Tasks do not grow in number with ranges or files, and still read each frame once."""
+    whole = {}
+    for name, n in (("a", 4_000), ("b", 1), ("c", 700), *((f"d{k}", 2) for k in range(100))):
+        data = "".join(f"id: {k}\ndata: {'z' * (k % 40)}\n\n" for k in range(n)).encode()
+        (tmp_path / name).write_bytes(data)
+        whole[str(tmp_path / name)] = frames(data, b"\n")
+    reader = feed_source.FeedReader({"path": str(tmp_path), "splitbytes": "50"})
+    tasks = reader.partitions()
+    assert 10 < len(tasks) <= feed_source.MOST_TASKS
+    found = {}
+    for task in tasks:
+        for batch in reader.read(task):
+            for file, at, value in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                found.setdefault(file, []).append((at, value))
+    assert found == whole
+
+
 def test_empty_folders_and_options(spark, tmp_path):
     feed_source.register(spark)
     assert spark.read.format("feed").load(str(tmp_path)).collect() == []
