@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -159,8 +161,9 @@ def publish_values(values: DataFrame, topic: Topic, run: str = "batch", batch_id
     if (run, batch_id) in done:
         return
     starts = end_offsets(spark, topic, done)
-    numbered = number_records(values, topic, starts)
-    replace_batch(numbered, topic, run, batch_id)
+    if not files.exists(spark, f"{topic.path}/{files.batch_name(run, batch_id)}/_SUCCESS"):
+        with numbered_records(values, topic, starts) as numbered:
+            replace_batch(numbered, topic, run, batch_id)
     written = spark.read.schema(TOPIC_RECORD).parquet(f"{topic.path}/{files.batch_name(run, batch_id)}")
     grown = written.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
     ends = starts | {r["partition"]: r["next_offset"] for r in grown.collect()}  # one number a partition
@@ -220,16 +223,61 @@ def number_records(values: DataFrame, topic: Topic, starts: Mapping[int, int] |
 
     Each goes to one of the topic's partitions and gets the next offset there, without gaps, from `starts` on. In
     order of `position` where values have such a column, else of their hash; either way a batch that is made
-    again gets the same numbers. Within a partition of the topic this is one sort, as a broker's log is.
+    again gets the same numbers. Within a partition of the topic this is one sort in one task: for batches that are
+    read in one, see `numbered_records`.
     """
-    position = [F.col("position")] if "position" in values.columns else []
-    placed = values.withColumn("partition", F.pmod(F.xxhash64("value"), F.lit(topic.partitions)).cast("int"))
-    order = Window.partitionBy("partition").orderBy(*position, F.xxhash64("value"), "value")
+    order = Window.partitionBy("partition").orderBy(*_position(values), F.xxhash64("value"), "value")
     first = F.lit(0).cast("long")
     for partition, offset in (starts or {}).items():
         first = F.when(F.col("partition") == partition, F.lit(offset).cast("long")).otherwise(first)
-    numbered = placed.withColumn("offset", F.row_number().over(order) - 1 + first)
-    stamped = numbered.withColumn("key", F.lit(None).cast("binary")).withColumn("timestamp", F.current_timestamp())
+    return _stamped(_dealt(values, topic).withColumn("offset", F.row_number().over(order) - 1 + first), topic)
+
+
+@contextmanager
+def numbered_records(values: DataFrame, topic: Topic, starts: Mapping[int, int] | None = None) -> Iterator[DataFrame]:
+    """The same numbers, by as many tasks as the values are read in; the records are there within the `with` block.
+
+    The order of a partition's records is cut into ranges, which are sorted and kept on the executors' disks. What ranges
+    hold of each partition is counted, one number each, so that each knows the offset it begins with. Records that are
+    alike may stand in several ranges.
+    """
+    n = values.rdd.getNumPartitions()
+    if n <= 1:
+        yield number_records(values, topic, starts)
+        return
+    spark = values.sparkSession
+    order = ["partition", *(["position"] if _position(values) else []), "_hash", "_other"]
+    hashed = _dealt(values, topic).withColumns({"_hash": F.xxhash64("value"), "_other": F.xxhash64(F.lit(1), "value")})
+    ranges = hashed.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *order, "_tie")
+    kept = ranges.sortWithinPartitions(*order, "value").select(
+        "partition", "value", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_at")
+    )
+    kept = kept.persist(StorageLevel.DISK_ONLY)
+    try:
+        held = kept.groupBy("partition", "_range").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("least")).collect()
+        ends, begins = dict(starts or {}), []
+        for r in sorted(held):  # ranges are in order
+            end = ends.get(r["partition"], 0)
+            begins.append((r["partition"], r["_range"], end - r["least"]))
+            ends[r["partition"]] = end + r["n"]
+        first = F.broadcast(spark.createDataFrame(begins, "partition int, _range int, _begin long"))
+        placed = kept.join(first, ["partition", "_range"]).withColumn("offset", F.col("_at") + F.col("_begin"))
+        yield _stamped(placed, topic)
+    finally:
+        kept.unpersist()
+
+
+def _position(values: DataFrame) -> list[Column]:
+    return [F.col("position")] if "position" in values.columns else []
+
+
+def _dealt(values: DataFrame, topic: Topic) -> DataFrame:
+    """Values with the topic's partition they go to."""
+    return values.withColumn("partition", F.pmod(F.xxhash64("value"), F.lit(topic.partitions)).cast("int"))
+
+
+def _stamped(placed: DataFrame, topic: Topic) -> DataFrame:
+    stamped = placed.withColumn("key", F.lit(None).cast("binary")).withColumn("timestamp", F.current_timestamp())
     return as_topic(stamped, topic.name)
 
 

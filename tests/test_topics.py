@@ -14,6 +14,7 @@ from millrace.sources.topics import (
     from_offsets,
     latest_start,
     number_records,
+    numbered_records,
     publish_values,
     replace_batch,
     read_topic,
@@ -107,6 +108,21 @@ def test_values_are_numbered_in_order_of_their_position(spark):
     assert [int(bytes(r.value)) for r in got] == list(range(199, -1, -1))
 
 
+def test_a_partition_is_numbered_by_several_tasks(spark):
+    """In the same order as by one, with values that are alike in several ranges."""
+    plain = _values(spark, 600).withColumn("position", (F.lit(1000) - F.col("value").cast("string").cast("int")) % 50)
+    alike = spark.range(0, 900, 1, 4).select(F.lit("alike").cast("binary").alias("value"), F.lit(None).cast("int").alias("position"))
+    for values in (plain.unionByName(alike), plain.unionByName(alike).drop("position"), plain.filter("false")):
+        for partitions in (1, 3):
+            t = Topic("input", path="/nowhere", partitions=partitions)
+            columns = ("partition", "offset", "value")
+            want = sorted(map(tuple, number_records(values, t, {0: 7}).select(*columns).collect()))
+            with numbered_records(values, t, {0: 7}) as got:
+                tasks = got.filter("partition = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+                assert sorted(map(tuple, require(got, TOPIC_RECORD).select(*columns).collect())) == want
+            assert tasks > 1 or not want
+
+
 def test_published_values_are_numbered_on(spark, tmp_path):
     t = Topic("input", path=str(tmp_path / "input"))
     assert end_offsets(spark, t) == {}
