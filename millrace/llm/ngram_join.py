@@ -13,7 +13,12 @@ ever written out, and equal sets are one set from the first step on.
 3. *Search.* A group's texts are read together. Its inverted lists are merged where short, probed by
    binary search where long, and sets reaching the overlap that the similarity asks for are linked.
    A set that was reached leaves the index, so that a group of g near copies takes g lookups, not g * g.
-   A group beyond `block_words` is dealt into blocks, and every two blocks of it are searched together.
+4. *Groups beyond `block_words`* are dealt into blocks twice over, each searched alone, which connects nearly
+   all that is linked. What is left must lie between sets that are not connected yet: of all shingles of these
+   groups, those count that two such sets have, and who shares fewer of them than its similarity asks for
+   has no link left. The others form groups as in step 2, by far smaller ones, since the whole overlap is asked
+   for and not the prefixes'. In a group that is still large the largest connected part is not searched
+   against itself: its blocks each meet the rest, and every two blocks of the rest meet.
 
 Nulls and texts without words have an empty set and link with nothing. Rows with a null doc_id are not
 searched for links: they take the component of documents with an equal set, null if there is none.
@@ -89,14 +94,18 @@ def describe(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     return map_batches(texts, _describe(size), "doc_id long, n_shingles long, set_id string")
 
 
-def _postings(size: int, percent: int, shards: int):
-    """Packed postings: a row for each shard and round, with sets by name and (shingle, set) pairs."""
+def _postings(size: int, percent: int, shards: int, whole: bool = False):
+    """Packed postings: a row for each shard and round, with sets by name and (shingle, set) pairs.
+
+    `whole` takes all shingles of the sets that rows of `set_id, number, text` name, and says the number of each.
+    """
     room = 500_000
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         names: list[bytes] = []
         sizes: list[int] = []
+        numbers: list[int] = []
         parts: list[np.ndarray] = []
         held = flushed = 0
 
@@ -109,15 +118,17 @@ def _postings(size: int, percent: int, shards: int):
             first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
             starts = np.flatnonzero(first)
             often = np.repeat(np.diff(np.append(starts, len(tokens))) >= _HOT, np.diff(np.append(starts, len(tokens))))
-            rows: dict[str, list] = {"shard": [], "names": [], "sizes": [], "tokens": [], "owners": []}
+            often &= not whole  # only their shard knows whether sets of more than one number have them
+            rows: dict[str, list] = {"shard": [], "names": [], "sizes": [], "numbers": [], "tokens": [], "owners": []}
 
             def put(shard: int, tokens: np.ndarray, owner: np.ndarray) -> None:
                 own, local = np.unique(owner, return_inverse=True)
                 rows["shard"].append(shard)
                 rows["names"].append(b"".join(names[k] for k in own))
                 rows["sizes"].append(np.array([sizes[k] for k in own], np.uint32).tobytes())
+                rows["numbers"].append(np.array([numbers[k] for k in own], np.int64).tobytes() if whole else None)
                 rows["tokens"].append(tokens.tobytes())
-                rows["owners"].append(local.astype(np.uint32).tobytes())
+                rows["owners"].append(local.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32).tobytes())
 
             if often.any():
                 flushed += 1
@@ -128,24 +139,26 @@ def _postings(size: int, percent: int, shards: int):
             bounds = np.searchsorted(shard, np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(bounds)):
                 put(int(s), tokens[bounds[s] : bounds[s + 1]], owner[bounds[s] : bounds[s + 1]])
-            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+            kinds = [pa.int32(), *[pa.binary()] * 5]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], names=list(rows))
 
         for batch in batches:
-            for s in sets_of(_texts(batch), size):
+            told = [batch.column(x).to_pylist() if whole else [None] * batch.num_rows for x in ("set_id", "number")]
+            for s, set_id, number in zip(sets_of(_texts(batch), size), *told, strict=True):
                 if not len(s):
                     continue
                 name = bytes.fromhex(digest(s))
-                if name in seen:
+                if name in seen or whole and name.hex() != set_id:  # a doc_id may be repeated with another text
                     continue
                 seen.add(name)
+                numbers.append(number)
                 names.append(name[:8])
                 sizes.append(len(s))
-                parts.append(s[: prefix_length(len(s), percent)].copy())
+                parts.append(s[: len(s) if whole else prefix_length(len(s), percent)].copy())
                 held += len(parts[-1])
                 if held >= room:
                     yield flush()
-                    names, sizes, parts, held = [], [], [], 0
+                    names, sizes, numbers, parts, held = [], [], [], [], 0
         if parts:
             yield flush()
 
@@ -160,11 +173,12 @@ def _rows(token: np.ndarray, owner: np.ndarray, name: np.ndarray, size: np.ndarr
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of all packed postings of some shards: those of shingles that two sets or more have."""
-    tokens, owners, names, sizes, base = [], [], [], [], 0
+    """Of all packed postings of some shards: those of shingles that two sets or more have, of different numbers if they have any."""
+    tokens, owners, names, sizes, numbers, base = [], [], [], [], [], 0
     for batch in batches:
         for row in batch.to_pylist():
-            token, owner = np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["owners"], np.uint32)
+            token = np.frombuffer(row["tokens"], np.uint64)
+            owner = np.frombuffer(row["owners"], np.uint32 if 2 * len(row["owners"]) == len(row["tokens"]) else np.uint16)
             name, size = np.frombuffer(row["names"], ">i8").astype(np.int64), np.frombuffer(row["sizes"], np.uint32)
             if row["shard"] < 0:  # known to be shared
                 yield from _rows(token, owner, name, size)
@@ -173,6 +187,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owners.append(owner.astype(np.int64) + base)
             names.append(name)
             sizes.append(size)
+            if row["numbers"] is not None:
+                numbers.append(np.frombuffer(row["numbers"], np.int64))
             base += len(size)
     if not tokens:
         return
@@ -190,6 +206,12 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = np.ones(len(token), bool)
     first[1:] = (token[1:] != token[:-1]) | (name[owner[1:]] != name[owner[:-1]])
     token, owner = token[first], owner[first]
+    if numbers and len(token):
+        number = np.concatenate(numbers)[owner]
+        starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        mixed = np.minimum.reduceat(number, starts) != np.maximum.reduceat(number, starts)
+        between = np.repeat(mixed, np.diff(np.append(starts, len(token))))
+        token, owner = token[between], owner[between]
     yield from _rows(token, owner, name, size)
 
 
@@ -332,19 +354,19 @@ def _set_key(set_id: Column) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(F.conv(F.substring(set_id, 9, 8), 16, 10).cast("long"))
 
 
-def _candidates(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """`(node, root)`: sets in groups that no link leaves; every set that has a link is in one."""
-    parts = shuffle_partitions(docs.sparkSession)
-    shards = 4 * parts
+def _shared_postings(texts: DataFrame, size: int, percent: int, whole: bool = False) -> DataFrame:
+    """`(token, set_key, n)` for shingles that two sets or more have in their prefixes, or as `_postings` has it for whole ones."""
+    parts = shuffle_partitions(texts.sparkSession)
     packed = map_batches(
-        docs.select(F.col("text").cast("string").alias("text")),
-        _postings(size, percent, shards),
-        "shard int, names binary, sizes binary, tokens binary, owners binary",
+        texts,
+        _postings(size, percent, 4 * parts, whole),
+        "shard int, names binary, sizes binary, numbers binary, tokens binary, owners binary",
     )
-    shared = cut(map_batches(packed.repartition(parts, "shard"), _shared, "token long, set_key long, n long"))
-    # `needed` as an expression
-    low = F.ceil(F.col("n") * percent / F.lit(100)).cast("long")
-    need = F.least(F.ceil(low * percent / F.lit(100)).cast("long"), F.floor(low / F.lit(4)) + 1)
+    return cut(map_batches(packed.repartition(parts, "shard"), _shared, "token long, set_key long, n long"))
+
+
+def _grouped(shared: DataFrame, need: Column) -> DataFrame:
+    """`(node, root)`: sets in groups that none leaves who shares `need` of these shingles; all that do are in one."""
     have = shared.groupBy("set_key", "n").agg(F.count(F.lit(1)).alias("have"))
     alive = have.filter(F.col("have") >= need).select("set_key")
     kept = shared.join(broadcast_if_small(alive), "set_key", "left_semi")
@@ -356,11 +378,87 @@ def _candidates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return components(ranked.filter("place >= need").select(F.col("set_key").alias("a"), F.col("head").alias("b")))
 
 
+def _candidates(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """`(node, root)`: sets in groups that no link leaves; every set that has a link is in one."""
+    # `needed` as an expression
+    low = F.ceil(F.col("n") * percent / F.lit(100)).cast("long")
+    need = F.least(F.ceil(low * percent / F.lit(100)).cast("long"), F.floor(low / F.lit(4)) + 1)
+    return _grouped(_shared_postings(docs.select(F.col("text").cast("string").alias("text")), size, percent), need)
+
+
+def _links(texts: DataFrame, here: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links within every group of `here(set_id, doc_id, group)`."""
+    searched = (
+        texts.join(broadcast_if_small(here), "doc_id")
+        .select("group", "set_id", "text")
+        .repartition(shuffle_partitions(texts.sparkSession), "group")
+        .sortWithinPartitions("group")
+    )
+    return map_batches(searched, _search(size, percent), "a string, b string")
+
+
+def _dealt(sized: DataFrame) -> DataFrame:
+    """Groups of one block as they are, larger ones in blocks, twice over and each time dealt otherwise."""
+    deals = F.sequence(F.lit(0), F.when(F.col("blocks") > 1, 1).otherwise(0))
+    block = F.pmod(F.xxhash64("set_id", "deal"), F.col("blocks"))
+    named = F.concat_ws("/", "root", "deal", block).alias("group")
+    return sized.withColumn("deal", F.explode(deals)).select("set_id", "doc_id", named)
+
+
+def _apart(sets: DataFrame, block_words: int) -> DataFrame:
+    """Groups of `sets(set_id, doc_id, n, own, root)` such that every two sets of one root but not of one `own` meet.
+
+    The largest `own` of a root meets the rest block by block, and every two blocks of the rest meet.
+    """
+    words = sets.groupBy("root", "own").agg(F.sum("n").alias("words"))
+    blocks = (
+        words.groupBy("root")
+        .agg(F.max(F.struct("words", "own")).alias("most"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("owns"))
+        .filter("owns > 1")
+        .select(
+            "root",
+            F.col("most.own").alias("most"),
+            F.ceil(F.col("most.words") / F.lit(block_words)).cast("int").alias("main"),
+            F.ceil((F.col("words") - F.col("most.words")) / F.lit(block_words)).cast("int").alias("rest"),
+        )
+    )
+    mains, rests = (F.sequence(F.lit(0), F.col(x) - 1) for x in ("main", "rest"))
+    inside, block = F.col("own") == F.col("most"), F.col("block")
+    others = F.filter(rests, lambda x: x != block)
+    groups = F.when(inside, F.transform(rests, lambda x: F.concat_ws("/", "root", F.lit("main"), x, block))).otherwise(
+        F.concat(
+            F.transform(mains, lambda x: F.concat_ws("/", "root", F.lit("main"), block, x)),
+            F.transform(others, lambda x: F.concat_ws("/", "root", F.lit("rest"), F.least(block, x), F.greatest(block, x))),
+        )
+    )
+    return (
+        sets.join(blocks, "root")
+        .withColumn("block", F.pmod(F.xxhash64("set_id"), F.when(inside, F.col("main")).otherwise(F.col("rest"))).cast("int"))
+        .select("set_id", "doc_id", F.explode(groups).alias("group"))
+    )
+
+
+def _left_over(
+    texts: DataFrame, large: DataFrame, links: DataFrame, size: int, percent: int, block_words: int
+) -> DataFrame:
+    """Links between sets of `large(set_id, doc_id, n)` that `links` do not connect, as far as they are wanted to."""
+    owners = components(links).withColumnRenamed("node", "set_id").withColumnRenamed("root", "own")
+    owned = large.join(owners, "set_id", "left").withColumn("own", F.coalesce("own", "set_id"))
+    sets = cut(owned.select("set_id", "doc_id", "n", "own", _set_key(F.col("set_id")).alias("set_key")))
+    numbers = cut(sets.select("own").distinct().withColumn("number", F.monotonically_increasing_id()))
+    numbered = sets.join(numbers, "own").select("doc_id", "set_id", "number")
+    theirs = texts.join(broadcast_if_small(numbered), "doc_id").select("set_id", "number", "text")
+    foreign = _shared_postings(theirs, size, percent, whole=True)
+    need = F.ceil(F.col("n") * percent / F.lit(100)).cast("long")
+    groups = _grouped(foreign, need).withColumnRenamed("node", "set_key")
+    again = cut(sets.join(groups, "set_key").select("set_id", "doc_id", "n", "own", "root"))
+    return _links(texts, _apart(again, block_words), size, percent)
+
+
 def ngram_groups(
     docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id` for every row of `docs(doc_id, text)`."""
-    parts = shuffle_partitions(docs.sparkSession)
     slim = cut(describe(docs, size))
     heads = (
         slim.filter("set_id IS NOT NULL")
@@ -369,28 +467,20 @@ def ngram_groups(
     )
     candidates = _candidates(docs, size, percent)
     grouped = cut(
-        heads.withColumn("node", _set_key(F.col("set_id"))).join(candidates, "node").select("set_id", "first_id", "n", "root")
+        heads.withColumn("node", _set_key(F.col("set_id")))
+        .join(candidates, "node")
+        .select("set_id", F.col("first_id").alias("doc_id"), "n", "root")
     )
     totals = grouped.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block_words)).cast("int").alias("blocks"))
-    here = (
-        grouped.join(totals, "root")
-        .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .filter("blocks = 1 OR block != other")
-        .select(
-            "set_id",
-            F.col("first_id").alias("doc_id"),
-            F.concat_ws("/", "root", F.least("block", "other"), F.greatest("block", "other")).alias("group"),
-        )
-    )
+    sized = grouped.join(totals, "root")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    searched = (
-        texts.join(broadcast_if_small(here), "doc_id")
-        .select("group", "set_id", "text")
-        .repartition(parts, "group")
-        .sortWithinPartitions("group")
-    )
-    links = map_batches(searched, _search(size, percent), "a string, b string")
+    if totals.filter("blocks > 1").isEmpty():
+        links = _links(texts, _dealt(sized), size, percent)
+    else:
+        texts = cut(texts.join(broadcast_if_small(grouped.select("doc_id")), "doc_id", "left_semi"))
+        links = cut(_links(texts, _dealt(sized), size, percent))
+        large = sized.filter("blocks > 1").select("set_id", "doc_id", "n")
+        links = links.unionAll(_left_over(texts, large, links, size, percent, block_words))
     roots = components(links).withColumnRenamed("node", "set_id")
     rooted = heads.join(roots, "set_id", "left").select("set_id", "first_id", F.coalesce("root", "set_id").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from millrace.llm import ngram_join
+from millrace.llm.common import map_batches
 from millrace.llm.components import components
 from millrace.llm.ngram_join import least_overlap, linked, needed, ngram_groups, one_of_each_group, prefix_length, t_occurrences
 from millrace.llm.queries import QUERIES
@@ -95,6 +96,52 @@ def test_groups_beyond_a_block(spark, block_words):
     assert {r.doc_id: r.component_id for r in found} == want
 
 
+def test_texts_of_a_large_group_are_not_read_once_a_block(spark):
+    """Near copies and pairs in one candidate group of many blocks: a text is searched a few times, and no link is lost."""
+    rng = random.Random(6)
+    passage = prose(77, 60)
+    rows = []
+    for g in range(30):
+        base = prose(600 + g, 60).split()
+        for k in range(40 if g == 0 else 2):
+            words = [*base]
+            words[rng.randrange(60)] = f"edit{rng.randrange(10_000)}"
+            rows.append((100 * g + k, " ".join(words) + " " + passage, "a"))
+    want = brute({i: shingles(t) for i, t, _ in rows})
+    searched = []
+
+    def counted(df, run, schema):
+        if schema == "a string, b string":
+            searched.append(df.count())
+        return map_batches(df, run, schema)
+
+    with patch.object(ngram_join, "map_batches", counted):
+        found = ngram_groups(documents(spark, rows), block_words=400).collect()
+    assert {r.doc_id: r.component_id for r in found} == want
+    assert len(set(want.values())) == 30
+    blocks = sum(len(shingles(t)) for _, t, _ in rows) // 400
+    assert blocks > 20 and 2 * len(rows) <= sum(searched) < 8 * len(rows)
+
+
+def test_sets_that_are_apart_meet(spark):
+    rng = random.Random(7)
+    sets = [
+        (f"{k:032x}", k, rng.randrange(1, 40), "m" if k % 3 else f"o{k % 7}" if k < 150 else f"p{k}", 1 + k % 2) for k in range(200)
+    ]
+    sets += [("x", 500, 5, "only", 9), ("y", 501, 5, "only", 9)]
+    dealt = ngram_join._apart(spark.createDataFrame(sets, "set_id string, doc_id long, n long, own string, root long"), 300)
+    groups = defaultdict(set)
+    for r in dealt.collect():
+        groups[r.group].add(r.doc_id)
+    met = {(a, b) for g in groups.values() for a in g for b in g}
+    apart = {(a, b) for _, a, _, o, r in sets for _, b, _, p, q in sets if r == q and o != p}
+    roots = {k: r for _, k, _, _, r in sets}
+    assert apart <= met and all(roots[a] == roots[b] for a, b in met)
+    assert not any(500 in g or 501 in g for g in groups.values())
+    mains = {k for _, k, _, o, _ in sets if o == "m"}
+    assert len({(a, b) for a, b in met if a in mains and b in mains}) < len(mains) ** 2 / 3
+
+
 def test_postings_past_the_shards_lose_nothing(spark):
     """Lists that are common in a task go out beside the shards; sets must find them, and those that are alone, as before."""
     rng = random.Random(8)
